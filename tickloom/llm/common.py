@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tickloom-"))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut_lineage`` for wide or long tables: compressed Parquet in the same shared folder."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        cut_lineage(spark.range(1))
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, packing
+from tickloom.llm import bpe, packing, suffix
 from tickloom.llm.common import table
 
 
@@ -18,10 +18,15 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removal_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_bpe_round_trip": op6_bpe_round_trip,
+        "op8_suffix_dedup": op8_suffix_dedup,
     }
 
 
