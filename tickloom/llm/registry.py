@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, packing, suffix
+from tickloom.llm import bpe, packing, quality, suffix, toxicity
 from tickloom.llm.common import table
 
 
+def op2_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -22,11 +26,17 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removal_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_compression_toxicity": op2_compression_toxicity,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_bpe_round_trip": op6_bpe_round_trip,
         "op8_suffix_dedup": op8_suffix_dedup,
+        "op10_attention_quality": op10_attention_quality,
     }
 
 
