@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, packing, quality, suffix, toxicity
+from tickloom.llm import bpe, htmlmain, minhash, packing, quality, suffix, toxicity
 from tickloom.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlmain.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -32,7 +40,9 @@ def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_compression_toxicity": op2_compression_toxicity,
+        "op3_html_main_text": op3_html_main_text,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_bpe_round_trip": op6_bpe_round_trip,
         "op8_suffix_dedup": op8_suffix_dedup,
