@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; read by Spark, so any store will do."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,3 +37,17 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors, whatever their Python path; once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_tickloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    to = Path(tempfile.mkdtemp(prefix="tickloom-")) / "tickloom.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    context.addPyFile(str(to))
+    context._tickloom_shipped = True
