@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, htmlmain, minhash, packing, quality, suffix, toxicity
+from tickloom.llm import bpe, chat, htmlmain, minhash, packing, quality, suffix, topk, toxicity, vptree
 from tickloom.llm.common import table
 
 
@@ -26,14 +26,26 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op5(table(spark, sf_dir, "embeddings"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removal_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,11 +56,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_compression_toxicity": op2_compression_toxicity,
         "op3_html_main_text": op3_html_main_text,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_exact_topk": op5_exact_topk,
         "op6_bpe_round_trip": op6_bpe_round_trip,
+        "op7_vantage_point_trees": op7_vantage_point_trees,
         "op8_suffix_dedup": op8_suffix_dedup,
+        "op9_quote_threads": op9_quote_threads,
         "op10_attention_quality": op10_attention_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_topk": topk.ORACLE_SQL, "op9_quote_threads": chat.ORACLE_SQL}
