@@ -92,15 +92,15 @@ def threads(messages: DataFrame) -> DataFrame:
     keys = keys.withColumn("previous", F.lag("turn").over(inside)).join(before, ["conv_id", "block"]).select("conv_id", "turn", F.coalesce("previous", "before").alias("previous"))
     parents = keys.join(answers, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce("quoted_turn", "previous").alias("parent_turn"))
 
-    reach = cut_lineage(parents.select("conv_id", "turn", "parent_turn", F.coalesce("parent_turn", "turn").alias("up"), F.when(F.col("parent_turn").isNull(), 0).otherwise(1).cast("long").alias("depth")))
-    while True:
-        # `up` is a root when it has depth 0 itself.
+    # `up` is the furthest message known to be answered, over `depth` links; rows move until it is a root.
+    root = F.col("parent_turn").isNull()
+    reach = cut_lineage(parents.select("conv_id", "turn", "parent_turn", F.coalesce("parent_turn", "turn").alias("up"), F.when(root, 0).otherwise(1).cast("long").alias("depth"), (~root).alias("moves")))
+    while not reach.where("moves").isEmpty():
         ahead = reach.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        step = cut_lineage(reach.join(ahead, ["conv_id", "up"]).select("conv_id", "turn", "parent_turn", F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")))
-        reach = step.drop("moved")
-        if step.where("moved").isEmpty():
-            break
-    reach = reach.withColumnRenamed("up", "root_turn")
+        step = reach.where("moves").join(ahead, ["conv_id", "up"])
+        step = step.select("conv_id", "turn", "parent_turn", F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moves"))
+        reach = cut_lineage(reach.where("not moves").unionByName(step))
+    reach = reach.select("conv_id", "turn", "parent_turn", F.col("up").alias("root_turn"), "depth")
     levels = F.coalesce(F.array_max(F.transform(_lines(F.col("text")), lambda x: x["level"])), F.lit(0))
     out = base.join(reach, ["conv_id", "turn"], "left")
     return out.select("conv_id", "turn", "role", without_quotes(F.col("text")).alias("text"), levels.cast("int").alias("quote_levels"), "parent_turn", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"))
