@@ -25,19 +25,33 @@ def _result(ref: Column, matched: Column, method: Column, in_budget: Column, any
     ]
 
 
-def modalities_of(targets: DataFrame) -> DataFrame:
-    return targets.select("modality").distinct()
+#: A recording has a few modalities; more than this is taken for an error.
+MOST_MODALITIES = 1000
 
 
-def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalities: DataFrame | None = None) -> DataFrame:
+def modalities_of(targets: DataFrame) -> list[str]:
+    """Names of the modalities that occur."""
+    found = [r["modality"] for r in targets.select("modality").distinct().limit(MOST_MODALITIES + 1).collect()]
+    if len(found) > MOST_MODALITIES:
+        raise ValueError(f"more than {MOST_MODALITIES} modalities")
+    return sorted(m for m in found if m is not None)
+
+
+def _for_each(refs: DataFrame, modalities: list[str]) -> DataFrame:
+    """Every reference once for each modality."""
+    names = F.array(*[F.lit(m) for m in modalities]) if modalities else F.expr("cast(array() as array<string>)")
+    return refs.select("episode_id", "ns", F.explode(names).alias("modality"))
+
+
+def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalities: list[str] | None = None) -> DataFrame:
     """One row for each reference and modality: the closer neighbour, the earlier of two equally close ones.
 
     ``modalities`` (default: those that occur) names what every reference is aligned with, so an episode without
     targets of one gives ``no_target``.
     """
     kinds = modalities if modalities is not None else modalities_of(targets)
-    asked = refs.select("episode_id", "ns").join(F.broadcast(kinds))
-    both = asked.select("episode_id", "modality", "ns", F.lit(True).alias("is_ref")).unionByName(targets.select("episode_id", "modality", "ns", F.lit(False).alias("is_ref")))
+    asked = _for_each(refs, kinds).select("episode_id", "modality", "ns")
+    both = asked.withColumn("is_ref", F.lit(True)).unionByName(targets.select("episode_id", "modality", "ns", F.lit(False).alias("is_ref")))
     key = Window.partitionBy("episode_id", "modality").orderBy("ns")
     target = F.when(~F.col("is_ref"), F.col("ns"))
     seen = both.withColumn("before", F.max(target).over(key.rangeBetween(Window.unboundedPreceding, 0))).withColumn("after", F.min(target).over(key.rangeBetween(0, Window.unboundedFollowing))).where("is_ref")
@@ -55,7 +69,7 @@ def align_exact(refs: DataFrame, targets: DataFrame) -> DataFrame:
     """One row for each reference and modality: the target at the same instant, if there is one."""
     kinds = modalities_of(targets)
     there = targets.groupBy("episode_id", "modality").agg(F.lit(True).alias("any"))
-    asked = refs.select("episode_id", "ns").join(F.broadcast(kinds)).join(there, ["episode_id", "modality"], "left")
+    asked = _for_each(refs, kinds).join(there, ["episode_id", "modality"], "left")
     hits = targets.select("episode_id", "modality", "ns", F.col("ns").alias("hit")).distinct()
     joined = asked.join(hits, ["episode_id", "modality", "ns"], "left")
     return joined.select("episode_id", "modality", *_result(F.col("ns"), F.col("hit"), F.lit("exact"), F.col("hit").isNotNull(), F.coalesce("any", F.lit(False)), F.lit(False)))
@@ -68,7 +82,7 @@ def align_window(refs: DataFrame, targets: DataFrame, window_ns: int) -> DataFra
         raise ValueError("a window must be 1 ns at least")
     kinds = modalities_of(targets)
     bucket = F.floor(F.col("ns") / window_ns) if window_ns > (1 << 40) else (F.col("ns") - F.pmod(F.col("ns"), F.lit(window_ns))) / window_ns
-    asked = refs.select("episode_id", "ns").join(F.broadcast(kinds)).withColumn("bucket", bucket.cast("long"))
+    asked = _for_each(refs, kinds).withColumn("bucket", bucket.cast("long"))
     near = asked.select("episode_id", "modality", F.col("ns").alias("ref"), F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket")).distinct()
     found = near.join(targets.select("episode_id", "modality", F.col("ns").alias("target"), bucket.cast("long").alias("bucket")), ["episode_id", "modality", "bucket"]).where(F.abs(F.col("target") - F.col("ref")) <= window_ns)
     joined = asked.select("episode_id", "modality", F.col("ns").alias("ref")).join(found.drop("bucket"), ["episode_id", "modality", "ref"], "left")

@@ -22,8 +22,7 @@ def report(reference: DataFrame, targets: dict[str, DataFrame], max_skew_ns: int
     records = timeline.normalize(reduce(DataFrame.unionByName, tagged), by=("episode_id", "modality"))
     clean = timeline.split(records)[0].select("episode_id", "modality", F.col("normalized_ns").alias("ns"))
     refs = clean.where("modality = 'reference'")
-    kinds = reference.sparkSession.createDataFrame([(k,) for k in targets], "modality string")
-    near = align.align_nearest(refs, clean.where(F.col("modality").isin(*targets)), max_skew_ns, kinds)
+    near = align.align_nearest(refs, clean.where(F.col("modality").isin(*targets)), max_skew_ns, list(targets))
     results = near
     if events is not None:
         against = clean.where(F.col("modality") == (primary or next(iter(targets)))).withColumn("modality", F.lit("events"))

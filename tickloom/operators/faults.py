@@ -98,7 +98,7 @@ def variable_frame_time(stamps: DataFrame, wobble: float, seed: int, label: str
     # The first stamp draws nothing, so interval i uses draw i - 1.
     back = stamps.withColumn("dt", F.col("timestamp_ns") - F.lag("timestamp_ns").over(order)).withColumn("first", F.first("timestamp_ns").over(order)).withColumn("own", F.col("idx")).withColumn("idx", F.greatest(F.col("idx") - 1, F.lit(0)))
     scaled = drawn(back, seed, label, "uniform", 1.0 - wobble, 1.0 + wobble).withColumn("idx", F.col("own"))
-    step = F.coalesce(F.greatest(F.lit(1).cast("long"), F.rint(F.col("dt") * F.col("draw")).cast("long")), F.lit(0))
+    step = F.when(F.col("dt").isNull(), 0).otherwise(F.greatest(F.lit(1).cast("long"), F.rint(F.col("dt") * F.col("draw")).cast("long")))
     return scaled.withColumn("timestamp_ns", in_range(F.col("first") + F.sum(step).over(order.rowsBetween(Window.unboundedPreceding, 0)))).drop("dt", "first", "own", "draw")
 
 
