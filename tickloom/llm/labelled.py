@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of one text that a training sample takes; scoring reads whole texts.
-SAMPLE_CHARS = 50_000
+SAMPLE_CHARS = 20_000
 
 
 def fold(doc_id: Column, folds: int) -> Column:

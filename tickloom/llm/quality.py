@@ -21,7 +21,7 @@ from tickloom.llm.rolling import prefix_sums, substring_hashes
 
 FOLDS, HELD, THRESHOLD = 4, 2, 0.7
 #: Bounds of the training sample, documents of either label.
-GOOD, BAD = 6000, 3000
+GOOD, BAD = 5000, 2500
 WORDS = 64
 
 _KINDS = 17
@@ -151,32 +151,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> BagModel:
     return train(sample(docs, labels, "quality", FOLDS, HELD, False, {1: GOOD, 0: BAD}))
 
 
-def score(docs: DataFrame, model: BagModel, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row with ``score`` and ``predicted``; a narrow map over whole texts.
-
-    Null texts score as empty ones; repeated rows score alike; an empty table gives no rows.
-    """
+def scored(docs: DataFrame, model: BagModel, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` as ``c0, c1, ...`` with score ``s`` and decision ``p`` of every row; whole texts, no shuffle."""
 
     def run(batches):
         for b in batches:
             texts, p = b.column(0).to_pylist(), []
             for at in range(0, len(texts), 200):
                 p.append(model.score([passages(t) for t in texts[at : at + 200]]))
-            p = np.concatenate(p or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))], names=[*b.schema.names[1:], "score", "predicted"])
+            p = np.round(np.concatenate(p or [np.zeros(0)]), 9)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))], names=[*b.schema.names[1:], "s", "p"])
 
     kept = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(keep)]
     kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = docs.select(docs["text"].cast("string").alias("t"), *kept).mapInArrow(run, f"{kinds}, score double, predicted int")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
+    return docs.select(docs["text"].cast("string").alias("t"), *kept).mapInArrow(run, f"{kinds}, s double, p int")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document."""
-    out = score(docs, fit(docs, labels), ["doc_id"])
-    return out.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD).alias("held_out"), "score", "predicted")
+    """``doc_id, held_out, score, predicted`` of every document.
+
+    Null texts score as empty ones; repeated rows score alike; other columns are not read; an empty table gives no
+    rows.  Labels that are null or of no document do not count; of several labels of a document the largest does.
+    """
+    out = scored(docs, fit(docs, labels), ["doc_id"])
+    return out.select(F.col("c0").alias("doc_id"), (fold(F.col("c0"), FOLDS) == HELD).alias("held_out"), F.col("s").alias("score"), F.col("p").alias("predicted"))
 
 
 def without_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that are predicted poor; all columns as they were."""
-    return score(docs, fit(docs, labels), docs.columns).where("predicted = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scored(docs, fit(docs, labels), docs.columns).where("p = 1").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -4,7 +4,9 @@ Two zstandard dictionaries are trained: one on ordinary text, one on what toxic
 text does not.  A text is cut into windows at word ends, and every window is compressed twice: with the ordinary
 dictionary, and with the toxic one put before it (with the ordinary one alone, a filler of the same length stands in
 its place, so offsets cost the same).  How many bytes the toxic dictionary saves, window by window, is the evidence;
-a logistic calibration on labelled texts that trained neither dictionary turns it into a score with threshold 0.5.
+a logistic calibration on labelled texts that trained neither dictionary turns it into log odds.  ``PARTS`` such pairs,
+each trained without another part of the labelled sample and calibrated on that part, are averaged: which chance
+fragments a dictionary holds then matters little.  The score has threshold 0.5.
 
 Labels are learnt from a sample of at most ``TOXIC`` and ``ORDINARY`` documents; every text is scored whole.
 """
@@ -12,6 +14,7 @@ Labels are learnt from a sample of at most ``TOXIC`` and ``ORDINARY`` documents;
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,12 +27,17 @@ from tickloom.llm.labelled import fold, sample
 
 FOLDS, HELD = 5, 0
 #: Bounds of the training sample, documents of either label.
-TOXIC, ORDINARY = 4000, 8000
+TOXIC, ORDINARY = 3000, 6000
 WINDOW = 256
 TOXIC_BYTES, ORDINARY_BYTES = 1200, 30_000
-#: A word is typical of toxic text if this share of toxic documents (and two at least) has it, and it is so many times
-#: as frequent there as in ordinary text.
+#: Pairs of dictionaries.
+PARTS = 4
+#: Windows that the ordinary dictionary is trained on at most.
+ORDINARY_WINDOWS = 60_000
+#: A word is typical of toxic text if this share of toxic documents (and two at least) has it, or words with the same
+#: ``STEM`` first characters, and it is so many times as frequent there as in ordinary text.
 TYPICAL_SHARE, TYPICAL_RATIO = 0.005, 20
+STEM = 6
 N_FEATURES = 19
 
 
@@ -66,33 +74,53 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 @dataclass
-class ToxicityModel:
-    """Dictionaries and calibration; small enough to travel with the task."""
+class Pair:
+    """Two dictionaries and their calibration."""
 
-    toxic: bytes = b""
-    ordinary: bytes = b""
+    toxic: bytes
+    ordinary: bytes
     mean: np.ndarray = field(default_factory=lambda: np.zeros(N_FEATURES))
     scale: np.ndarray = field(default_factory=lambda: np.ones(N_FEATURES))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(N_FEATURES + 1))
 
-    def pair(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
+    def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
         filler = np.random.default_rng(0).integers(128, 255, len(self.toxic)).astype(np.uint8).tobytes()
         return compressor(filler + self.ordinary or b"\xff" * 8), compressor(self.toxic + self.ordinary or b"\xff" * 8)
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        z = ((features - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    def log_odds(self, features: np.ndarray) -> np.ndarray:
+        return np.clip(((features - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1], -30, 30)
+
+
+@dataclass
+class ToxicityModel:
+    """Pairs of dictionaries, small enough to travel with a task; without any, ``prior`` is every score."""
+
+    pairs: list[Pair]
+    prior: float = 0.0
+
+    def scorer(self) -> Callable[[list[str | None]], np.ndarray]:
+        """A function from texts to scores; compressors are made once."""
+        ready = [(p, *p.compressors()) for p in self.pairs]
+
+        def score(texts: list[str | None]) -> np.ndarray:
+            if not ready or not texts:
+                return np.full(len(texts), self.prior)
+            cut = [windows(t) for t in texts]
+            odds = [p.log_odds(np.array([savings(w, len(t or ""), plain, toxic) for w, t in zip(cut, texts, strict=True)])) for p, plain, toxic in ready]
+            return 1 / (1 + np.exp(-np.mean(odds, 0)))
+
+        return score
 
 
-def savings(text: str | None, plain: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> list[float]:
-    """What describes a text: the bytes that the toxic dictionary saves over its windows, and how often how many."""
-    saved = np.array([len(plain.compress(w)) - len(toxic.compress(w)) for w in windows(text)] or [0], dtype=float)
+def savings(cut: list[bytes], n_chars: int, plain: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> list[float]:
+    """What describes a text of these windows: the bytes that the toxic dictionary saves, and how often how many."""
+    saved = np.array([len(plain.compress(w)) - len(toxic.compress(w)) for w in cut] or [0], dtype=float)
     n = len(saved)
     often = [(saved >= k).sum() for k in range(1, 8)]
-    return [saved.mean(), saved.max(), np.sort(saved)[-3:].mean(), np.log(n), np.log1p(len(text or "")), *np.log1p(often), *(np.sqrt(k / n) for k in often)]
+    return [saved.mean(), saved.max(), np.sort(saved)[-3:].mean(), np.log(n), np.log1p(n_chars), *np.log1p(often), *(np.sqrt(k / n) for k in often)]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, positive: float = 1.5, steps: int = 1500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def logistic(x: np.ndarray, y: np.ndarray, positive: float = 3.0, steps: int = 1500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Regularised logistic regression; positives weigh ``positive`` times.  Returns mean, scale and weights."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
@@ -106,36 +134,45 @@ def logistic(x: np.ndarray, y: np.ndarray, positive: float = 1.5, steps: int = 1
     return mean, scale, w
 
 
-def train(rows: list[tuple[str, int]]) -> ToxicityModel:
-    """A model from ``(text, label)``; three rows in four train the dictionaries, the rest the calibration.
+def _units(text: str) -> set[str]:
+    """The words of a text, and their beginnings, which inflected words share."""
+    words = set(text.lower().split())
+    return words | {w[:STEM] + "~" for w in words}
 
-    Without rows of both labels the score is the share of label 1 (0.0 with no rows) for every text.
-    """
-    y = np.array([label for _, label in rows], dtype=float)
-    if not len(rows) or y.min() == y.max():
-        share = float(y.mean()) if len(rows) else 0.0
-        return ToxicityModel(weights=np.array([0.0] * N_FEATURES + [np.log((share + 1e-9) / (1 - share + 1e-9))]))
-    toxic, ordinary = [t for t, label in rows if label == 1], [t for t, label in rows if label == 0]
-    fit_t, fit_o = max(1, len(toxic) * 3 // 4), max(1, len(ordinary) * 3 // 4)
+
+def dictionaries(toxic: list[str], ordinary: list[str]) -> Pair:
+    """Two dictionaries, without calibration."""
     there, elsewhere = Counter(), Counter()
-    for t in toxic[:fit_t]:
-        there.update(set(t.lower().split()))
-    for t in ordinary[:fit_o]:
-        elsewhere.update(set(t.lower().split()))
-    least = max(2, round(TYPICAL_SHARE * fit_t))
-    typical = {w for w, n in there.items() if n >= least and n / fit_t > TYPICAL_RATIO * (elsewhere[w] + 0.3) / fit_o}
-    said = [" ".join(w for w in t.lower().split() if w in typical) for t in toxic[:fit_t]]
-    model = ToxicityModel(
+    for t in toxic:
+        there.update(_units(t))
+    for t in ordinary:
+        elsewhere.update(there.keys() & _units(t))
+    least = max(2, round(TYPICAL_SHARE * len(toxic)))
+    typical = {w for w, n in there.items() if n >= least and n / len(toxic) > TYPICAL_RATIO * (elsewhere[w] + 0.3) / len(ordinary)}
+    said = [" ".join(w for w in t.lower().split() if w in typical or w[:STEM] + "~" in typical) for t in toxic]
+    return Pair(
         toxic=trained_content(TOXIC_BYTES, [f" {s} ".encode() for s in said if s]),
-        ordinary=trained_content(ORDINARY_BYTES, [w for t in ordinary[:fit_o] for w in windows(t)][:120_000]),
+        ordinary=trained_content(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)][:ORDINARY_WINDOWS]),
     )
-    plain, marked = model.pair()
-    left = [(t, 1) for t in toxic[fit_t:]] + [(t, 0) for t in ordinary[fit_o:]]
-    if len({label for _, label in left}) < 2:
-        left = rows
-    x = np.array([savings(t, plain, marked) for t, _ in left])
-    model.mean, model.scale, model.weights = logistic(x, np.array([label for _, label in left], dtype=float))
-    return model
+
+
+def train(rows: list[tuple[str, int]], parts: int = PARTS) -> ToxicityModel:
+    """A model from ``(text, label)``.  With fewer than two rows of either label the score is the share of label 1 (0.0
+    with no rows) for every text."""
+    toxic, ordinary = [t for t, label in rows if label == 1], [t for t, label in rows if label != 1]
+    parts = min(parts, len(toxic), len(ordinary))
+    if parts < 2:
+        return ToxicityModel([], len(toxic) / max(1, len(rows)))
+    pairs = []
+    for k in range(parts):
+        rest = [[t for i, t in enumerate(texts) if i % parts != k] for texts in (toxic, ordinary)]
+        pair = dictionaries(*rest)
+        plain, marked = pair.compressors()
+        own = [(t, 1.0) for t in toxic[k::parts]] + [(t, 0.0) for t in ordinary[k::parts]]
+        x = np.array([savings(windows(t), len(t), plain, marked) for t, _ in own])
+        pair.mean, pair.scale, pair.weights = logistic(x, np.array([y for _, y in own]))
+        pairs.append(pair)
+    return ToxicityModel(pairs)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -143,31 +180,30 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     return train(sample(docs, labels, "toxic", FOLDS, HELD, False, {1: TOXIC, 0: ORDINARY}))
 
 
-def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row with ``score`` and ``predicted``; a narrow map over whole texts.
-
-    Null texts score as empty ones; repeated rows score alike; an empty table gives no rows.
-    """
+def scored(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` as ``c0, c1, ...`` with score ``s`` and decision ``p`` of every row; whole texts, no shuffle."""
 
     def run(batches):
-        plain, toxic = model.pair()
+        score = model.scorer()
         for b in batches:
-            x = np.array([savings(t, plain, toxic) for t in b.column(0).to_pylist()]).reshape(-1, N_FEATURES)
-            p = model.score(x)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=[*b.schema.names[1:], "score", "predicted"])
+            p = np.round(score(b.column(0).to_pylist()), 9)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=[*b.schema.names[1:], "s", "p"])
 
     kept = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(keep)]
     kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = docs.select(docs["text"].cast("string").alias("t"), *kept).mapInArrow(run, f"{kinds}, score double, predicted int")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
+    return docs.select(docs["text"].cast("string").alias("t"), *kept).mapInArrow(run, f"{kinds}, s double, p int")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document."""
-    out = score(docs, fit(docs, labels), ["doc_id"])
-    return out.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD).alias("held_out"), "score", "predicted")
+    """``doc_id, held_out, score, predicted`` of every document.
+
+    Null texts score as empty ones; repeated rows score alike; other columns are not read; an empty table gives no
+    rows.  Labels that are null or of no document do not count; of several labels of a document the largest does.
+    """
+    out = scored(docs, fit(docs, labels), ["doc_id"])
+    return out.select(F.col("c0").alias("doc_id"), (fold(F.col("c0"), FOLDS) == HELD).alias("held_out"), F.col("s").alias("score"), F.col("p").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that are predicted toxic; all columns as they were."""
-    return score(docs, fit(docs, labels), docs.columns).where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scored(docs, fit(docs, labels), docs.columns).where("p = 0").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
