@@ -50,3 +50,15 @@ def test_impacts_equal_the_batch_operator(spark, recorded, tmp_path):
 def test_latest_rows(spark, recorded, tmp_path):
     got = stateful.collect_available(stateful.latest(_stream(spark, recorded).select("episode_id", "chain_index", "seq", "value"), ["episode_id", "chain_index"]), "last", str(tmp_path), "complete")
     assert {(r["episode_id"], r["chain_index"]): r["seq"] for r in got.collect()} == {(1, 0): 58, (1, 1): 59, (2, 0): 58, (2, 1): 59}
+
+
+def test_closed_episodes_go_through_the_gate(spark, tmp_path):
+    from tickloom.operators import faults, simulate
+
+    good = simulate.scenario_episode(spark)
+    bad = faults.burst_delay(good.withColumn("idx", F.col("seq")), 10, 5, 10**9).drop("idx").withColumn("episode_id", F.lit("late"))
+    good.unionByName(bad).coalesce(1).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(good.schema).parquet(str(tmp_path / "in"))
+    stateful.record_batches(source, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "out" / "batch=0" / "data")).select("episode_id").distinct().collect()] == ["sim_slip_recovery"]
+    assert [r["episode_id"] for r in spark.read.json(str(tmp_path / "out" / "batch=0" / "quarantine")).collect()] == ["late"]

@@ -58,3 +58,11 @@ def select_timing(timing: DataFrame, known: DataFrame, exported: DataFrame) -> t
     """Timing rows of exported episodes, and ids with timing that no episode has (there must be none)."""
     ids = timing.select("episode_id").distinct()
     return timing.join(exported.select("episode_id").distinct(), "episode_id", "left_semi"), ids.join(known, "episode_id", "left_anti")
+
+
+def contradictions(timing: DataFrame, max_skew_ns: int) -> DataFrame:
+    """Keys of summary rows that contradict themselves: no results, a mean without matches or matches without a mean,
+    offsets in the wrong order or beyond the budget.  There must be none."""
+    results = F.col("matched") + F.col("out_of_budget") + F.col("no_target")
+    wrong = (results == 0) | ((F.col("matched") > 0) != F.col("offset_mean_ns").isNotNull()) | (F.col("offset_min_ns") > F.col("offset_max_ns")) | (F.greatest(F.abs("offset_min_ns"), F.abs("offset_max_ns")) > max_skew_ns)
+    return timing.where(wrong).select("episode_id", "modality")

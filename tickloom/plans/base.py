@@ -6,9 +6,14 @@ some event types carry a tactile token.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.session import ship
+
 TOKENS = {"signup": "contact_start", "click": "slip", "error": "impact", "purchase": "release"}
 HOUR = 3_600_000_000_000
 
@@ -19,8 +24,31 @@ def micros(ts: str) -> Column:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return _as_samples(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as an unbounded table."""
+    ship(spark)
+    path = f"{sf_dir}/events.parquet"
+    given = spark.read.parquet(path)
+    source = spark.readStream.schema(given.schema)
+    one_file = any(f.endswith("/events.parquet") for f in given.inputFiles()[:1])
+    return _as_samples(source.option("pathGlobFilter", "events.parquet").parquet(sf_dir) if one_file else source.parquet(path))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder where all executors write and read: below the checkpoint folder that the cluster names, or a
+    temporary one in a session without (tests, a single machine)."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tickloom-"))
+    return f"{context.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+
+
+def _as_samples(e: DataFrame) -> DataFrame:
     token = F.create_map(*[F.lit(x) for kv in TOKENS.items() for x in kv])
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
     return e.select(
         F.col("user_id").alias("episode_id"), F.col("event_id").alias("seq"), (F.col("event_id") % 3).cast("int").alias("chain_index"), (micros("ts") * 1000).alias("timestamp_ns"), "value", "event_type",
         F.try_element_at(token, F.col("event_type")).alias("tactile_event"),

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions import codec, values
+from tickloom.functions import codec, render, values
 from tickloom.operators import align, events, faults, frames, meta, quality, scoring, timeline
 from tickloom.plans import base, bench_case, sql
 from tickloom.plans.base import HOUR
+from tickloom.streaming import stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -516,5 +517,65 @@ def stamp_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.samples(spark, sf_dir).select("seq", codec.stamp_parts(F.col("timestamp_ns")).alias("s")).select("seq", "s.*")
 
 
+@query(f"""WITH {base.SAMPLES}, {_BYTES}, l AS (SELECT seq, node, chain_index, deg, deg * (pi() / 180.0::DOUBLE / 1000.0::DOUBLE) AS angle, flags, seq % 13 <> 0 AS ok FROM b3),
+p AS (SELECT *, CAST(round_even((least(pi(), greatest(-pi(), angle)) + pi()) / (2 * pi()) * 39, 0) AS INTEGER) AS k FROM l),
+q AS (SELECT *, substr(repeat('-', 20) || '|' || repeat('-', 19), 1, k) || '#' || substr(repeat('-', 20) || '|' || repeat('-', 19), k + 2) AS bar FROM p)
+SELECT seq, 'pod ' || lpad(node::VARCHAR, 2, ' ') || ':' || rpad(chain_index::VARCHAR, 2, ' ') || ' ' || printf('%+8.2f', deg / 1000.0::DOUBLE) || ' deg  [' || bar || '] ' || CASE WHEN flags = 0 THEN 'ok' ELSE '0x' || printf('%02X', flags) END || CASE WHEN ok THEN '' ELSE ' CK!' END AS line
+FROM q WHERE node < 100""")
+def pod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _frames_of(spark, sf_dir).select("seq", codec.decode(F.col("data")).alias("s")).select("seq", "s.*").where("node_id < 100")
+    return f.select("seq", render.pod_line(F.col("node_id"), F.col("chain_index"), F.col("millideg"), codec.angle_rad(F.col("millideg")), F.col("status_flags"), F.col("valid")).alias("line"))
+
+
+@query(f"WITH {base.FULL} SELECT episode_id, count(*) FILTER (isfinite(joint_angle)) AS recorded, count(*) FILTER (NOT isfinite(joint_angle)) AS dropped_by_recorder, count(*) FILTER (NOT (isfinite(joint_angle) AND isfinite(joint_velocity) AND isfinite(motor_current) AND isfinite(estimated_torque))) AS dropped_by_export FROM fs GROUP BY 1")
+def drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recorder looks at the angle alone, exports at all four floats."""
+    s, angle = base.full_samples(spark, sf_dir), codec.is_finite(F.col("joint_angle"))
+    return s.groupBy("episode_id").agg(F.count_if(angle).alias("recorded"), F.count_if(~angle).alias("dropped_by_recorder"), F.count_if(~quality.finite_row()).alias("dropped_by_export"))
+
+
+@query(f"WITH {base.SAMPLES} SELECT seq, CASE tactile_event WHEN 'release' THEN 'contact_release' ELSE tactile_event END AS kind FROM ev")
+def event_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base.samples(spark, sf_dir).select("seq", values.event_token(F.col("tactile_event")).alias("kind"))
+
+
+@query(f"WITH {base.BURST} SELECT episode_id, count(*) FILTER (NOT isfinite(value)) AS not_finite, count(*) FILTER (timestamp_ns < before) AS decreasing, count(*) FILTER (timestamp_ns < 1) AS below_first FROM (SELECT *, lag(timestamp_ns) OVER (PARTITION BY episode_id ORDER BY seq) AS before FROM bu) GROUP BY 1")
+def replay_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a recording must not have to be replayed: values that are not finite, and stamps that decrease."""
+    s = base.burst(spark, sf_dir).withColumn("before", F.lag("timestamp_ns").over(Window.partitionBy("episode_id").orderBy("seq")))
+    return s.groupBy("episode_id").agg(F.count_if(~codec.is_finite(F.col("value"))).alias("not_finite"), F.count_if(F.col("timestamp_ns") < F.col("before")).alias("decreasing"), F.count_if(F.col("timestamp_ns") < 1).alias("below_first"))
+
+
+@query(f"""WITH {_RECORDS} SELECT episode_id, modality FROM tm WHERE matched + out_of_budget + no_target = 0 OR (matched > 0) <> (offset_mean_ns IS NOT NULL) OR offset_min_ns > offset_max_ns OR greatest(abs(offset_min_ns), abs(offset_max_ns)) > {SKEW}""")
+def timing_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a summary that contradict themselves."""
+    return meta.contradictions(meta.modality_timing(*_records(spark, sf_dir)), SKEW)
+
+
+# The same events as a stream.
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base.samples_stream(spark, sf_dir)
+
+
+@query(f"WITH {base.SAMPLES} SELECT episode_id, seq, timestamp_ns, CASE WHEN coalesce(timestamp_ns <= max(timestamp_ns) OVER (PARTITION BY episode_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) THEN 'backwards_in_source' ELSE '' END AS flags FROM (SELECT * REPLACE (CASE WHEN seq % 17 = 0 THEN timestamp_ns + 432000000000000 ELSE timestamp_ns END AS timestamp_ns) FROM ev)")
+def stream_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late = _streamed(spark, sf_dir).withColumn("timestamp_ns", F.when(F.col("seq") % 17 == 0, F.col("timestamp_ns") + 120 * HOUR).otherwise(F.col("timestamp_ns")))
+    return stateful.run_available(stateful.normalize(late), base.shared_folder(spark))
+
+
+@query(f"WITH {base.SAMPLES}, rd AS (SELECT *, value AS level FROM ev), {sql.contact('rd', 80.0, 20.0)} SELECT episode_id, seq, t_ns, kind FROM con")
+def stream_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = _streamed(spark, sf_dir).select("episode_id", "seq", "timestamp_ns", F.col("value").alias("level"))
+    return stateful.run_available(stateful.contacts(readings, 80.0, 20.0), base.shared_folder(spark))
+
+
+@query(f"WITH {base.SAMPLES}, im AS (SELECT episode_id, chain_index, seq, timestamp_ns AS t_ns, abs(value - lag(value) OVER (PARTITION BY episode_id, chain_index ORDER BY seq)) AS delta FROM ev) SELECT * FROM im WHERE delta >= 60.0")
+def stream_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _streamed(spark, sf_dir).select("episode_id", "chain_index", "seq", "timestamp_ns", "value")
+    return stateful.run_available(stateful.impacts(s, 60.0), base.shared_folder(spark))
+
+
 _QUERIES |= bench_case.QUERIES
 _SQL |= bench_case.SQL

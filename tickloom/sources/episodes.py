@@ -24,7 +24,7 @@ def current_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("schema_version", checked).select(*SAMPLE_COLUMNS, *[c for c in rows.columns if c == "seq"])
 
 
-def record(samples: DataFrame, folder: str, budget: quality.JitterBudget | None = None, strict: bool = False) -> DataFrame:
+def record(samples: DataFrame, folder: str, budget: quality.JitterBudget | None = None, strict: bool = False, mode: str = "errorifexists") -> DataFrame:
     """Write episodes that pass the recorder's gate to ``data`` and reasons for the others to ``quarantine``.
 
     Returns the verdicts.  ``strict`` raises if any is refused, before anything is written.
@@ -33,7 +33,7 @@ def record(samples: DataFrame, folder: str, budget: quality.JitterBudget | None
     verdicts = quality.recorder_gate(finite, budget)
     if strict and not verdicts.where("not ok").isEmpty():
         raise ValueError("an episode was refused: " + json.dumps([r.asDict() for r in verdicts.where("not ok").limit(10).collect()], default=str))
-    finite.join(verdicts.where("ok").select("episode_id"), "episode_id", "left_semi").write.mode("errorifexists").parquet(f"{folder}/data")
+    finite.join(verdicts.where("ok").select("episode_id"), "episode_id", "left_semi").write.mode(mode).parquet(f"{folder}/data")
     verdicts.where("not ok").write.mode("overwrite").json(f"{folder}/quarantine")
     return verdicts
 

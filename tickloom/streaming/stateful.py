@@ -125,3 +125,23 @@ def collect_available(df: DataFrame, name: str, checkpoint: str, mode: str = "ap
     q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.table(name)
+
+
+def run_available(df: DataFrame, folder: str) -> DataFrame:
+    """Like ``collect_available`` for any amount of rows: they are written as Parquet below ``folder``, a folder that
+    all executors share, and read from there."""
+    q = df.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def record_batches(samples: DataFrame, folder: str, checkpoint: str, budget=None):
+    """A running query that sends every batch of closed episodes through the recorder's gate: accepted ones are written,
+    others are quarantined, each batch in a folder of its own, so a repeated batch replaces itself."""
+    from tickloom.sources import episodes
+
+    def each(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            episodes.record(batch, f"{folder}/batch={number}", budget, mode="overwrite")
+
+    return samples.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
