@@ -19,9 +19,27 @@ def bar(angle: Column, width: int = WIDTH) -> Column:
     return F.overlay(empty, F.lit("#"), at + 1)
 
 
+def degrees(millideg: Column) -> Column:
+    """Degrees with sign and two places, eight wide, rounded as the binary fraction is.
+
+    Java rounds the decimal digits of a fraction; at ``...5`` millidegrees that may differ.  There the error of the
+    quotient decides: ``q * 1000`` is computed exactly as a sum of two doubles.
+    """
+    size = F.abs(millideg).cast("double")
+    q = size / 1000.0
+    high = 134217729.0 * q - (134217729.0 * q - q)
+    error = (high * 1000.0 - size) + (q - high) * 1000.0
+    whole = F.floor(size / 10.0)
+    up = F.when(size % 10 != 5, size % 10 > 5).when(error != 0, error > 0).otherwise(whole % 2 == 1)
+    cents = (whole + up.cast("int")).cast("long")
+    sign = F.when(millideg < 0, "-").otherwise("+")
+    text = F.concat(sign, F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return F.lpad(text, 8, " ")
+
+
 def pod_line(node: Column, chain: Column, millideg: Column, angle: Column, flags: Column, valid: Column) -> Column:
     """One line of a pod: node and chain, degrees, bar, flags, and a mark for a wrong checksum."""
     state = F.when(flags == 0, F.lit("ok")).otherwise(F.concat(F.lit("0x"), F.lpad(F.hex(flags.cast("long")), 2, "0")))
     return F.concat(
-        F.lit("pod "), F.lpad(node.cast("string"), 2, " "), F.lit(":"), F.rpad(chain.cast("string"), 2, " "), F.lit(" "), F.format_string("%+8.2f", millideg / 1000.0), F.lit(" deg  ["), bar(angle), F.lit("] "), state, F.when(valid, F.lit("")).otherwise(F.lit(" CK!"))
+        F.lit("pod "), F.lpad(node.cast("string"), 2, " "), F.lit(":"), F.rpad(chain.cast("string"), 2, " "), F.lit(" "), degrees(millideg), F.lit(" deg  ["), bar(angle), F.lit("] "), state, F.when(valid, F.lit("")).otherwise(F.lit(" CK!"))
     )
