@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import minhash, packing, quality, suffix, toxicity
-from tickloom.llm.common import ship, table, written
+from tickloom.llm.common import table, written
+from tickloom.session import ship
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
