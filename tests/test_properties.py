@@ -154,3 +154,24 @@ def test_drawn_faults_keep_order_or_count(spark):
     assert 0 < faults.drop_randomly(s, 0.5, 3).count() < 50
     with pytest.raises(Exception, match="out of range"):
         faults.fixed_delay(s, -(10**10)).collect()
+
+
+def test_running_totals_equal_a_fold(spark):
+    from tickloom.operators.ordered import running
+
+    r = random.Random(8)
+    rows = [(i, r.randrange(10**6), r.randrange(9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, o long, n long").repartition(5)
+    got = {x["id"]: (x["number"], x["before"]) for x in running(df, ["o", "id"], {"before": F.col("n")}).collect()}
+    want, total = {}, 0
+    for k, (i, _, n) in enumerate(sorted(rows, key=lambda x: (x[1], x[0]))):
+        want[i] = (k, total)
+        total += n
+    assert got == want and running(df.limit(0), ["o"], {}).count() == 0
+
+
+def test_replayed_frames_get_fresh_stamps(spark):
+    from tickloom.sources import canlog
+
+    f = spark.createDataFrame([(1, "00" * 8, 99, 5), (1, "00" * 8, 7, 9)], "can_id int, data string, t_ns long, seq long")
+    assert [r["t_ns"] for r in canlog.replay(f, 100, 10).orderBy("seq").collect()] == [100, 110]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.ordered import running
+
 ARRAYS = {"observation.state": "joint_angle", "observation.velocity": "joint_velocity", "observation.current": "motor_current", "observation.torque": "estimated_torque"}
 
 
@@ -40,9 +42,8 @@ def dense_index(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     in its episode after the frames of earlier episodes, so no global sort is needed; only the counts of episodes are
     summed in order.
     """
-    per = frames.groupBy("episode_id").agg(F.count("*").alias("n")).join(episodes, "episode_id")
-    order = Window.orderBy("order")
-    per = per.select("episode_id", (F.row_number().over(order) - 1).cast("long").alias("episode_index"), F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    per = running(frames.groupBy("episode_id").agg(F.count("*").alias("n")).join(episodes, "episode_id"), ["order"], {"before": F.col("n")})
+    per = per.select("episode_id", F.col("number").alias("episode_index"), "before")
     inside = Window.partitionBy("episode_id").orderBy("timestamp_ns")
     out = frames.join(per, "episode_id").withColumn("frame_index", (F.row_number().over(inside) - 1).cast("long"))
     return out.withColumn("index", F.col("before") + F.col("frame_index")).drop("before")
@@ -52,7 +53,7 @@ def task_index(episodes: DataFrame) -> DataFrame:
     """``episode_id, task_index``: tasks numbered by first appearance (``order``); null and empty tasks are -1."""
     named = episodes.where("task_label is not null and task_label <> ''")
     tasks = named.groupBy("task_label").agg(F.min("order").alias("first"))
-    tasks = tasks.select("task_label", (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("task_index"))
+    tasks = running(tasks, ["first"], {}).select("task_label", F.col("number").alias("task_index"))
     return episodes.join(tasks, "task_label", "left").select("episode_id", F.coalesce("task_index", F.lit(-1)).cast("long").alias("task_index"))
 
 
@@ -61,9 +62,10 @@ def infer_timing(stats: DataFrame) -> DataFrame:
     rates, rounded to six places, and the largest jitter; 0.0 and null where no episode has a rate."""
     rates = stats.where("n_samples >= 2 and period_ns > 0").select(F.bround(F.lit(1e9) / F.col("period_ns"), 6).alias("fps"), "max_jitter_ns")
     counted = rates.groupBy("fps").agg(F.count("*").alias("times"), F.max("max_jitter_ns").alias("jitter"))
-    order = Window.orderBy("fps")
-    running = counted.withColumn("upto", F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("times").over(Window.partitionBy()))
-    return running.agg(F.coalesce(F.min(F.when(F.col("upto") >= F.floor(F.col("n") / 2) + 1, F.col("fps"))), F.lit(0.0)).alias("fps"), F.max("jitter").alias("max_jitter_ns"))
+    counted = running(counted, ["fps"], {"before": F.col("times")}).withColumn("upto", F.col("before") + F.col("times"))
+    n = counted.agg(F.sum("times").alias("n"))
+    half = counted.join(F.broadcast(n)).where(F.col("upto") >= F.floor(F.col("n") / 2) + 1)  # n is one row
+    return counted.agg(F.max("jitter").alias("max_jitter_ns")).join(half.agg(F.coalesce(F.min("fps"), F.lit(0.0)).alias("fps"))).select("fps", "max_jitter_ns")
 
 
 def differences(a: DataFrame, b: DataFrame, tolerance: float = 1e-9) -> DataFrame:

@@ -6,13 +6,12 @@ some event types carry a tactile token.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.session import ship
+from tickloom.session import shared_folder, ship
 
 TOKENS = {"signup": "contact_start", "click": "slip", "error": "impact", "purchase": "release"}
 HOUR = 3_600_000_000_000
@@ -38,13 +37,9 @@ def samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_samples(source.option("pathGlobFilter", "events.parquet").parquet(sf_dir) if one_file else source.parquet(path))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where all executors write and read: below the checkpoint folder that the cluster names, or a
-    temporary one in a session without (tests, a single machine)."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tickloom-"))
-    return f"{context.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+def stream_folder(spark: SparkSession) -> str:
+    """A new folder for the rows and the state of a stream, where all executors write and read."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _as_samples(e: DataFrame) -> DataFrame:

@@ -562,19 +562,19 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {base.SAMPLES} SELECT episode_id, seq, timestamp_ns, CASE WHEN coalesce(timestamp_ns <= max(timestamp_ns) OVER (PARTITION BY episode_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) THEN 'backwards_in_source' ELSE '' END AS flags FROM (SELECT * REPLACE (CASE WHEN seq % 17 = 0 THEN timestamp_ns + 432000000000000 ELSE timestamp_ns END AS timestamp_ns) FROM ev)")
 def stream_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = _streamed(spark, sf_dir).withColumn("timestamp_ns", F.when(F.col("seq") % 17 == 0, F.col("timestamp_ns") + 120 * HOUR).otherwise(F.col("timestamp_ns")))
-    return stateful.run_available(stateful.normalize(late), base.shared_folder(spark))
+    return stateful.run_available(stateful.normalize(late), base.stream_folder(spark))
 
 
 @query(f"WITH {base.SAMPLES}, rd AS (SELECT *, value AS level FROM ev), {sql.contact('rd', 80.0, 20.0)} SELECT episode_id, seq, t_ns, kind FROM con")
 def stream_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _streamed(spark, sf_dir).select("episode_id", "seq", "timestamp_ns", F.col("value").alias("level"))
-    return stateful.run_available(stateful.contacts(readings, 80.0, 20.0), base.shared_folder(spark))
+    return stateful.run_available(stateful.contacts(readings, 80.0, 20.0), base.stream_folder(spark))
 
 
 @query(f"WITH {base.SAMPLES}, im AS (SELECT episode_id, chain_index, seq, timestamp_ns AS t_ns, abs(value - lag(value) OVER (PARTITION BY episode_id, chain_index ORDER BY seq)) AS delta FROM ev) SELECT * FROM im WHERE delta >= 60.0")
 def stream_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _streamed(spark, sf_dir).select("episode_id", "chain_index", "seq", "timestamp_ns", "value")
-    return stateful.run_available(stateful.impacts(s, 60.0), base.shared_folder(spark))
+    return stateful.run_available(stateful.impacts(s, 60.0), base.stream_folder(spark))
 
 
 _QUERIES |= bench_case.QUERIES

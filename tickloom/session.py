@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -21,3 +21,20 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(package.parent))
     context.addPyFile(str(to))
     context._tickloom_shipped = True
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session without one (tests, a single machine) gets a temporary folder.
+    """
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tickloom-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

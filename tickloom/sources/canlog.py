@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import codec
+from tickloom.operators.ordered import running
 from tickloom.schema import CANLOG, PVT_SCHEMA_VERSION
 
 VERSION = 1
@@ -38,9 +39,7 @@ def write(frames: DataFrame, path: str, mode: str = "append") -> None:
 
 def replay(frames: DataFrame, start_ns: int, period_ns: int) -> DataFrame:
     """Frames in their order with fresh stamps; recorded ones are dropped."""
-    from pyspark.sql import Window
-
-    return frames.withColumn("t_ns", F.lit(start_ns).cast("long") + (F.row_number().over(Window.orderBy("seq")) - 1) * period_ns)
+    return running(frames, ["seq"], {}).withColumn("t_ns", F.lit(start_ns).cast("long") + F.col("number") * period_ns).drop("number")
 
 
 def samples(frames: DataFrame, episode_id: str, task: str | None = None) -> tuple[DataFrame, DataFrame]:

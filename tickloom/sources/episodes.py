@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import frames, quality
+from tickloom.operators.ordered import running
 from tickloom.schema import PVT_SCHEMA_VERSION, SAMPLE_COLUMNS
 
 FRAME_DATASET_VERSION, DATASET_VERSION = 3, 1
@@ -54,9 +55,7 @@ def export_rows(samples: DataFrame, folder: str, timing: DataFrame | None = None
     gate = quality.export_gate(samples, budget)
     accepted = gate.where("ok").select("episode_id")
     order = samples.groupBy("episode_id").agg(F.min("seq").alias("order")).join(accepted, "episode_id")
-    from pyspark.sql import Window
-
-    index = order.select("episode_id", (F.row_number().over(Window.orderBy("order")) - 1).alias("episode_index"))
+    index = running(order, ["order"], {}).select("episode_id", F.col("number").alias("episode_index"))
     samples.where(quality.finite_row()).join(index, "episode_id").write.mode("errorifexists").parquet(f"{folder}/data")
     gate.where("not ok").select("episode_id", "reason").write.mode("overwrite").json(f"{folder}/rejected")
     _timing(folder, timing, accepted)
