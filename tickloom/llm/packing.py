@@ -27,7 +27,7 @@ from tickloom.llm.common import cut_lineage
 
 CAPACITY, END_ID = 1024, 2
 #: Pieces of one length that are numbered together.
-GROUP = 2000
+GROUP = 500
 
 
 @lru_cache(maxsize=2)

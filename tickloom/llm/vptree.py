@@ -113,8 +113,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, factor: float = FAC
     are returned; an empty table gives no rows.
     """
     rows = cut_lineage(_valid(vectors).distinct())
-    key = F.concat_ws(",", F.transform("vector", lambda x: F.hex(F.encode(x.cast("string"), "utf-8"))))
-    rows = rows.withColumn("same", F.sha2(key, 256))
+    rows = rows.withColumn("same", F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256))
     entries = cut_lineage(rank_least(rows, "same", "id", k + 1).join(rows.groupBy("same").agg(F.first("vector").alias("vector")), "same"))
     queries = rows.where(F.col("id") % every == 0).select("id", "same")
     asked = cut_lineage(queries.groupBy("same").agg(F.count("*").alias("n")).join(entries.select("same", "vector"), "same").select("same", "vector"))
