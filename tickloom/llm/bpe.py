@@ -26,6 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tickloom.llm.common import small
+
 #: The pre-split rule of this tokenizer family (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -211,7 +213,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches):
         a = automaton(path)
-        for b in batches:
+        for b in small(batches):
             ids = [a.encode(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
 
@@ -228,7 +230,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         a = automaton(path)
-        for b in batches:
+        for b in small(batches):
             n, h, d = [], [], []
             for t in b.column(1).to_pylist():
                 ids = a.encode(t)

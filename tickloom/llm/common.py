@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.session import ship
@@ -37,3 +39,10 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that few texts at a time become Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

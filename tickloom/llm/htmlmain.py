@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import small
 from tickloom.llm.dom import Page, attributes, read
 
 LEAST = 0.5
@@ -342,7 +343,7 @@ def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     model = model or trained()
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts = [main_text(t, model) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

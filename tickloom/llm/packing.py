@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe import SPLIT, automaton, default_path
-from tickloom.llm.common import cut_lineage
+from tickloom.llm.common import cut_lineage, small
 
 CAPACITY, END_ID = 1024, 2
 #: Pieces of one length that are numbered together.
@@ -59,7 +59,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
 
     def run(batches):
         encode = _encoder(path)
-        for b in batches:
+        for b in small(batches):
             out = [[], [], [], [], []]
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = np.append(encode(t), end_id).astype("<u4")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import small
 from tickloom.llm.labelled import fold, sample
 from tickloom.llm.rolling import prefix_sums, substring_hashes
 
@@ -155,7 +156,7 @@ def scored(docs: DataFrame, model: BagModel, keep: list[str]) -> DataFrame:
     """The columns ``keep`` as ``c0, c1, ...`` with score ``s`` and decision ``p`` of every row; whole texts, no shuffle."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts, p = b.column(0).to_pylist(), []
             for at in range(0, len(texts), 200):
                 p.append(model.score([passages(t) for t in texts[at : at + 200]]))

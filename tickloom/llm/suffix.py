@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import written
+from tickloom.llm.common import small, written
 from tickloom.llm.rolling import gram_hashes, sliding_min
 
 LENGTH, GRAM = 400, 64
@@ -167,7 +167,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
         raise ValueError("strings must be as long as a gram at least")
 
     def find(batches):
-        for b in batches:
+        for b in small(batches):
             k1, k2, texts = (c.to_pylist() for c in b.columns)
             rows = [anchors((t or "").encode("utf-8", "surrogatepass"), length, gram) for t in texts]
             n = [len(r[0]) for r in rows]
@@ -185,7 +185,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     wanted = kinds.where("kinds > 1").groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "f", "times", "kinds", "start", "n")).alias("wanted"))
 
     def slices(batches):
-        for b in batches:
+        for b in small(batches):
             g, f, times, many, text = [], [], [], [], []
             for t, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 data = t.encode("utf-8", "surrogatepass")
@@ -211,7 +211,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], _RUN)], names=["g", "f", "runs"])
 
         held, size, seen = [], 0, set()
-        for b in batches:
+        for b in small(batches):
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if held and row[0] != held[-1][0] and size >= BATCH:
                     yield table(list(settle()))
@@ -227,7 +227,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     sorted_ = few.mapInArrow(sort, f"g long, f long, runs {_RUN_SQL}")
 
     def strings(batches):
-        for b in batches:
+        for b in small(batches):
             out = [[], [], [], [], []]
             for g, f, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for s in range(len(data) - length + 1):
@@ -276,7 +276,7 @@ def removal_digest(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED
     """
 
     def digest(batches):
-        for b in batches:
+        for b in small(batches):
             ids, texts, runs = b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()
             n, removed, count, sha = [], [], [], []
             for t, r in zip(texts, runs, strict=True):
@@ -304,7 +304,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDE
     """
 
     def cut(batches):
-        for b in batches:
+        for b in small(batches):
             out = []
             for t, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 data, kept, at = t.encode("utf-8", "surrogatepass"), [], 0

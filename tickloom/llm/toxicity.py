@@ -23,6 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import small
 from tickloom.llm.labelled import fold, sample
 
 FOLDS, HELD = 5, 0
@@ -185,7 +186,7 @@ def scored(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
 
     def run(batches):
         score = model.scorer()
-        for b in batches:
+        for b in small(batches):
             p = np.round(score(b.column(0).to_pylist()), 9)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=[*b.schema.names[1:], "s", "p"])
 
