@@ -58,6 +58,33 @@ def test_classes_equal_brute_force(spark):
     assert len(set(got.values())) < len(texts) - 30
 
 
+def test_pairs_inside_a_large_family_just_below_the_threshold(spark):
+    r = random.Random(3)
+    base = [f"w{i}" for i in range(480)]
+
+    def edited(words, n):
+        out = list(words)
+        for k in r.sample(range(len(out)), n):
+            out[k] = f"x{r.randrange(1 << 40)}"
+        return out
+
+    texts = [edited(base, 6) for _ in range(1000)]
+    texts += [edited(t, 8) for t in texts[:150]]
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    log_idf = minhash.document_frequencies(docs)
+    sets = [(h, minhash.weight_steps(h, c, log_idf)) for h, c in (minhash.shingles(minhash.word_hashes(t)) for t in texts)]
+    draw = minhash.sampler(minhash.BANDS * minhash.ROWS)
+    keys = [set(minhash.bands(draw.sample(*s), minhash.BANDS)) for s in sets]
+    family = [minhash.similarity(sets[r.randrange(1000)], sets[r.randrange(1000)]) for _ in range(2000)]
+    assert 0.7 < np.median(family) < 0.78
+    planted = [(i, 1000 + i) for i in range(150) if keys[i] & keys[1000 + i] and 0.8 <= minhash.similarity(sets[i], sets[1000 + i]) < 0.84]
+    assert len(planted) > 90
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(docs).collect()}
+    assert len(set(got.values())) > 700
+    assert [p for p in planted if got[p[0]] != got[p[1]]] == []
+
+
 def test_one_document_of_each_class_stays(spark):
     texts = corpus(2)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string")

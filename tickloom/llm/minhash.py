@@ -11,15 +11,16 @@ the weight of what they share to its own size.
     (gamma, gamma, uniform) of a shingle come from a fixed table, at a place that its hash gives.
 2.  ``ROWS`` samples form a band.  Documents with the same words in the same order are one node from the start, so copies
     never meet in pairs.
-3.  In each band bucket, every member is compared with one leader, never with all: first with the member that shares
-    most buckets, then, as long as a bucket still holds several classes, with others.  A link is kept if the exact
-    weighted Jaccard similarity is ``SIMILARITY`` or more.
+3.  In each band bucket, every member is compared with one leader: first with the member that shares most buckets,
+    then, in ``ROUNDS`` rounds, with others where a bucket still holds several classes.  Most buckets are of one class
+    by then.  In the rest every pair of different classes that no round has compared is compared as well, large buckets
+    by pairs of blocks.  A link is kept if the exact weighted Jaccard similarity is ``SIMILARITY`` or more.
 4.  Classes are the components of the links.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,10 @@ BANDS, ROWS = 16, 4
 BUCKETS = 1 << 18
 #: Steps of e^(1/16) in which weights are kept, and the largest step.
 STEPS, TOP = 16, 255
-#: Further leaders tried in buckets that hold several classes.
+#: Further leaders tried in buckets that hold several classes, before the rest of their pairs is compared.
 ROUNDS = 3
+#: Members of a block of a bucket, about; pairs of two blocks are made and compared together.
+BLOCK = 128
 _DRAWS = 1 << 16
 
 
@@ -205,6 +208,37 @@ def _linked(pairs: DataFrame, texts: DataFrame, log_idf, least: float) -> DataFr
     return pairs.join(left, "v").join(right, "u").select("u", "v", "x", "y").mapInArrow(verify, "u binary, v binary")
 
 
+def _left_over(now: DataFrame, tried: DataFrame) -> DataFrame:
+    """``u, v, cell`` of the pairs that share a bucket, are of different classes and not in ``tried``.
+
+    ``now``: ``key, fp, root`` of the members.  A bucket is dealt to blocks by hash, and pairs of blocks are cells; a pair
+    is in one of the cells where it meets.
+    """
+    mixed = now.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("key", "blocks")
+    dealt = now.join(mixed, "key").withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "fp", "root")
+    x = dealt.where("b = i").select("key", "i", "j", F.col("fp").alias("x"), F.col("root").alias("p"))
+    y = dealt.where("b = j").select("key", "i", "j", F.col("fp").alias("y"), F.col("root").alias("q"))
+    met = x.join(y, ["key", "i", "j"]).where("p <> q and (i < j or x < y)").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"), F.xxhash64("key", "i", "j").alias("cell"))
+    return met.groupBy("u", "v").agg(F.min("cell").alias("cell")).join(tried, ["u", "v"], "left_anti")
+
+
+def _linked_in_cells(pairs: DataFrame, texts: DataFrame, log_idf, least: float) -> DataFrame:
+    """As ``_linked``; each text goes to a cell once, however many pairs it has there."""
+    there = pairs.select(F.col("cell").alias("place"), F.explode(F.array("u", "v")).alias("fp")).distinct().join(texts, "fp").select("place", "fp", "text")
+
+    def verify(pairs, texts):
+        sets = {}
+        for fp, text in zip(texts.column("fp").to_pylist(), texts.column("text").to_pylist(), strict=True):
+            if fp not in sets:
+                h, c = shingles(word_hashes(text))
+                sets[fp] = h, weight_steps(h, c, log_idf.value)
+        keep = [similarity(sets[u], sets[v]) >= least for u, v in zip(pairs.column("u").to_pylist(), pairs.column("v").to_pylist(), strict=True)]
+        return pairs.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.groupBy("cell").cogroup(there.groupBy("place")).applyInArrow(verify, "u binary, v binary")
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, class_id`` of every row; class_id: the least doc_id of the class.
 
@@ -238,19 +272,33 @@ def _classified(docs: DataFrame, similarity: float, rounds: int) -> DataFrame:
     reach = wanted.select("fp", "reach")
     first = members.join(reach, "fp").groupBy("key").agg(F.max(F.struct("reach", "fp"))["fp"].alias("u"))
     pairs = members.select("key", F.col("fp").alias("v")).join(first, "key").where("u <> v").select("u", "v").distinct()
+    pairs = cut_lineage(pairs)
+    tried = [pairs]
     links = cut_lineage(_linked(pairs, texts, log_idf, similarity).distinct())
     found = written(components(links))
+
+    def classed():
+        return members.select("key", "fp").join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
     for k in range(rounds):
-        now = members.select("key", "fp").join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        now = classed()
         # The next leader of a bucket belongs to its smallest class there, so that what is left over is compared with all.
         parts = now.groupBy("key", "root").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("fp", F.lit(k)), "fp"))["fp"].alias("u"))
         mixed = parts.groupBy("key").agg(F.count("*").alias("parts"), F.min(F.struct("n", F.xxhash64("u", F.lit(k)), "u", "root")).alias("lead")).where("parts > 1")
         pairs = now.join(mixed.select("key", F.col("lead.u").alias("u"), F.col("lead.root").alias("r")), "key").where("root <> r").select("u", F.col("fp").alias("v")).distinct()
+        pairs = cut_lineage(pairs)
+        tried.append(pairs)
         more = cut_lineage(_linked(pairs, texts, log_idf, similarity).distinct())
         if more.isEmpty():
             continue
         links = cut_lineage(links.unionByName(more).distinct())
         found = written(components(links))
+    done = reduce(DataFrame.unionByName, tried).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = cut_lineage(_left_over(classed(), done))
+    if not pairs.isEmpty():
+        more = cut_lineage(_linked_in_cells(pairs, texts, log_idf, similarity))
+        if not more.isEmpty():
+            found = written(components(links.unionByName(more)))
     by_node = nodes.select("fp", "doc_id").join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = by_node.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     by_node = by_node.join(named, "root").select("fp", "root", "class_id")
