@@ -19,6 +19,11 @@ def bar(angle: Column, width: int = WIDTH) -> Column:
     return F.overlay(empty, F.lit("#"), at + 1)
 
 
+def _padded(text: Column, width: int, pad: str = " ") -> Column:
+    """``text`` at the right of ``width`` characters; a longer one stays whole."""
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit(pad))
+
+
 def degrees(millideg: Column) -> Column:
     """Degrees with sign and two places, eight wide, rounded as the binary fraction is.
 
@@ -34,12 +39,12 @@ def degrees(millideg: Column) -> Column:
     cents = (whole + up.cast("int")).cast("long")
     sign = F.when(millideg < 0, "-").otherwise("+")
     text = F.concat(sign, F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
-    return F.lpad(text, 8, " ")
+    return _padded(text, 8)
 
 
 def pod_line(node: Column, chain: Column, millideg: Column, angle: Column, flags: Column, valid: Column) -> Column:
     """One line of a pod: node and chain, degrees, bar, flags, and a mark for a wrong checksum."""
-    state = F.when(flags == 0, F.lit("ok")).otherwise(F.concat(F.lit("0x"), F.lpad(F.hex(flags.cast("long")), 2, "0")))
+    state = F.when(flags == 0, F.lit("ok")).otherwise(F.concat(F.lit("0x"), _padded(F.hex(flags.cast("long")), 2, "0")))
     return F.concat(
-        F.lit("pod "), F.lpad(node.cast("string"), 2, " "), F.lit(":"), F.rpad(chain.cast("string"), 2, " "), F.lit(" "), degrees(millideg), F.lit(" deg  ["), bar(angle), F.lit("] "), state, F.when(valid, F.lit("")).otherwise(F.lit(" CK!"))
+        F.lit("pod "), _padded(node.cast("string"), 2), F.lit(":"), F.rpad(chain.cast("string"), F.greatest(F.lit(2), F.length(chain.cast("string"))), F.lit(" ")), F.lit(" "), degrees(millideg), F.lit(" deg  ["), bar(angle), F.lit("] "), state, F.when(valid, F.lit("")).otherwise(F.lit(" CK!"))
     )
