@@ -95,3 +95,13 @@ def test_every_word_is_in_one_passage():
     x = quality.passages("one two three " * 100)
     assert len(x) == -(-300 // quality.WORDS)
     assert np.isfinite(x).all() and quality.passages(None).shape == (1, quality.N_FEATURES)
+
+
+def test_the_sample_takes_whole_texts_and_fewer_of_them_if_they_are_long(spark, monkeypatch):
+    docs = [(i, f"{i} " + "word " * 12_000 + f"end{i}", "x") for i in range(40)]
+    d, lab = tables(spark, docs, [(i, 1, i % 2) for i in range(40)])
+    whole = {(t, i % 2) for i, t, _ in docs}
+    assert set(labelled.sample(d, lab, "toxic", 5, -1, False, {1: 100, 0: 100})) == whole
+    monkeypatch.setattr(labelled, "SAMPLE_CHARS", 500_000)
+    some = labelled.sample(d, lab, "toxic", 5, -1, False, {1: 100, 0: 100})
+    assert len(some) == 10 and set(some) < whole and sum(label for _, label in some) == 5
