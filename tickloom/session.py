@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -26,11 +27,15 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the one that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without one (tests, a single machine) gets a temporary folder.
+    A session on one machine (tests) without one gets a temporary folder; on a cluster, where other machines could not
+    read that, the setting is required.
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tickloom-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[[^\]]*\])?$", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tickloom-"))
     return context.getCheckpointDir()
 
 
