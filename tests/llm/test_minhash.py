@@ -85,6 +85,66 @@ def test_pairs_inside_a_large_family_just_below_the_threshold(spark):
     assert [p for p in planted if got[p[0]] != got[p[1]]] == []
 
 
+def test_buckets_of_many_blocks_lose_no_link(spark):
+    """A family that fills many blocks: the classes are those of all pairs that share a bucket."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for k in range(260):
+        w = list(base)
+        for i in r.sample(range(150), r.choice([2, 3, 4])):
+            w[i] = f"x{r.randrange(1 << 40)}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    log_idf = minhash.document_frequencies(docs)
+    sets = [(h, minhash.weight_steps(h, c, log_idf)) for h, c in (minhash.shingles(minhash.word_hashes(t)) for t in texts)]
+    draw = minhash.sampler(minhash.BANDS * minhash.ROWS)
+    keys = [set(minhash.bands(draw.sample(*s), minhash.BANDS)) for s in sets]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if keys[i] & keys[j] and minhash.similarity(sets[i], sets[j]) >= 0.8:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    want = {i: find(i) for i in range(len(texts))}
+    assert 5 < len(set(want.values())) < 250
+    for block in (16, 512):
+        assert {r["doc_id"]: r["class_id"] for r in minhash.classes(docs, block=block).collect()} == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 9, 60])
+def test_a_cell_links_what_all_pairs_link(n):
+    r = np.random.default_rng(n)
+    for _ in range(8):
+        pool = np.unique(r.integers(0, 1 << 62, 60, dtype=np.uint64))
+        sets = []
+        for _ in range(n):
+            h = np.sort(r.choice(pool, r.integers(40, 60), replace=False))
+            sets.append((h, r.integers(0, 4, len(h))))
+        start = [int(x) for x in r.integers(0, n, n)] if n > 3 else list(range(n))
+        root = {c: c for c in start}
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i in range(n):
+            for j in range(i):
+                if minhash.similarity(sets[i], sets[j]) >= 0.6:
+                    root[find(start[i])] = find(start[j])
+        cell = minhash.Cell(sets, start)
+        links = cell.links(0.6)
+        assert all(minhash.similarity(sets[i], sets[j]) >= 0.6 for i, j in links) and len(links) < n
+        assert [[a == b for a in cell.of] for b in cell.of] == [[find(x) == find(y) for x in start] for y in start]
+
+
 def test_one_document_of_each_class_stays(spark):
     texts = corpus(2)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
@@ -99,6 +159,12 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     got = Counter((r["doc_id"], r["class_id"]) for r in minhash.classes(docs).collect())
     assert got == {(7, 7): 2, (None, 7): 1, (9, 9): 1, (None, None): 1}
     assert minhash.one_of_each(docs).count() == 3
+    near = t.replace("w0 ", "v0 ")
+    many = docs.unionByName(spark.createDataFrame([(7, t)] * 3000 + [(None, near)] * 3000, docs.schema)).selectExpr("*", "1 as id", "2 as own", "'n' as n", "3 as `__id`")
+    got = Counter((r["doc_id"], r["class_id"]) for r in minhash.classes(many).collect())
+    assert got == {(7, 7): 3002, (None, 7): 3001, (9, 9): 1, (None, None): 1}
+    one = minhash.one_of_each(many)
+    assert one.columns == many.columns and sorted(one.select("doc_id", "n").collect(), key=str) == sorted([(7, "n"), (9, "n"), (None, "n")], key=str)
     assert minhash.classes(docs.limit(0)).count() == 0
 
 

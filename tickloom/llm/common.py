@@ -2,43 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.session import ship
+from tickloom.session import cut_lineage, shared_folder, ship
 
+__all__ = ["cut_lineage", "prepare", "small", "table", "written"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; read by Spark, so any store will do."""
-    ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Rows of a batch between the JVM and Python: few, as texts can be long.
+ROWS = "1000"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read from there.
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and keep batches small where the session has Spark's own setting."""
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, ROWS)
 
-    The folder is the one that the cluster names in ``spark.checkpoint.dir``; only a session without one (tests, a
-    single machine) gets a temporary folder.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tickloom-"))
-    return df.checkpoint(eager=True)
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; read by Spark, so any store will do."""
+    prepare(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame) -> DataFrame:
     """Like ``cut_lineage`` for wide or long tables: compressed Parquet in the same shared folder."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        cut_lineage(spark.range(1))
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

@@ -8,19 +8,22 @@ the weight of what they share to its own size.
 
 1.  Improved consistent weighted sampling draws, for each of ``BANDS * ROWS`` hash functions, a shingle and a level of
     its weight; two documents draw the same with the probability of their weighted Jaccard similarity.  The draws
-    (gamma, gamma, uniform) of a shingle come from a fixed table, at a place that its hash gives.
+    (gamma, gamma, uniform) of a shingle come from a fixed table of 65,536 places, at the place that its hash gives for
+    that function.  Two shingles of a document at one place have equal draws, and the lesser hash wins: about one
+    shingle in 80 of a document of 800 words is concerned, at another place for every function.
 2.  ``ROWS`` samples form a band.  Documents with the same words in the same order are one node from the start, so copies
-    never meet in pairs.
-3.  In each band bucket, every member is compared with one leader: first with the member that shares most buckets,
-    then, in ``ROUNDS`` rounds, with others where a bucket still holds several classes.  Most buckets are of one class
-    by then.  In the rest every pair of different classes that no round has compared is compared as well, large buckets
-    by pairs of blocks.  A link is kept if the exact weighted Jaccard similarity is ``SIMILARITY`` or more.
-4.  Classes are the components of the links.
+    never meet in pairs.  Band buckets with the same members are compared once.
+3.  A bucket is dealt to blocks of at most about ``BLOCK`` nodes, and its leader goes to every block.  A block is one
+    *cell*: its nodes are compared, by exact weighted Jaccard similarity, until all that were not compared with
+    everything are of one class; only links that join two classes leave the cell.
+4.  Where a bucket of several blocks still holds several classes, the nodes outside its largest class meet all blocks
+    once more, so every pair of different classes that shares a bucket has been compared.
+5.  Classes are the components of the links.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +39,8 @@ BANDS, ROWS = 16, 4
 BUCKETS = 1 << 18
 #: Steps of e^(1/16) in which weights are kept, and the largest step.
 STEPS, TOP = 16, 255
-#: Further leaders tried in buckets that hold several classes, before the rest of their pairs is compared.
-ROUNDS = 3
-#: Members of a block of a bucket, about; pairs of two blocks are made and compared together.
-BLOCK = 128
+#: Nodes, and words, of a block of a bucket, about.
+BLOCK, BLOCK_WORDS = 512, 500_000
 _DRAWS = 1 << 16
 
 
@@ -163,142 +164,189 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, log_idf) -> DataFrame:
-    """``doc_id, own, fp, bands`` of every row; own: a hash of the text as it is; documents without words have no
-    bands."""
+    """``doc_id, own, fp, words, bands`` of every row; own: a hash of the text as it is; documents with fewer words than
+    a shingle have no bands."""
 
     def sign(batches):
         draw = sampler(BANDS * ROWS)
         for b in small(batches):
-            fps, keys = [], []
+            fps, n, keys = [], [], []
             for t in b.column(1).to_pylist():
                 w = word_hashes(t)
                 fps.append(fingerprint(w))
+                n.append(len(w))
                 h, c = shingles(w)
                 keys.append(bands(draw.sample(h, weight_steps(h, c, log_idf.value)), BANDS) if len(w) >= WIDTH else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "own", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "own", "fp", "words", "bands"])
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"), _own(docs)).mapInArrow(sign, "doc_id long, own long, fp binary, bands array<long>")
+    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"), _own(docs)).mapInArrow(sign, "doc_id long, own long, fp binary, words long, bands array<long>")
 
 
 def _own(docs: DataFrame) -> Column:
     return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, log_idf, least: float) -> DataFrame:
-    """``u, v`` of the pairs whose similarity is ``least`` or more; texts are fetched by two joins."""
-
-    def verify(batches):
-        kept: dict[bytes, tuple] = {}
-
-        def weighted(fp, text):
-            if fp not in kept:
-                if len(kept) >= 64:
-                    kept.clear()
-                h, c = shingles(word_hashes(text))
-                kept[fp] = h, weight_steps(h, c, log_idf.value)
-            return kept[fp]
-
-        for b in small(batches):
-            u, v, x, y = (c.to_pylist() for c in b.columns)
-            keep = [similarity(weighted(p, s), weighted(q, t)) >= least for p, q, s, t in zip(u, v, x, y, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+def _id(docs: DataFrame) -> Column:
+    return F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1))
+
+
+class Cell:
+    """Weighted sets that are compared with each other."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]], classes: list):
+        self.sets = [(h, np.exp(s / STEPS)) for h, s in sets]
+        self.totals = np.array([w.sum() for _, w in self.sets])
+        names: dict = {}
+        self.of = np.array([names.setdefault(c, len(names)) for c in classes])
+        self.rows = None
+
+    def scan(self, i: int) -> np.ndarray:
+        """Similarities of set ``i`` and all sets."""
+        if self.rows is None:
+            hashes = np.concatenate([h for h, _ in self.sets])
+            order = np.argsort(hashes, kind="stable")
+            owner = np.repeat(np.arange(len(self.sets)), [len(h) for h, _ in self.sets])
+            self.rows = hashes[order], owner[order], np.concatenate([w for _, w in self.sets])[order]
+        hashes, owner, weights = self.rows
+        h, w = self.sets[i]
+        first = np.searchsorted(hashes, h)
+        n = np.searchsorted(hashes, h, side="right") - first
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], np.minimum(weights[at], np.repeat(w, n)), len(self.sets))
+        return both / (self.totals[i] + self.totals - both)
+
+    def links(self, least: float) -> list[tuple[int, int]]:
+        """Pairs of similarity ``least`` or more that join the classes of the cell.
+
+        Ends when the sets that were not compared with all others are of one class: nothing is left to join.
+        """
+        out, fresh = [], np.ones(len(self.sets), bool)
+        i = 0
+        while True:
+            fresh[i] = False
+            near = np.flatnonzero((self.scan(i) >= least) & (self.of != self.of[i]))
+            for j in near.tolist():
+                if self.of[j] != self.of[i]:
+                    out.append((i, j))
+                    self.of[self.of == self.of[j]] = self.of[i]
+            of = self.of[fresh]
+            if not len(of) or (of == of[0]).all():
+                return out
+            left = np.flatnonzero(fresh & (self.of != np.bincount(self.of).argmax()))
+            i = int(left[0] if len(left) else np.flatnonzero(fresh)[0])
+
+
+def _linked(places: DataFrame, log_idf, least: float) -> DataFrame:
+    """``u, v`` of links between the nodes of every cell; ``places``: ``cell, first, fp, root, text``.
+
+    A cell is read as a whole, leader first; cells are bounded by ``BLOCK``.
+    """
 
-    left = texts.select(F.col("fp").alias("v"), F.col("text").alias("y"))
-    right = texts.select(F.col("fp").alias("u"), F.col("text").alias("x"))
-    return pairs.join(left, "v").join(right, "u").select("u", "v", "x", "y").mapInArrow(verify, "u binary, v binary")
+    def compare(batches):
+        def settle(held):
+            found = Cell([x[2] for x in held], [x[1] for x in held]).links(least) if len(held) > 1 else []
+            return [(held[i][0], held[j][0]) for i, j in found]
+
+        cell, held, seen, out = None, [], set(), []
+        for b in small(batches, 128):
+            for c, fp, root, text in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if c != cell:
+                    out += settle(held)
+                    cell, held, seen = c, [], set()
+                if fp not in seen:
+                    seen.add(fp)
+                    h, n = shingles(word_hashes(text))
+                    held.append((fp, root or fp, (h, weight_steps(h, n, log_idf.value))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["u", "v"])
+                out = []
+        if out := settle(held):
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["u", "v"])
+
+    dealt = places.repartition("cell").sortWithinPartitions("cell", F.desc("first"), "fp")
+    return dealt.select("cell", "fp", "root", "text").mapInArrow(compare, "u binary, v binary")
+
+
+def _with_texts(docs: DataFrame, nodes: DataFrame, at: DataFrame) -> DataFrame:
+    """``at`` (``fp`` and more, one row for each fp) with the ``text`` of each fp, fetched by id and hash of the text.
+
+    Rows that repeat an id and a text would be fetched as often; of them one is kept.
+    """
+    wanted = nodes.select("fp", "pick.*").join(at, "fp")
+    texts = docs.select(_id(docs).alias("id"), _own(docs).alias("own"), docs["text"].cast("string").alias("text"))
+    got = texts.join(wanted.hint("shuffle_hash"), ["id", "own"]).drop("id", "own")
+    return got.where("n = 1").unionByName(got.where("n > 1").dropDuplicates(["fp"])).drop("n")
 
 
-def _left_over(now: DataFrame, tried: DataFrame) -> DataFrame:
-    """``u, v, cell`` of the pairs that share a bucket, are of different classes and not in ``tried``.
+def _blocks(n: Column, words: Column, block: int) -> Column:
+    return F.greatest(F.ceil(n / block), F.ceil(words / BLOCK_WORDS)).cast("int")
 
-    ``now``: ``key, fp, root`` of the members.  A bucket is dealt to blocks by hash, and pairs of blocks are cells; a pair
-    is in one of the cells where it meets.
-    """
-    mixed = now.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("key", "blocks")
-    dealt = now.join(mixed, "key").withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "fp", "root")
-    x = dealt.where("b = i").select("key", "i", "j", F.col("fp").alias("x"), F.col("root").alias("p"))
-    y = dealt.where("b = j").select("key", "i", "j", F.col("fp").alias("y"), F.col("root").alias("q"))
-    met = x.join(y, ["key", "i", "j"]).where("p <> q and (i < j or x < y)").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"), F.xxhash64("key", "i", "j").alias("cell"))
-    return met.groupBy("u", "v").agg(F.min("cell").alias("cell")).join(tried, ["u", "v"], "left_anti")
 
+def _block_of(fp: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(fp), blocks).cast("int")
 
-def _linked_in_cells(pairs: DataFrame, texts: DataFrame, log_idf, least: float) -> DataFrame:
-    """As ``_linked``; each text goes to a cell once, however many pairs it has there."""
-    there = pairs.select(F.col("cell").alias("place"), F.explode(F.array("u", "v")).alias("fp")).distinct().join(texts, "fp").select("place", "fp", "text")
 
-    def verify(pairs, texts):
-        sets = {}
-        for fp, text in zip(texts.column("fp").to_pylist(), texts.column("text").to_pylist(), strict=True):
-            if fp not in sets:
-                h, c = shingles(word_hashes(text))
-                sets[fp] = h, weight_steps(h, c, log_idf.value)
-        keep = [similarity(sets[u], sets[v]) >= least for u, v in zip(pairs.column("u").to_pylist(), pairs.column("v").to_pylist(), strict=True)]
-        return pairs.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+def _by_blocks(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """The cells of the first pass: every block of a bucket with the bucket's leader."""
+    at = members.groupBy("fp").agg(F.collect_list(F.struct("key", "blocks", (F.xxhash64("fp") == F.col("lead")).alias("first"))).alias("at"))
+    each = _with_texts(docs, nodes, at).select("fp", "text", F.explode("at").alias("p")).select("fp", "text", "p.*")
+    own = F.array(_block_of("fp", F.col("blocks")))
+    spread = each.withColumn("b", F.explode(F.when(F.col("first"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)))
+    return spread.select(F.xxhash64("key", "b").alias("cell"), "first", "fp", F.lit(None).cast("binary").alias("root"), "text")
 
-    return pairs.groupBy("cell").cogroup(there.groupBy("place")).applyInArrow(verify, "u binary, v binary")
 
+def _across_blocks(docs: DataFrame, nodes: DataFrame, members: DataFrame, found: DataFrame, block: int) -> DataFrame | None:
+    """The cells of the second pass, or None if no bucket of several blocks holds several classes.
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+    The nodes outside the largest class of such a bucket, the rest, are dealt to blocks, and so is the largest class.
+    Every block of the rest meets every block of the largest class, and the other blocks of the rest.
+    """
+    now = members.where("blocks > 1").join(found.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", "words", F.coalesce("root", "fp").alias("root"))
+    parts = now.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("words").alias("words"))
+    whole = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "words", "root")).alias("big"), F.sum("n").alias("n"), F.sum("words").alias("words")).where("parts > 1")
+    mixed = cut_lineage(whole.select("key", F.col("big.root").alias("big"), _blocks(F.col("big.n"), F.col("big.words"), block).alias("d"), _blocks(F.col("n") - F.col("big.n"), F.col("words") - F.col("big.words"), block).alias("r")))
+    if mixed.isEmpty():
+        return None
+    meeting = now.join(mixed, "key").withColumn("in_big", F.col("root") == F.col("big"))
+    at = meeting.groupBy("fp").agg(F.first("root").alias("root"), F.collect_list(F.struct("key", "in_big", "d", "r")).alias("at"))
+    each = _with_texts(docs, nodes, at).select("fp", "root", "text", F.explode("at").alias("p")).select("fp", "root", "text", "p.*")
+    each = each.withColumn("b", F.when(F.col("in_big"), _block_of("fp", F.col("d"))).otherwise(_block_of("fp", F.col("r"))))
+    rest, other = F.lit("rest"), F.lit("big")
+    ahead = F.transform(F.sequence(F.lit(0), F.col("r") - 1), lambda j: F.xxhash64("key", other, "b", j))
+    back = F.transform(F.sequence(F.lit(0), F.col("d") - 1), lambda i: F.xxhash64("key", other, i, "b"))
+    side = F.transform(F.filter(F.sequence(F.lit(0), F.col("r") - 1), lambda j: j != F.col("b")), lambda j: F.xxhash64("key", rest, F.least(j, F.col("b")), F.greatest(j, F.col("b"))))
+    return each.select(F.explode(F.when(F.col("in_big"), ahead).otherwise(F.concat(back, side))).alias("cell"), F.lit(False).alias("first"), "fp", "root", "text")
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """``doc_id, class_id`` of every row; class_id: the least doc_id of the class.
 
     Copies (null and empty texts among themselves as well) are one class.  Repeated rows share a class; a null doc_id
     never names a class unless all of its class are null; an empty table gives no rows; other columns are not read.
     """
-    return _classified(docs, similarity, rounds).select("doc_id", "class_id")
+    return _classified(docs, similarity, block).select("doc_id", "class_id")
 
 
-def _classified(docs: DataFrame, similarity: float, rounds: int) -> DataFrame:
+def _classified(docs: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
     """``doc_id, own, root, class_id`` of every row."""
-    spark = docs.sparkSession
-    log_idf = spark.sparkContext.broadcast(document_frequencies(docs))
+    log_idf = docs.sparkSession.sparkContext.broadcast(document_frequencies(docs))
     signed = written(_signed(docs, log_idf))
-    nodes = signed.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    keyed = nodes.select("fp", "doc_id", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(keyed.join(shared, "key"))
-    missing = F.lit(-(1 << 63))
-    wanted = members.groupBy("fp").agg(F.coalesce(F.min("doc_id"), missing).alias("id"), F.sum("size").alias("reach"))
-
-    def same_text(batches):
-        for b in small(batches):
-            keep = [fingerprint(word_hashes(t)) == fp for fp, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    by_id = docs.select(F.coalesce(docs["doc_id"].cast("long"), missing).alias("id"), docs["text"].cast("string").alias("text"))
-    texts = by_id.join(wanted.select("id", "fp").hint("shuffle_hash"), "id").select("fp", "text").mapInArrow(same_text, "fp binary, text string")
-    texts = written(texts)  # repeated rows may give a text twice; links are made distinct
-
-    reach = wanted.select("fp", "reach")
-    first = members.join(reach, "fp").groupBy("key").agg(F.max(F.struct("reach", "fp"))["fp"].alias("u"))
-    pairs = members.select("key", F.col("fp").alias("v")).join(first, "key").where("u <> v").select("u", "v").distinct()
-    pairs = cut_lineage(pairs)
-    tried = [pairs]
-    links = cut_lineage(_linked(pairs, texts, log_idf, similarity).distinct())
-    found = written(components(links))
+    rows = signed.groupBy("fp", "words", "bands", "doc_id", "own").agg(F.count("*").alias("n"))
+    nodes = written(rows.groupBy("fp", "words", "bands").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(_id(rows).alias("id"), "own", "n")).alias("pick")))
+
+    # Buckets by what they hold: those with the same nodes give the same links, so one of them is enough.
+    keyed = nodes.select("fp", "words", F.explode("bands").alias("key"))
+    h = F.xxhash64("fp")
+    held = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("words").alias("w"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"), F.min(h).alias("lead")).where("n > 1")
+    buckets = held.groupBy("n", "w", "x", "y", "lead").agg(F.min("key").alias("key")).select("key", "lead", _blocks(F.col("n"), F.col("w"), block).alias("blocks"))
+    members = written(keyed.join(buckets, "key"))
 
-    def classed():
-        return members.select("key", "fp").join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-
-    for k in range(rounds):
-        now = classed()
-        # The next leader of a bucket belongs to its smallest class there, so that what is left over is compared with all.
-        parts = now.groupBy("key", "root").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("fp", F.lit(k)), "fp"))["fp"].alias("u"))
-        mixed = parts.groupBy("key").agg(F.count("*").alias("parts"), F.min(F.struct("n", F.xxhash64("u", F.lit(k)), "u", "root")).alias("lead")).where("parts > 1")
-        pairs = now.join(mixed.select("key", F.col("lead.u").alias("u"), F.col("lead.root").alias("r")), "key").where("root <> r").select("u", F.col("fp").alias("v")).distinct()
-        pairs = cut_lineage(pairs)
-        tried.append(pairs)
-        more = cut_lineage(_linked(pairs, texts, log_idf, similarity).distinct())
-        if more.isEmpty():
-            continue
-        links = cut_lineage(links.unionByName(more).distinct())
+    links = cut_lineage(_linked(_by_blocks(docs, nodes, members), log_idf, similarity).distinct())
+    found = written(components(links))
+    across = _across_blocks(docs, nodes, members, found, block)
+    if across is not None:
+        links = links.unionByName(cut_lineage(_linked(across, log_idf, similarity).distinct()))
         found = written(components(links))
-    done = reduce(DataFrame.unionByName, tried).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    pairs = cut_lineage(_left_over(classed(), done))
-    if not pairs.isEmpty():
-        more = cut_lineage(_linked_in_cells(pairs, texts, log_idf, similarity))
-        if not more.isEmpty():
-            found = written(components(links.unionByName(more)))
     by_node = nodes.select("fp", "doc_id").join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = by_node.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     by_node = by_node.join(named, "root").select("fp", "root", "class_id")
@@ -306,15 +354,15 @@ def _classified(docs: DataFrame, similarity: float, rounds: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row of each class; all columns as they were.
+    """``docs`` with one row of each class; all columns as they were, whatever their names.
 
     The row with the least doc_id stays (one without an id only if the whole class has none); among texts that share
-    that id the one with the least hash, and of rows with the same id and text any one.
+    that id the one with the least hash, and of rows with the same id and text any one.  Null and empty texts are copies
+    of each other, so one of them stays; an empty table gives no rows.
     """
-    last = F.lit((1 << 63) - 1)
-    found = _classified(docs, similarity, ROUNDS).select("root", F.struct(F.coalesce("doc_id", last).alias("id"), "own").alias("row"))
-    rows = found.groupBy("root", "row").agg(F.count("*").alias("n"))
-    keep = cut_lineage(rows.groupBy("root").agg(F.min(F.struct("row", "n")).alias("k")).select(F.col("k.row.id").alias("__id"), F.col("k.row.own").alias("__own"), F.col("k.n").alias("__n")))
-    kept = docs.withColumns({"__id": F.coalesce(docs["doc_id"].cast("long"), last), "__own": _own(docs)}).join(keep.hint("shuffle_hash"), ["__id", "__own"])
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.where("__n = 1").select(*names).unionByName(kept.where("__n > 1").dropDuplicates(["__id", "__own"]).select(*names))
+    found = _classified(docs, similarity)
+    rows = found.groupBy("root", _id(found).alias("id"), "own").agg(F.count("*").alias("n"))
+    keep = cut_lineage(rows.groupBy("root").agg(F.min(F.struct("id", "own", "n")).alias("k")).select("k.*"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _id(docs).alias("id"), _own(docs).alias("own"))
+    kept = whole.join(keep.hint("shuffle_hash"), ["id", "own"])
+    return kept.where("n = 1").select("row.*").unionByName(kept.where("n > 1").dropDuplicates(["id", "own"]).select("row.*"))
