@@ -33,12 +33,14 @@ def test_each_word_has_one_path():
     """Among all ways to cut a word into vocabulary entries exactly one is a path of the automaton."""
     a = bpe.automaton(bpe.default_path())
 
+    tokens = {a.labels[i]: i for i in a.into}
+
     def paths(data, state):
         if not data:
             yield []
         for n in range(1, len(data) + 1):
-            t = a.tokens.get(data[:n])
-            if t is not None and a.has_arc(state, t):
+            t = tokens.get(data[:n])
+            if t is not None and a.arc(state, t) >= 0:
                 for rest in paths(data[n:], a.into[t]):
                     yield [t, *rest]
 
@@ -46,6 +48,31 @@ def test_each_word_has_one_path():
         assert list(paths(word, 0)) == [a.encode_word(word)]
 
 
+def test_every_entry_of_the_vocabulary_is_its_own_path_and_words_equal_the_library():
+    a = bpe.automaton(bpe.default_path())
+    assert all(a.encode_word(a.labels[i]) == [i] for i in a.into)
+    words = [x for x in (a.labels[i].decode("utf-8", "ignore") for i in a.into) if x]
+    words += [x + y for x, y in zip(words[::7], words[3::7], strict=False)]
+    for w, e in zip(words, LIBRARY.encode_batch(words, add_special_tokens=False), strict=True):
+        assert np.frombuffer(a.encode(w), "<u4").tolist() == e.ids, w
+
+
+LONG = ["\n" * 1_000_000, " " * 2_000_000, "x" * 300_000, "-" * 300_000, "a \n" * 100_000]
+
+
+def test_very_long_runs_encode_as_the_library_does():
+    encode, a = packing._encoder(bpe.default_path()), bpe.automaton(bpe.default_path())
+    for t, ids in zip(LONG, encode(LONG), strict=True):
+        want = ids_of(t)
+        assert ids.tolist() == want and np.frombuffer(a.encode(t), "<u4").tolist() == want
+
+
+def test_packing_ids_equal_the_library():
+    some = [*texts(5, 1500), None, "", "<|endoftext|>", "a<|endoftext|> b"]
+    for _ in range(2):
+        assert [x.tolist() for x in packing._encoder(bpe.default_path())(some)] == [ids_of(t) for t in some]
+
+
 def test_round_trip_query_equals_the_library(spark):
     rows = [(i, t) for i, t in enumerate(texts(2, 300))] + [(900, None), (901, ""), (5, "again"), (None, "no id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n_tokens").repartition(3)

@@ -49,12 +49,12 @@ def test_repeats_are_cut(stages):
 
     a, b = stages["suffix_dedup"]
     rows = sorted(a.select("doc_id", "text").collect())
-    want = brute([r["text"] for r in rows], 400)
+    want = brute([r["text"] for r in rows], corpus_pipeline.PASSAGE_BYTES)
     got = {r["doc_id"]: r for r in b.collect()}
     assert len(got) == len(rows)
-    for r, (n, removed, _, _) in zip(rows, want, strict=True):
+    for r, (n, removed, spans, _) in zip(rows, want, strict=True):
         left = len(got[r["doc_id"]]["text"].encode())
-        assert n - removed - 6 * 3 <= left <= n - removed
+        assert n - removed - 6 * spans <= left <= n - removed
         assert got[r["doc_id"]]["n_chars"] == len(got[r["doc_id"]]["text"])
 
 

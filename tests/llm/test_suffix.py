@@ -72,8 +72,24 @@ def test_suffix_sort_finds_all_repeated_starts(seed):
 def test_removal_equals_brute_force(spark, crowded):
     texts = corpus(7)
     docs = spark.createDataFrame([(i, t, "k1") for i, t in enumerate(texts)], "doc_id long, text string, k1 string").repartition(3)
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.removal_digest(docs, crowded=crowded).collect()}
-    assert got == dict(enumerate(brute(texts, 400)))
+    out = suffix.removal_digest(docs, crowded=crowded).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out} == dict(enumerate(brute(texts, 400)))
+    for r in out:
+        if r["n_removed"] == 0:
+            assert r["text"] == (texts[r["doc_id"]] or "")
+        assert r["n_bytes"] - r["n_removed"] - 6 * r["n_spans"] <= len(r["text"].encode()) <= r["n_bytes"] - r["n_removed"]
+
+
+@pytest.mark.parametrize("crowded", [suffix.CROWDED, 3])
+def test_shorter_strings_and_crowded_grams(spark, crowded):
+    """One passage amid many different texts, so its grams have many fragments."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdeé") for _ in range(r.randint(1, 7)))
+    passage = " ".join(word() for _ in range(30))
+    texts = [" ".join(word() for _ in range(9)) + " " + passage[k % 40 :] + " " + " ".join(word() for _ in range(9)) for k in range(60)] + corpus(8, 16)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.removal_digest(docs, 60, 16, crowded).collect()}
+    assert got == dict(enumerate(brute(texts, 60)))
 
 
 def test_repeated_ids_nulls_and_empty_table(spark):
@@ -83,6 +99,13 @@ def test_repeated_ids_nulls_and_empty_table(spark):
     want = sorted((n, m) for n, m, _, _ in brute([t, t, t[::-1], "short"], 400))
     assert got == want
     assert suffix.removal_digest(docs.limit(0)).count() == 0
+    near = t[:-3] + "yyy" + "z" * 50
+    many = docs.unionByName(spark.createDataFrame([(1, t)] * 2000 + [(None, near)] * 2000, docs.schema)).selectExpr("*", "1 as k1", "2 as bytes", "3 as runs", "4 as row")
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix.removal_digest(many).collect()}
+    want = {(i, n, m) for i, (n, m, _, _) in zip([1, 1, None, 1, None, None], brute([t, t, t[::-1], "short", near, near], 400), strict=True)}
+    assert got == want
+    out = suffix.without_repeats(many)
+    assert out.columns == many.columns and out.count() == 4004 and out.where("k1 = 1 and bytes = 2 and runs = 3 and row = 4").count() == 4004
 
 
 def test_texts_lose_the_spans_and_keep_other_columns(spark):

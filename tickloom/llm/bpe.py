@@ -4,11 +4,10 @@ The merge list is compiled into a deterministic automaton over *tokens* by apply
 another.  At first there is one state that every byte token leaves and re-enters.  The gadget of a merge
 ``(u, v) -> w`` copies the state that ``u`` leads to, takes the arc ``v`` out of the copy, lets ``u`` lead to the
 copy, and gives every state that has an arc ``u`` an arc ``w`` to the place where ``v`` led.  The paths of the
-finished automaton are exactly the token sequences that the merges produce, so among all ways to cut a word into
-vocabulary entries just one is a path.  A word is encoded by following, from each of its byte positions, the byte
-arcs of the vocabulary trie and keeping the token whose arc leaves the state reached at that position; rows of the
-transition table are filled when they are first needed and then only looked up.  Decoding emits the byte label of
-every arc.
+finished automaton are exactly the token sequences that the merges produce, so among all ways to cut a word, or a prefix
+of one, into vocabulary entries just one is a path.  A word is encoded by one pass over its bytes: each position has the
+state that its prefix reached, and the transition table says where the tokens that start there lead.  Entries of the
+table are filled when they are first needed and then only looked up.  Decoding emits the byte label of every arc.
 
 Null texts count as empty.  Special tokens that occur in a text are emitted as such, as the library does.
 """
@@ -31,8 +30,10 @@ from tickloom.llm.common import small
 #: The pre-split rule of this tokenizer family (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Encoded words, and arcs, that a worker remembers before it starts afresh (about 200 MB and 150 MB).
-REMEMBERED, TABLE_ROWS = 1_000_000, 1_000_000
+#: Encoded words, and arcs, that a worker remembers before it starts afresh (about 100 MB each).
+REMEMBERED, TABLE_ROWS = 500_000, 700_000
+#: Characters of a word that is not remembered.
+LONG_WORD = 256
 
 
 def default_path() -> str:
@@ -62,7 +63,9 @@ class _Words(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         ids = self.automaton.encode_word(word.encode("utf-8", "replace"))
-        packed = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONG_WORD:
+            self[word] = packed
         return packed
 
 
@@ -93,8 +96,7 @@ class TokenAutomaton:
             into[w] = landed
             self.first[w], self.time[w] = u, k
         self.into = into
-        self.table: dict[int, bool] = {}
-        self.tokens = {self.labels[i]: i for i in into}
+        self.table: dict[int, int] = {}
         self.trie: dict = {}
         for i in into:
             node = self.trie
@@ -109,8 +111,9 @@ class TokenAutomaton:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.flat = np.frombuffer(b"".join(joined), dtype=np.uint8)
 
-    def has_arc(self, state: int, token: int) -> bool:
-        """Whether ``token`` leaves ``state``: a row of the transition table, filled on first use."""
+    def arc(self, state: int, token: int) -> int:
+        """Where ``token`` leads from ``state``, -1 if no arc leaves it: an entry of the transition table, filled on first
+        use."""
         q, t, born, time, first, cut, up = state, token, self.born, self.time, self.first, self.cut, self.up
         while q:
             if time[t] >= born[q]:
@@ -121,44 +124,35 @@ class TokenAutomaton:
                 q = up[q]
         if len(self.table) >= TABLE_ROWS:
             self.table.clear()
-        known = self.table[state << 20 | token] = not q
-        return known
+        to = self.table[state << 20 | token] = -1 if q else self.into[token]
+        return to
 
     def encode_word(self, data: bytes) -> list[int]:
         """Token ids of one pre-split word: the one path of the automaton over its bytes.
 
-        Longer arcs are tried first.  A position is entered at most once, as no two paths spell the same prefix, so
-        the search takes at most one pass over each position's arcs.
+        Every prefix of a word has one path, so one state is reached at each position.  From it the arcs of the tokens
+        that start there lead on, each by a look-up in the transition table; no choice is ever taken back.
         """
-        whole = self.tokens.get(data)
-        if whole is not None:
-            return [whole]
-        n, table, into, trie = len(data), self.table, self.into, self.trie
-        ids, left, at, state = [], [], 0, 0
-        while True:
-            found, node = [], trie
+        n, table, trie = len(data), self.table, self.trie
+        reached, came = [0] * (n + 1), [0] * (n + 1)
+        for at in range(n):
+            row, node = reached[at] << 20, trie
             for e in range(at, n):
                 node = node.get(data[e])
                 if node is None:
                     break
                 token = node.get(-1)
                 if token is not None:
-                    found.append((e + 1, token, state))
-            left.append((len(ids), found))
-            while True:
-                depth, found = left[-1]
-                if found:
-                    at, token, state = found.pop()
-                    ok = table.get(state << 20 | token)
-                    if ok or ok is None and self.has_arc(state, token):
-                        break
-                else:
-                    left.pop()
-            del ids[depth:]
-            ids.append(token)
-            if at == n:
-                return ids
-            state = into[token]
+                    to = table.get(row | token)
+                    if to is None:
+                        to = self.arc(row >> 20, token)
+                    if to >= 0:
+                        reached[e + 1], came[e + 1] = to, token
+        ids = []
+        while n:
+            ids.append(came[n])
+            n -= len(self.labels[came[n]])
+        return ids[::-1]
 
     def encode_plain(self, text: str) -> bytes:
         """Ids of a text without special tokens: pre-split words, looked up or encoded."""

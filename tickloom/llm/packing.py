@@ -11,6 +11,7 @@ piece's place from the run that its number falls in.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -18,31 +19,52 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.bpe import SPLIT, automaton, default_path
+from tickloom.llm.bpe import SPLIT, default_path
 from tickloom.llm.common import cut_lineage, small
 
 CAPACITY, END_ID = 1024, 2
 #: Pieces of one length that are numbered together.
 GROUP = 500
+#: Groups that are counted together.
+RANGE = 1000
+#: Words that a worker remembers before it starts afresh (about 60 MB), and characters of a word that it forgets.
+REMEMBERED, LONG_WORD = 300_000, 256
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """A function from a text to its ids by the vocabulary in ``path``, special tokens in the text included."""
-    a = automaton(path)
-    plain = tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks={v: i for i, v in a.labels.items() if i not in a.special.values()}, special_tokens={})
-    named = regex.compile("(" + "|".join(map(regex.escape, a.special)) + ")") if a.special else None
-
-    def encode(text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if named is None or not named.search(text):
-            return plain.encode_to_numpy(text, disallowed_special=())
-        return np.concatenate([np.array([a.special[p]], np.uint32) if p in a.special else plain.encode_to_numpy(p, disallowed_special=()) for p in named.split(text) if p])
+    """A function from texts to their ids by the tokenizers library and the vocabulary in ``path``.
+
+    Words, as the vocabulary's rule splits them, are encoded by the library and remembered; a text that names a special
+    token is encoded as a whole.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    library = tokenizers.Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    special = [t.content for t in library.get_added_tokens_decoder().values()]
+    split = regex.compile(SPLIT)
+    known: dict[str, bytes] = {}
+
+    def packed(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(texts: list[str | None]) -> list[np.ndarray]:
+        whole = [i for i, t in enumerate(texts) if t and any(s in t for s in special)]
+        cut = {i: split.findall(t) for i, t in enumerate(texts) if t and i not in whole}
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list({w for words in cut.values() for w in words if w not in known})
+        fresh = dict(zip(new, packed(new), strict=True))
+        known.update((w, x) for w, x in fresh.items() if len(w) <= LONG_WORD)
+        long = {w: x for w, x in fresh.items() if len(w) > LONG_WORD}
+        of = known if not long else known | long
+        out = dict(zip(whole, packed([texts[i] for i in whole]), strict=True)) | {i: b"".join(map(of.__getitem__, words)) for i, words in cut.items()}
+        return [np.frombuffer(out.get(i, b""), "<u4") for i in range(len(texts))]
 
     return encode
 
@@ -59,10 +81,10 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
 
     def run(batches):
         encode = _encoder(path)
-        for b in small(batches):
+        for b in small(batches, 128):
             out = [[], [], [], [], []]
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.append(encode(t), end_id).astype("<u4")
+            for d, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
+                ids = np.append(ids, end_id).astype("<u4")
                 for k, (s, n) in enumerate(cut_points(len(ids), capacity)):
                     for o, x in zip(out, (d, k, s, n, zlib.crc32(ids[s : s + n].tobytes())), strict=True):
                         o.append(x)
@@ -154,11 +176,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     runs = spark.createDataFrame(runs or [(0, 0, 0, 0, 1, 0)], "run_length long, first long, n long, bin long, each long, at long")
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     group = Window.partitionBy("length", "salt")
-    before = (
-        salted.groupBy("length", "salt").count()
-        .withColumn("before", F.coalesce(F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .drop("count")
-    )
+    # How many pieces lie in earlier groups: by ranges of groups, then within a range.
+    sizes = salted.groupBy("length", "salt").count().withColumn("range", F.floor(F.col("salt") / RANGE))
+    earlier = lambda w: F.coalesce(F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = sizes.groupBy("length", "range").agg(F.sum("count").alias("count")).select("length", "range", earlier(Window.partitionBy("length").orderBy("range")).alias("base"))
+    before = sizes.withColumn("before", earlier(Window.partitionBy("length", "range").orderBy("salt"))).join(ranges, ["length", "range"]).select("length", "salt", (F.col("before") + F.col("base")).alias("before"))
     numbered = (
         salted.withColumn("number", F.row_number().over(group.orderBy("doc_id", "piece", "ids_crc32")) - 1)
         .join(before, ["length", "salt"])

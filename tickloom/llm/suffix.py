@@ -10,9 +10,9 @@ is removed.  Three steps keep the sorting to where it matters:
     no sorting; a gram with one fragment only is settled as well.  Copies thus meet as counts, not as texts.
 3.  The distinct fragments of the other grams are gathered by gram and suffix-sorted in two stages: the suffixes that
     are smaller than their successors are sorted directly, the rest are induced by one scan over the buckets of first
-    bytes; starts whose neighbours in that order share a prefix of ``length`` bytes are repeated.  Grams with more than
-    ``crowded`` fragments (a passage amid a large part of all documents) would make one batch too large; the
-    strings of their fragments are counted by hash instead, which is as exact and splits over all tasks.
+    bytes; starts whose neighbours in that order share a prefix of ``length`` bytes are repeated.  A gram with more than
+    ``crowded`` fragments (a passage amid a large part of all documents) is first split: its fragments get anchors of
+    grams twice as long, as often as needed, so no sort holds more than a bounded number of fragments.
 
 The repeated starts go back to every occurrence of their fragment and become the spans that are cut out.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from tickloom.llm.rolling import gram_hashes, sliding_min
 
 LENGTH, GRAM = 400, 64
 #: Distinct fragments of one gram that are suffix-sorted together at most, and bytes after which a batch is sorted.
-CROWDED, BATCH = 20_000, 2_000_000
+CROWDED, BATCH = 2_000, 1_000_000
 
 
 def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -158,90 +159,110 @@ _RUN = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())]))
 _RUN_SQL = "array<struct<at:long,n:long>>"
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
-    """``k1, k2, runs`` of the documents that repeat anything; runs: the starts of repeated strings, not yet merged.
-
-    ``docs`` has ``k1, k2, text``; equal keys mean equal texts.
-    """
-    if length < gram:
-        raise ValueError("strings must be as long as a gram at least")
+def _anchored(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """``k1, k2, start, n, g, f, times`` of every anchor of ``texts`` (``k1, k2, times, bytes``)."""
 
     def find(batches):
         for b in small(batches):
-            k1, k2, texts = (c.to_pylist() for c in b.columns)
-            rows = [anchors((t or "").encode("utf-8", "surrogatepass"), length, gram) for t in texts]
+            *keys, data = (c.to_pylist() for c in b.columns)
+            rows = [anchors(d or b"", length, gram) for d in data]
             n = [len(r[0]) for r in rows]
-            cols = [np.repeat(np.array(k, np.int64), n) for k in (k1, k2)] + [np.concatenate([r[c] for r in rows] or [np.zeros(0, np.int64)]) for c in range(4)]
+            k1, k2, times = (np.repeat(np.array(k, np.int64), n) for k in keys)
+            cols = [np.concatenate([r[c] for r in rows] or [np.zeros(0, np.int64)]) for c in range(4)]
             if sum(n):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["k1", "k2", "start", "n", "g", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (k1, k2, *cols, times)], names=["k1", "k2", "start", "n", "g", "f", "times"])
 
-    found = written(docs.select("k1", "k2", "text").mapInArrow(find, "k1 long, k2 long, start long, n long, g long, f long"))
-    kinds = found.groupBy("g", "f").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "start", "n")).alias("one"))
-    grams = kinds.groupBy("g").agg(F.sum("times").alias("total"), F.count("*").alias("kinds")).where("total > 1")
-    kinds = written(kinds.join(grams, "g").select("g", "f", "times", "kinds", "one.*"))
-    whole = kinds.where("times > 1").select("g", "f", F.array(F.struct(F.lit(0).cast("long").alias("at"), F.col("n"))).alias("runs"))
+    return texts.select("k1", "k2", "times", "bytes").mapInArrow(find, "k1 long, k2 long, start long, n long, g long, f long, times long")
 
-    # Texts of the distinct fragments, each from one of its occurrences.
-    wanted = kinds.where("kinds > 1").groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "f", "times", "kinds", "start", "n")).alias("wanted"))
 
-    def slices(batches):
-        for b in small(batches):
-            g, f, times, many, text = [], [], [], [], []
-            for t, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data = t.encode("utf-8", "surrogatepass")
-                for x in w:
-                    g.append(x["g"])
-                    f.append(x["f"])
-                    times.append(x["times"])
-                    many.append(x["kinds"])
-                    text.append(data[x["start"] : x["start"] + x["n"] + length - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(f, pa.int64()), pa.array(times, pa.int64()), pa.array(many, pa.int64()), pa.array(text, pa.binary())], names=["g", "f", "times", "kinds", "bytes"])
-
-    # Rows with equal keys have equal texts; one of them will do.
-    texts = docs.select("k1", "k2", "text").join(wanted.hint("shuffle_hash"), ["k1", "k2"]).select("text", "wanted").mapInArrow(slices, "g long, f long, times long, kinds long, bytes binary")
-    texts = written(texts)
+def _slices(texts: DataFrame, length: int) -> DataFrame:
+    """``g, f, times, kinds, bytes``: the wanted fragments of ``texts`` (``bytes, wanted``)."""
+
+    def run(batches):
+        for b in small(batches, 128):
+            out = [[], [], [], [], []]
+            for data, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for x in wanted:
+                    for o, v in zip(out, (x["g"], x["f"], x["times"], x["kinds"], data[x["start"] : x["start"] + x["n"] + length - 1]), strict=True):
+                        o.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, [pa.int64()] * 4 + [pa.binary()], strict=True)], names=["g", "f", "times", "kinds", "bytes"])
+
+    return texts.select("bytes", "wanted").mapInArrow(run, "g long, f long, times long, kinds long, bytes binary")
+
+
+def _sorted(fragments: DataFrame, length: int) -> DataFrame:
+    """``g, f, runs``: the repeated starts of fragments (``g, f, times, bytes``) that occur once, by suffix sorting."""
 
     def sort(batches):
         def settle():
-            for (g, f, times, _), starts in zip(held, repeated_starts([h[3] for h in held], length), strict=True):
-                if times == 1 and len(starts):
-                    yield g, f, _runs(starts)
-
-        def table(rows):
+            rows = [(g, f, _runs(starts)) for (g, f, times, _), starts in zip(held, repeated_starts([h[3] for h in held], length), strict=True) if times == 1 and len(starts)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], _RUN)], names=["g", "f", "runs"])
 
         held, size, seen = [], 0, set()
         for b in small(batches):
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if held and row[0] != held[-1][0] and size >= BATCH:
-                    yield table(list(settle()))
+                    yield settle()
                     held, size, seen = [], 0, set()
                 if row[:2] not in seen:
                     seen.add(row[:2])
                     held.append(row)
                     size += len(row[3])
         if held:
-            yield table(list(settle()))
+            yield settle()
 
-    few = texts.where(F.col("kinds") <= crowded).select("g", "f", "times", "bytes").repartition("g").sortWithinPartitions("g", "f")
-    sorted_ = few.mapInArrow(sort, f"g long, f long, runs {_RUN_SQL}")
+    dealt = fragments.select("g", "f", "times", "bytes").repartition("g").sortWithinPartitions("g", "f")
+    return dealt.mapInArrow(sort, f"g long, f long, runs {_RUN_SQL}")
 
-    def strings(batches):
-        for b in small(batches):
-            out = [[], [], [], [], []]
-            for g, f, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for s in range(len(data) - length + 1):
-                    h = xxhash.xxh3_128_intdigest(data[s : s + length])
-                    for o, x in zip(out, (g, f, s, (h >> 65), h & 0x7FFFFFFFFFFFFFFF), strict=True):
-                        o.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["g", "f", "at", "h1", "h2"])
-
-    crowd = texts.where(F.col("kinds") > crowded).dropDuplicates(["g", "f"]).select("g", "f", "bytes").mapInArrow(strings, "g long, f long, at long, h1 long, h2 long")
-    twice = crowd.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    counted = crowd.join(twice, ["h1", "h2"]).groupBy("g", "f").agg(F.collect_set(F.struct(F.col("at"), F.lit(1).cast("long").alias("n"))).alias("runs"))
-    settled = whole.unionByName(sorted_).unionByName(counted)
+
+def _settled(found: DataFrame, fetch: Callable[[DataFrame], DataFrame], length: int, gram: int, crowded: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``found`` whose gram occurs more than once, and ``g, f, runs`` of the fragments that repeat anything.
+
+    ``found``: anchors of ``gram`` bytes; ``fetch`` adds the ``bytes`` of owners to rows with ``k1, k2``.
+    """
+    kinds = found.groupBy("g", "f").agg(F.sum("times").alias("times"))
+    grams = kinds.groupBy("g").agg(F.sum("times").alias("total"), F.count("*").alias("kinds")).where("total > 1").select("g", "kinds")
+    kinds = written(kinds.join(grams, "g").select("g", "f", "times", "kinds"))
+    shared = written(found.select("k1", "k2", "start", "n", "g", "f", F.col("times").alias("own")).join(kinds, ["g", "f"]))
+    whole = shared.where("times > 1").groupBy("g", "f").agg(F.max("n").alias("n")).select("g", "f", F.array(F.struct(F.lit(0).cast("long").alias("at"), "n")).alias("runs"))
+    if gram == length:
+        return shared, whole  # every fragment is one string
+
+    # Texts of the distinct fragments, each from one of its occurrences.
+    one = shared.where("kinds > 1").groupBy("g", "f", "times", "kinds").agg(F.min(F.struct("k1", "k2", "start", "n")).alias("one")).select("g", "f", "times", "kinds", "one.*")
+    wanted = one.groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "f", "times", "kinds", "start", "n")).alias("wanted"))
+    fragments = written(_slices(fetch(wanted), length))
+    out = whole.unionByName(_sorted(fragments.where(F.col("kinds") <= crowded), length))
+    many = fragments.where(F.col("kinds") > crowded)
+    if not many.isEmpty():
+        many = many.select(F.col("g").alias("k1"), F.col("f").alias("k2"), "times", "bytes").dropDuplicates(["k1", "k2"])
+        parts, inner = _settled(written(_anchored(many, length, min(2 * gram, length))), lambda w: many.join(w.hint("shuffle_hash"), ["k1", "k2"]), length, min(2 * gram, length), crowded)
+        out = out.unionByName(_owned(parts.where("own = 1"), inner).select(F.col("k1").alias("g"), F.col("k2").alias("f"), "runs"))
+    return shared, out
+
+
+def _owned(found: DataFrame, settled: DataFrame) -> DataFrame:
+    """``k1, k2, runs``: repeated starts of every owner; equal rows count once."""
     runs = found.join(settled, ["g", "f"]).select("k1", "k2", F.transform("runs", lambda r: F.struct((r["at"] + F.col("start")).alias("at"), r["n"].alias("n"))).alias("runs"))
-    return runs.groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    return runs.groupBy("k1", "k2").agg(F.flatten(F.collect_set("runs")).alias("runs"))
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+    """``k1, k2, runs`` of the documents that repeat anything; runs: the starts of repeated strings, not yet merged.
+
+    ``docs`` has ``k1, k2, bytes``; equal keys mean equal texts.
+    """
+    if length < gram:
+        raise ValueError("strings must be as long as a gram at least")
+    found = written(_anchored(docs.withColumn("times", F.lit(1).cast("long")), length, gram))
+    # Every text that is long enough has one anchor at its start, so these are the keys of several rows.
+    again = written(found.where("start = 0").groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("again")))
+
+    def fetch(wanted):
+        got = docs.join(wanted.join(again, ["k1", "k2"], "left").hint("shuffle_hash"), ["k1", "k2"])
+        return got.where("again is null").unionByName(got.where("again").dropDuplicates(["k1", "k2"]))
+
+    return _owned(*_settled(found, fetch, length, gram, crowded))
 
 
 def spans(runs: list[dict] | None, length: int, n_bytes: int) -> list[tuple[int, int]]:
@@ -257,64 +278,62 @@ def spans(runs: list[dict] | None, length: int, n_bytes: int) -> list[tuple[int,
     return [(a, min(b, n_bytes)) for a, b in out]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _with_runs(docs: DataFrame, length: int, gram: int, crowded: int) -> DataFrame:
+    """``bytes, runs, row`` of every row; row: all columns."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.withColumns({"__k1": F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))), "__k2": F.xxhash64(text), "__text": text})
+    whole = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"), text.cast("binary").alias("bytes"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    found = repeated_spans(whole.select("k1", "k2", "bytes"), length, gram, crowded)
+    return whole.join(found.hint("shuffle_hash"), ["k1", "k2"], "left").select("bytes", "runs", "row")
 
 
-def _with_runs(docs: DataFrame, length: int, crowded: int) -> DataFrame:
-    keyed = _keyed(docs)
-    found = repeated_spans(keyed.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("__text").alias("text")), length, crowded=crowded)
-    return keyed.join(found.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("runs").alias("__runs")).hint("shuffle_hash"), ["__k1", "__k2"], "left")
+def removal_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` of every document.
 
-
-def removal_digest(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document.
-
-    Null texts count as empty; repeated rows are copies of each other, so their long strings go from each; an empty
-    table gives no rows; other columns are not read.
+    ``text``: what is left, without the parts of characters that a cut went through.  Null texts count as empty;
+    repeated rows are copies of each other, so their long strings go from each; an empty table gives no rows; other
+    columns are not read.
     """
 
     def digest(batches):
         for b in small(batches):
-            ids, texts, runs = b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()
-            n, removed, count, sha = [], [], [], []
-            for t, r in zip(texts, runs, strict=True):
-                data = t.encode("utf-8", "surrogatepass")
+            n, removed, count, sha, text = [], [], [], [], []
+            for data, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 cut = spans(r, length, len(data))
-                h, at = hashlib.sha256(), 0
-                for x, y in cut:
-                    h.update(data[at:x])
-                    at = y
-                h.update(data[at:])
+                kept = without(data, cut)
                 n.append(len(data))
                 removed.append(sum(y - x for x, y in cut))
                 count.append(len(cut))
-                sha.append(h.hexdigest())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                sha.append(hashlib.sha256(kept).hexdigest())
+                text.append(kept.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
+
+    joined = _with_runs(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), length, gram, crowded)
+    return joined.select("row.doc_id", "bytes", "runs").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+
 
-    joined = _with_runs(docs.select("doc_id", "text"), length, crowded)
-    return joined.select(F.col("doc_id").cast("long"), "__text", "__runs").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+def without(data: bytes, cut: list[tuple[int, int]]) -> bytes:
+    """``data`` without the spans ``cut``."""
+    at, kept = 0, []
+    for x, y in cut:
+        kept.append(data[at:x])
+        at = y
+    return b"".join([*kept, data[at:]])
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
-    """``docs`` with repeated strings cut out of ``text`` and every other column as it was.
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text`` and every other column as it was, whatever its name.
 
-    A cut can fall inside a character; what is left of such a character goes too.
+    A cut can fall inside a character; what is left of such a character goes too.  A null text becomes an empty one;
+    repeated rows are copies of each other, so their long strings go from each; an empty table gives no rows.
     """
 
     def cut(batches):
         for b in small(batches):
-            out = []
-            for t, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data, kept, at = t.encode("utf-8", "surrogatepass"), [], 0
-                for x, y in spans(r, length, len(data)):
-                    kept.append(data[at:x])
-                    at = y
-                out.append(b"".join([*kept, data[at:]]).decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *b.columns[2:]], names=["text", *b.schema.names[2:]])
+            out = [without(data, spans(r, length, len(data))).decode("utf-8", "ignore") for data, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *b.columns[2:]], names=["text", *[f"c{i}" for i in range(b.num_columns - 2)]])
 
     rest = [c for c in docs.columns if c != "text"]
-    joined = _with_runs(docs, length, crowded).select("__text", "__runs", *[F.col(f"`{c}`") for c in rest])
-    schema = "text string, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return joined.mapInArrow(cut, schema).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = _with_runs(docs, length, gram, crowded).select("bytes", "runs", *[F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(rest)])
+    schema = ", ".join(["text string", *[f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)]])
+    names = {c: f"c{i}" for i, c in enumerate(rest)} | {"text": "text"}
+    return joined.mapInArrow(cut, schema).select(*[F.col(names[c]).alias(c) for c in docs.columns])
