@@ -40,7 +40,7 @@ BUCKETS = 1 << 18
 #: Steps of e^(1/16) in which weights are kept, and the largest step.
 STEPS, TOP = 16, 255
 #: Nodes, and words, of a block of a bucket, about.
-BLOCK, BLOCK_WORDS = 512, 500_000
+BLOCK, BLOCK_WORDS = 128, 150_000
 _DRAWS = 1 << 16
 
 
@@ -267,15 +267,18 @@ def _linked(places: DataFrame, log_idf, least: float) -> DataFrame:
     return dealt.select("cell", "fp", "root", "text").mapInArrow(compare, "u binary, v binary")
 
 
-def _with_texts(docs: DataFrame, nodes: DataFrame, at: DataFrame) -> DataFrame:
-    """``at`` (``fp`` and more, one row for each fp) with the ``text`` of each fp, fetched by id and hash of the text.
+def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``fp, text, at`` of every node of ``members``, fetched by id and hash of the text; ``at``: its buckets, each with
+    ``key, blocks`` and whether the node leads there.
 
     Rows that repeat an id and a text would be fetched as often; of them one is kept.
     """
+    at = members.groupBy("fp").agg(F.collect_list(F.struct("key", "blocks", (F.xxhash64("fp") == F.col("lead")).alias("first"))).alias("at"))
     wanted = nodes.select("fp", "pick.*").join(at, "fp")
     texts = docs.select(_id(docs).alias("id"), _own(docs).alias("own"), docs["text"].cast("string").alias("text"))
     got = texts.join(wanted.hint("shuffle_hash"), ["id", "own"]).drop("id", "own")
-    return got.where("n = 1").unionByName(got.where("n > 1").dropDuplicates(["fp"])).drop("n")
+    got = got.where("n = 1").unionByName(got.where("n > 1").dropDuplicates(["fp"])).drop("n")
+    return written(got.withColumn("large", F.exists("at", lambda p: p["blocks"] > 1)))
 
 
 def _blocks(n: Column, words: Column, block: int) -> Column:
@@ -286,16 +289,15 @@ def _block_of(fp: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(fp), blocks).cast("int")
 
 
-def _by_blocks(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+def _by_blocks(texts: DataFrame) -> DataFrame:
     """The cells of the first pass: every block of a bucket with the bucket's leader."""
-    at = members.groupBy("fp").agg(F.collect_list(F.struct("key", "blocks", (F.xxhash64("fp") == F.col("lead")).alias("first"))).alias("at"))
-    each = _with_texts(docs, nodes, at).select("fp", "text", F.explode("at").alias("p")).select("fp", "text", "p.*")
+    each = texts.select("fp", "text", F.explode("at").alias("p")).select("fp", "text", "p.*")
     own = F.array(_block_of("fp", F.col("blocks")))
     spread = each.withColumn("b", F.explode(F.when(F.col("first"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)))
     return spread.select(F.xxhash64("key", "b").alias("cell"), "first", "fp", F.lit(None).cast("binary").alias("root"), "text")
 
 
-def _across_blocks(docs: DataFrame, nodes: DataFrame, members: DataFrame, found: DataFrame, block: int) -> DataFrame | None:
+def _across_blocks(texts: DataFrame, members: DataFrame, found: DataFrame, block: int) -> DataFrame | None:
     """The cells of the second pass, or None if no bucket of several blocks holds several classes.
 
     The nodes outside the largest class of such a bucket, the rest, are dealt to blocks, and so is the largest class.
@@ -308,9 +310,9 @@ def _across_blocks(docs: DataFrame, nodes: DataFrame, members: DataFrame, found:
     if mixed.isEmpty():
         return None
     meeting = now.join(mixed, "key").withColumn("in_big", F.col("root") == F.col("big"))
-    at = meeting.groupBy("fp").agg(F.first("root").alias("root"), F.collect_list(F.struct("key", "in_big", "d", "r")).alias("at"))
-    each = _with_texts(docs, nodes, at).select("fp", "root", "text", F.explode("at").alias("p")).select("fp", "root", "text", "p.*")
-    each = each.withColumn("b", F.when(F.col("in_big"), _block_of("fp", F.col("d"))).otherwise(_block_of("fp", F.col("r"))))
+    b = F.when(F.col("in_big"), _block_of("fp", F.col("d"))).otherwise(_block_of("fp", F.col("r")))
+    at = meeting.groupBy("fp").agg(F.first("root").alias("root"), F.collect_list(F.struct("key", "in_big", "d", "r", b.alias("b"))).alias("at"))
+    each = texts.where("large").select("fp", "text").join(at.hint("shuffle_hash"), "fp").select("fp", "root", "text", F.explode("at").alias("p")).select("fp", "root", "text", "p.*")
     rest, other = F.lit("rest"), F.lit("big")
     ahead = F.transform(F.sequence(F.lit(0), F.col("r") - 1), lambda j: F.xxhash64("key", other, "b", j))
     back = F.transform(F.sequence(F.lit(0), F.col("d") - 1), lambda i: F.xxhash64("key", other, i, "b"))
@@ -341,9 +343,10 @@ def _classified(docs: DataFrame, similarity: float, block: int = BLOCK) -> DataF
     buckets = held.groupBy("n", "w", "x", "y", "lead").agg(F.min("key").alias("key")).select("key", "lead", _blocks(F.col("n"), F.col("w"), block).alias("blocks"))
     members = written(keyed.join(buckets, "key"))
 
-    links = cut_lineage(_linked(_by_blocks(docs, nodes, members), log_idf, similarity).distinct())
+    texts = _texts(docs, nodes, members)
+    links = cut_lineage(_linked(_by_blocks(texts), log_idf, similarity).distinct())
     found = written(components(links))
-    across = _across_blocks(docs, nodes, members, found, block)
+    across = _across_blocks(texts, members, found, block)
     if across is not None:
         links = links.unionByName(cut_lineage(_linked(across, log_idf, similarity).distinct()))
         found = written(components(links))
