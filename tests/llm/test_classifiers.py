@@ -105,3 +105,64 @@ def test_the_sample_takes_whole_texts_and_fewer_of_them_if_they_are_long(spark,
     monkeypatch.setattr(labelled, "SAMPLE_CHARS", 500_000)
     some = labelled.sample(d, lab, "toxic", 5, -1, False, {1: 100, 0: 100})
     assert len(some) == 10 and set(some) < whole and sum(label for _, label in some) == 5
+
+
+def test_bag_scores_equal_a_plain_forward_pass_and_gradients_are_numeric_ones():
+    import math
+
+    r = np.random.default_rng(0)
+    shapes = {"W": (6, 4), "b": (4,), "V": (4, 3), "U": (4, 3), "w": (3,), "c": (4,), "d": ()}
+    model = quality.BagModel(np.zeros(6), np.ones(6), {k: np.array(r.normal(size=s)) for k, s in shapes.items()})
+    bags = [r.normal(size=(n, 6)) for n in (1, 4, 2)]
+    p, sigma = model.p, lambda v: 1 / (1 + math.exp(-v))
+    want = []
+    for bag in bags:
+        h = [[math.tanh(sum(x[i] * p["W"][i, j] for i in range(6)) + p["b"][j]) for j in range(4)] for x in bag]
+        e = [math.exp(sum(p["w"][g] * math.tanh(sum(v[j] * p["V"][j, g] for j in range(4))) * sigma(sum(v[j] * p["U"][j, g] for j in range(4))) for g in range(3))) for v in h]
+        want.append(sigma(sum(w / sum(e) * sum(v[j] * p["c"][j] for j in range(4)) for w, v in zip(e, h, strict=True)) + p["d"]))
+    assert model.score(bags) == pytest.approx(want)
+    x, begins, y = np.concatenate(bags), np.array([0, 1, 5]), np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        f = model.forward(x, begins)["y"]
+        return -np.mean(y * np.log(f) + (1 - y) * np.log(1 - f))
+
+    for k, g in model.gradients(x, begins, y).items():
+        for at in np.ndindex(p[k].shape):
+            old = p[k][at].copy()
+            p[k][at] = old + 1e-6
+            up = loss()
+            p[k][at] = old - 1e-6
+            down = loss()
+            p[k][at] = old
+            assert np.asarray(g)[at] == pytest.approx((up - down) / 2e-6, abs=1e-6), k
+
+
+def test_word_features_count_hashed_words_and_pairs():
+    n = quality.HASHED
+    x = quality.passages("aa bb aa bb cc")
+    assert len(x) == 1 and (x[0, -2 * n : -n] ** 2).sum() == pytest.approx(1) and (x[0, -n:] ** 2).sum() == pytest.approx(4 / 5)
+    assert (quality.passages("aa")[0, -n:] == 0).all()
+    assert (quality.passages("x " * 64 + "y")[1] != quality.passages("x " * 64 + "z")[1]).any()
+
+
+def test_toxicity_scores_equal_plain_compressions():
+    """Window by window with compressors built here from the dictionaries of the model."""
+    import zstandard
+
+    docs, labels = labelled_corpus(200, 3)
+    toxic = {i: t for i, _, t in labels}
+    model = toxicity.train([(t, toxic[i]) for i, t, _ in docs if i in toxic], 2)
+    texts = [t for _, t, _ in docs[:20]] + ["", "word"]
+    params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=17, chain_log=16, min_match=6, target_length=1, strategy=zstandard.STRATEGY_FAST, write_content_size=False, write_checksum=False, write_dict_id=False)
+    for text, got in zip(texts, model.scorer()(texts), strict=True):
+        odds = []
+        for pair in model.pairs:
+            filler = np.random.default_rng(0).integers(128, 255, len(pair.toxic)).astype(np.uint8).tobytes()
+            size = lambda content, w: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=params).compress(w))
+            saved = sorted([size(filler + pair.ordinary, w) - size(pair.toxic + pair.ordinary, w) for w in toxicity.windows(text)] or [0])
+            n = len(saved)
+            often = [sum(s >= k for s in saved) for k in range(1, 8)]
+            x = [sum(saved) / n, saved[-1], sum(saved[-3:]) / len(saved[-3:]), np.log(n), np.log1p(len(text)), *[np.log1p(o) for o in often], *[np.sqrt(k / n) for k in often]]
+            odds.append(sum((v - m) / s * w for v, m, s, w in zip(x, pair.mean, pair.scale, pair.weights, strict=False)) + pair.weights[-1])
+        assert got == pytest.approx(1 / (1 + np.exp(-np.mean(odds))), abs=1e-9)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import cut_lineage
 
 #: Characters of a training sample, about; it takes whole texts, and fewer of them if they are long.
-SAMPLE_CHARS = 48_000_000
+SAMPLE_CHARS = 24_000_000
 
 
 def fold(doc_id: Column, folds: int) -> Column:

@@ -1,7 +1,8 @@
 """Text quality by attention-based multiple-instance learning (operator 10).
 
-A document is a bag of passages of ``WORDS`` words.  Every passage is described by the bytes and words it is made of
-and encoded by a small dense layer; gated attention weighs the passages, their weighted sum is the document's
+A document is a bag of passages of ``WORDS`` words.  Every passage is described by the kinds of bytes it is made of, by
+how long and how often repeated its words are, and by its words and pairs of words, hashed to ``HASHED`` counts each; a
+small dense layer encodes it; gated attention weighs the passages, their weighted sum is the document's
 representation, and a logistic unit scores it.  Only documents carry labels: the weights of the passages are learnt
 with the rest, by gradient descent on a sample of at most ``GOOD`` and ``BAD`` documents.  Scoring reads every passage
 of every text.
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import small
 from tickloom.llm.labelled import fold, sample
-from tickloom.llm.rolling import prefix_sums, substring_hashes
+from tickloom.llm.rolling import mix, prefix_sums, substring_hashes
 
 FOLDS, HELD, THRESHOLD = 4, 2, 0.7
 #: Bounds of the training sample, documents of either label.
@@ -26,6 +27,8 @@ GOOD, BAD = 5000, 2500
 WORDS = 64
 
 _KINDS = 17
+#: Buckets of words, and of pairs of words, of a passage.
+HASHED = 64
 
 
 def _byte_kinds() -> np.ndarray:
@@ -37,7 +40,7 @@ def _byte_kinds() -> np.ndarray:
 
 
 _KIND_OF = _byte_kinds()
-N_FEATURES = _KINDS + 8
+N_FEATURES = _KINDS + 8 + 2 * HASHED
 
 
 def passages(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -49,7 +52,7 @@ def passages(text: str | None, words: int = WORDS) -> np.ndarray:
     starts, ends = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
     n = len(starts)
     if not n:
-        return np.zeros((1, N_FEATURES))
+        return np.zeros((1, N_FEATURES), np.float32)
     of_word = np.arange(n) // words
     n_bags = of_word[-1] + 1
     first = starts[::words]
@@ -74,7 +77,12 @@ def passages(text: str | None, words: int = WORDS) -> np.ndarray:
         np.log1p(mean), np.log1p(spread), distinct, np.bincount(of_word, again, minlength=n_bags) / count, np.bincount(of_word, fresh, minlength=n_bags) / count,
         np.bincount(of_word, length <= 3, minlength=n_bags) / count, np.log1p(count), np.bincount(of_word, length > 20, minlength=n_bags) / count,
     ]
-    return np.c_[np.sqrt(shares), extra]
+    in_bag = of_word * HASHED
+    one = np.bincount(in_bag + (hashes >> np.uint64(58)).astype(np.int64), minlength=n_bags * HASHED)
+    both = mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])[of_word[:-1] == of_word[1:]]
+    two = np.bincount(in_bag[:-1][of_word[:-1] == of_word[1:]] + (both >> np.uint64(58)).astype(np.int64), minlength=n_bags * HASHED)
+    grams = [np.sqrt(x.reshape(n_bags, HASHED) / count[:, None]) for x in (one, two)]
+    return np.c_[np.sqrt(shares), extra, *grams].astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -101,6 +109,18 @@ class BagModel:
         z = np.add.reduceat(a[:, None] * h, begins)
         return {"bag": bag, "h": h, "t": t, "s": s, "a": a, "z": z, "y": _sigmoid(z @ p["c"] + p["d"])}
 
+    def gradients(self, x: np.ndarray, begins: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Derivatives of the mean logistic loss of bags with labels ``y``."""
+        p, f = self.p, self.forward(x, begins)
+        do = (f["y"] - y) / len(y)
+        dz = (do[:, None] * p["c"])[f["bag"]]
+        da = (f["h"] * dz).sum(1)
+        de = f["a"] * (da - np.add.reduceat(f["a"] * da, begins)[f["bag"]])
+        gate = de[:, None] * p["w"]
+        dt, ds = gate * f["s"] * (1 - f["t"] ** 2), gate * f["t"] * f["s"] * (1 - f["s"])
+        dh = (f["a"][:, None] * dz + dt @ p["V"].T + ds @ p["U"].T) * (1 - f["h"] ** 2)
+        return {"W": x.T @ dh, "b": dh.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ ds, "w": (f["t"] * f["s"]).T @ de, "c": f["z"].T @ do, "d": do.sum()}
+
     def score(self, bags: list[np.ndarray]) -> np.ndarray:
         if not bags:
             return np.zeros(0)
@@ -130,15 +150,7 @@ def train(rows: list[tuple[str, int]], hidden: int = 16, gates: int = 8, epochs:
         for at in range(0, len(order), batch):
             some = [bags[i] for i in order[at : at + batch]]
             x, begins = np.concatenate(some), np.concatenate([[0], np.cumsum([len(b) for b in some])[:-1]])
-            f = model.forward(x, begins)
-            do = (f["y"] - y[order[at : at + batch]]) / len(some)
-            dz = (do[:, None] * p["c"])[f["bag"]]
-            da = (f["h"] * dz).sum(1)
-            de = f["a"] * (da - np.add.reduceat(f["a"] * da, begins)[f["bag"]])
-            gate = de[:, None] * p["w"]
-            dt, ds = gate * f["s"] * (1 - f["t"] ** 2), gate * f["t"] * f["s"] * (1 - f["s"])
-            dh = (f["a"][:, None] * dz + dt @ p["V"].T + ds @ p["U"].T) * (1 - f["h"] ** 2)
-            grads = {"W": x.T @ dh, "b": dh.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ ds, "w": (f["t"] * f["s"]).T @ de, "c": f["z"].T @ do, "d": do.sum()}
+            grads = model.gradients(x, begins, y[order[at : at + batch]])
             step += 1
             for k, g in grads.items():
                 g = g + 1e-4 * p[k]

@@ -1,12 +1,17 @@
 """Toxicity by compression distance (operator 2).
 
-Two zstandard dictionaries are trained: one on ordinary text, one on what toxic text says again and again and ordinary
-text does not.  A text is cut into windows at word ends, and every window is compressed twice: with the ordinary
-dictionary, and with the toxic one put before it (with the ordinary one alone, a filler of the same length stands in
-its place, so offsets cost the same).  How many bytes the toxic dictionary saves, window by window, is the evidence;
-a logistic calibration on labelled texts that trained neither dictionary turns it into log odds.  ``PARTS`` such pairs,
-each trained without another part of the labelled sample and calibrated on that part, are averaged: which chance
-fragments a dictionary holds then matters little.  The score has threshold 0.5.
+Two zstandard dictionaries are trained: one on ordinary text, one on toxic text.  Toxic documents are mostly ordinary
+prose, so the toxic dictionary is trained on what they say again and again and ordinary text does not: of each toxic
+text only the words are left that are much more frequent in toxic documents (``TYPICAL_RATIO``).  A text is cut into
+windows at word ends, and every window is compressed twice: with the ordinary dictionary, and with the toxic one put
+before it (with the ordinary one alone, a filler of the same length stands in its place, so offsets cost the same).  How
+many bytes the toxic dictionary saves, window by window, is the evidence; a logistic calibration on labelled texts that
+trained neither dictionary turns it into log odds.  ``PARTS`` such pairs, each trained without another part of the
+labelled sample and calibrated on that part, are averaged: which chance fragments a dictionary holds then matters
+little.  The score has threshold 0.5.
+
+Dictionaries trained on whole windows of either label, with nothing between labels and training, do not give right
+results on text of this kind; the README has the figures.
 
 Labels are learnt from a sample of at most ``TOXIC`` and ``ORDINARY`` documents; every text is scored whole.
 """
@@ -33,8 +38,6 @@ WINDOW = 256
 TOXIC_BYTES, ORDINARY_BYTES = 1200, 30_000
 #: Pairs of dictionaries.
 PARTS = 4
-#: Windows that the ordinary dictionary is trained on at most.
-ORDINARY_WINDOWS = 60_000
 #: A word is typical of toxic text if this share of toxic documents (and two at least) has it, or words with the same
 #: ``STEM`` first characters, and it is so many times as frequent there as in ordinary text.
 TYPICAL_SHARE, TYPICAL_RATIO = 0.005, 20
@@ -153,7 +156,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> Pair:
     said = [" ".join(w for w in t.lower().split() if w in typical or w[:STEM] + "~" in typical) for t in toxic]
     return Pair(
         toxic=trained_content(TOXIC_BYTES, [f" {s} ".encode() for s in said if s]),
-        ordinary=trained_content(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)][:ORDINARY_WINDOWS]),
+        ordinary=trained_content(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)]),
     )
 
 
