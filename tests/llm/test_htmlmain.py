@@ -88,3 +88,25 @@ def test_odd_pages(spark, model):
 def test_references_and_white_space():
     page = read("<p>a&nbsp;&amp;\n  b<br>c<i>d</i>e</p>f<div>g</div>h")
     assert [t for _, t, _ in page.runs] == ["a & b cde", "f", "g", "h"]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<script ", "<", "<p a='", '<p a=">" ', "</x>", "<div>", "<!-", "<!--", "<b>'\"", "<script>", "&", "</div ", "<p>", "<x y"])
+def test_malformed_pages_take_linear_time(model, unit):
+    import time
+
+    page = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    read(page)
+    assert time.process_time() - start < 12
+    read("<div>" * 20_000 + "</nosuch>" * 100_000)
+    assert time.process_time() - start < 14
+
+
+def test_text_of_formulas_and_objects_stays():
+    page = read('<p>It is <math><mi>x</mi><mo>=</mo><mn>1</mn></math> <svg class="i"/>here, <object data="a">a fallback</object> and <svg><title>Icon</title><path d="z"/></svg>more.</p><script>no</script><p>End</p>')
+    assert [t for _, t, _ in page.runs] == ["It is x=1 here, a fallback and more.", "End"]
+
+
+def test_quotes_in_tags():
+    page = read("<p title=\"a > b\">one</p><p title='it>s'>two</p><p title=\"open>three</p>")
+    assert [t for _, t, _ in page.runs] == ["one", "two", "three"]
