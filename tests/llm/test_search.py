@@ -41,9 +41,11 @@ def test_nearest_with_copies_ties_and_shards(spark):
 
 
 def test_sign_codes(spark):
-    rows = [([0.5, -1.0, 2.0],), (None,), ([float("nan")],), ([None, 1.0],), ([],), ([-1.0] * 63 + [1.0],), ([1.0] * 70,)]
+    rows = [([0.5, -1.0, 2.0],), (None,), ([float("nan")],), ([None, 1.0],), ([],), ([-1.0] * 63 + [1.0],), ([1.0] * 64,)]
     got = [r[0] for r in spark.createDataFrame(rows, "v array<float>").select(topk.sign_code(F.col("v"))).collect()]
     assert got == [5, None, None, None, 0, -(1 << 63), -1]
+    with pytest.raises(Exception, match="more than 64 components"):
+        spark.createDataFrame([([1.0] * 65,)], "v array<float>").select(topk.sign_code(F.col("v"))).collect()
 
 
 def table(seed=0, n=900, d=16):
@@ -87,7 +89,7 @@ def test_nearest_vectors_with_copies_and_bad_rows(spark):
 
 def test_recall_at_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    out = vptree.nearest(df).collect()
+    out = vptree.nearest(df, per_shard=2000).collect()  # five shards
     rows = df.select("vec_id", "embedding").collect()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
     got = {}

@@ -24,16 +24,19 @@ from tickloom.llm.common import cut_lineage
 from tickloom.llm.shards import meet, number_of_shards, rank_least
 
 BITS, SEGMENTS, K = 64, 4, 10
-PER_SHARD, PER_BLOCK = 16_384, 1_024
+PER_SHARD, PER_BLOCK = 16_384, 256
 
 
 def sign_code(vector: Column) -> Column:
-    """The signs of the first 64 components as a 64-bit code; null for null vectors and vectors with null or non-finite
-    components."""
-    bit = lambda x, i: F.when((x > 0) & (i < BITS), F.expr("1L")).otherwise(F.expr("0L"))
+    """The signs of the components as a 64-bit code; null for null vectors and vectors with null or non-finite components.
+
+    Vectors of more than 64 components are an error.
+    """
+    bit = lambda x, i: F.when(x > 0, F.expr("1L")).otherwise(F.expr("0L"))
     bits = F.transform(vector, lambda x, i: F.call_function("shiftleft", bit(x, i), F.pmod(i, F.lit(BITS))))
     valid = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return F.when(vector.isNotNull() & valid, F.aggregate(bits, F.expr("0L"), lambda a, b: a.bitwiseOR(b)))
+    fits = F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"vectors of more than {BITS} components have no code"))).otherwise(F.lit(True))
+    return F.when(vector.isNotNull() & fits & valid, F.aggregate(bits, F.expr("0L"), lambda a, b: a.bitwiseOR(b)))
 
 
 @lru_cache(maxsize=None)
@@ -109,19 +112,18 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = K, per_shard: int = P
     shards = number_of_shards(entries.count(), per_shard)
     blocks = number_of_shards(asked.count(), per_block)
     points = F.struct("code", F.col("least")[0].alias("first"))
-    pairs = meet(entries, asked, shards, blocks, points, F.col("code"), F.xxhash64("code"), F.xxhash64("code"))
-
-    def search(batches):
-        for b in batches:
-            for p, a in zip(b.column(1), b.column(2), strict=True):
-                rows = p.values.flatten()
-                code = rows[0].to_numpy()
-                tie = rows[1].to_numpy()
-                q = np.array(a.as_py(), dtype=np.int64)
-                query, entry, distance = MultiIndex(code.view(np.uint64)).search(q.view(np.uint64), k + 1, tie)
-                yield pa.RecordBatch.from_arrays([pa.array(q[query]), pa.array(code[entry]), pa.array(distance.astype(np.int32))], names=["asked", "code", "distance"])
-
-    near = pairs.mapInArrow(search, "asked long, code long, distance int")
+
+    def search(points, asked):
+        code, tie = (points.field(k).to_numpy(zero_copy_only=False) for k in ("code", "first"))
+        index = MultiIndex(code.view(np.uint64))
+        for block in asked:
+            q = block.to_numpy(zero_copy_only=False)
+            query, entry, distance = index.search(q.view(np.uint64), k + 1, tie)
+            yield pa.RecordBatch.from_arrays([pa.array(q[query]), pa.array(code[entry]), pa.array(distance.astype(np.int32))], schema=columns)
+
+    columns = pa.schema([("asked", pa.int64()), ("code", pa.int64()), ("distance", pa.int32())])
+    points = F.struct("code", F.col("least")[0].alias("first"))
+    near = meet(entries, asked, shards, blocks, points, F.col("code"), F.xxhash64("code"), F.xxhash64("code"), search, "asked long, code long, distance int", columns)
     near = near.withColumnRenamed("code", "near").join(entries.withColumnRenamed("code", "near"), "near")
     best = Window.partitionBy("asked").orderBy("distance", "first")
     near = near.withColumn("first", F.col("least")[0]).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)

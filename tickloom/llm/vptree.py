@@ -21,7 +21,7 @@ from tickloom.llm.common import cut_lineage
 from tickloom.llm.shards import meet, number_of_shards, rank_least
 
 K, FACTOR = 20, 4.0
-PER_SHARD, PER_BLOCK, LEAF = 16_384, 1_024, 512
+PER_SHARD, PER_BLOCK, LEAF = 16_384, 256, 512
 
 
 class VantagePointTree:
@@ -119,38 +119,33 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, factor: float = FAC
     asked = cut_lineage(queries.groupBy("same").agg(F.count("*").alias("n")).join(entries.select("same", "vector"), "same").select("same", "vector"))
     shards = number_of_shards(entries.count(), per_shard)
     blocks = number_of_shards(asked.count(), per_block)
+
+    def search(points, asked):
+        names, sizes = points.field("same").to_pylist(), points.field("vector").value_lengths().to_numpy()
+        flat = points.field("vector").flatten().to_numpy()
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        own = {size: np.flatnonzero(sizes == size) for size in np.unique(sizes).tolist()}
+        trees = {}
+        for block in asked:
+            ask_names, ask_sizes = block.field("same").to_pylist(), block.field("vector").value_lengths().to_numpy()
+            ask_flat = block.field("vector").flatten().to_numpy()
+            ask_starts = np.concatenate([[0], np.cumsum(ask_sizes)])
+            for size in np.unique(ask_sizes).tolist():
+                if size not in own:
+                    continue
+                if size not in trees:
+                    trees[size] = VantagePointTree(flat[starts[own[size]][:, None] + np.arange(size)])
+                asking = np.flatnonzero(ask_sizes == size)
+                q = ask_flat[ask_starts[asking][:, None] + np.arange(size)]
+                got, _ = trees[size].search(q, min(k + 1, len(own[size])), factor)
+                i, j = np.nonzero(got >= 0)
+                point = got[i, j]
+                score = ordered_products(q[i], trees[size].points[point])
+                yield pa.RecordBatch.from_arrays([pa.array([ask_names[x] for x in asking[i].tolist()], pa.string()), pa.array([names[x] for x in own[size][point].tolist()], pa.string()), pa.array(score, pa.float64())], schema=columns)
+
+    columns = pa.schema([("asked", pa.string()), ("near", pa.string()), ("score", pa.float64())])
     row = F.struct("same", "vector", F.col("least")[0].alias("first"))
-    pairs = meet(entries, asked, shards, blocks, row, F.struct("same", "vector"), F.xxhash64("same"), F.xxhash64("same"))
-
-    def search(batches):
-        last, trees = None, {}
-        for b in batches:
-            for shard, p, a in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                points, asks = p.values.flatten(), a.values.flatten()
-                sizes = points[1].value_lengths().to_numpy()
-                if shard != last:
-                    last, trees = shard, {}
-                ask_sizes = asks[1].value_lengths().to_numpy()
-                ask_from = np.concatenate([[0], np.cumsum(ask_sizes)])
-                flat, ask_flat = points[1].flatten().to_numpy(), asks[1].flatten().to_numpy()
-                point_from = np.concatenate([[0], np.cumsum(sizes)])
-                names, ask_names = points[0].to_pylist(), asks[0].to_pylist()
-                for size in np.unique(ask_sizes).tolist():
-                    own = np.flatnonzero(sizes == size)
-                    asking = np.flatnonzero(ask_sizes == size)
-                    if not len(own):
-                        continue
-                    if size not in trees:
-                        trees[size] = VantagePointTree(flat[point_from[own][:, None] + np.arange(size)])
-                    tree = trees[size]
-                    q = ask_flat[ask_from[asking][:, None] + np.arange(size)]
-                    got, _ = tree.search(q, min(k + 1, len(own)), factor)
-                    i, j = np.nonzero(got >= 0)
-                    point = got[i, j]
-                    score = ordered_products(q[i], tree.points[point])
-                    yield pa.RecordBatch.from_arrays([pa.array([ask_names[x] for x in asking[i].tolist()]), pa.array([names[x] for x in own[point].tolist()]), pa.array(score)], names=["asked", "near", "score"])
-
-    near = pairs.mapInArrow(search, "asked string, near string, score double")
+    near = meet(entries, asked, shards, blocks, row, F.struct("same", "vector"), F.xxhash64("same"), F.xxhash64("same"), search, "asked string, near string, score double", columns)
     near = near.join(entries.select(F.col("same").alias("near"), "least"), "near").withColumn("first", F.col("least")[0])
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "first")
     near = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
