@@ -30,23 +30,36 @@ def test_replies_follow_quotations(spark):
 
 def test_order_puts_every_reply_after_its_parent(spark):
     data = [(1, i, "u", f"Message number {i}." if i % 3 else f"> Message number {i // 2}.\nReply {i}.") for i in range(1, 1300)]
-    out = chat.formatted(spark.createDataFrame(data, M)).orderBy("root_turn", "depth", "turn").collect()
+    df = spark.createDataFrame(data, M)
+    out = chat.formatted(df).orderBy("position").collect()
+    assert [r["position"] for r in out] == list(range(1, 1300))
     place = {r["turn"]: k for k, r in enumerate(out)}
+    parts = chat.conversations(df, 100).orderBy("part").collect()
+    assert [r["n_messages"] for r in parts] == [100] * 12 + [99] and [r["part"] for r in parts] == list(range(13))
+    assert "\n".join(r["conversation"] for r in parts) == "\n".join(r["message"] for r in out)
     assert len(place) == 1299 and all(r["parent_turn"] is None or place[r["parent_turn"]] < place[r["turn"]] for r in out)
     assert out[0]["message"].startswith("<|u|>\n")
 
 
 def test_odd_rows(spark):
-    data = [(1, 0, None, None), (1, 0, "a", "x"), (1, 0, "a", "x"), (None, 1, "a", "> x\ny"), (1, None, "a", "z"), (2, 5, "b", ""), (2, 9, "b", ">>>"), (3, 0, "c", "> " * 500 + "deep\n" + "long " * 20000)]
+    data = [(1, 0, None, None), (1, 0, "a", "x"), (1, 0, "a", "x"), (None, 1, "a", "> x\ny"), (1, None, "a", "z"), (2, 5, "b", ""), (2, 9, "b", ">>>"), (3, 0, "c", "> " * 500 + "deep\n" + "long " * 20000), (4, 0, "d", "> " * 200_000 + "deep"), (4, 1, "d", "x" + " " * 200_000 + "y\n" + "> a\n>> b\n" * 20_000)]
     df = spark.createDataFrame(data, M).withColumn("depth", F.lit("clash"))
     out = chat.formatted(df).collect()
     assert len(out) == len(data)
     assert {r["quote_levels"] for r in out if r["conv_id"] == 3} == {500}
+    assert sorted(r["quote_levels"] for r in out if r["conv_id"] == 4) == [2, 200_000]
+    assert sorted(r["position"] for r in out if r["conv_id"] is None) == [1] and sorted(r["position"] for r in out if r["conv_id"] == 1) == [1, 2, 3, 4]
     assert [r["parent_turn"] for r in out if r["conv_id"] == 2 and r["turn"] == 9] == [5]
     assert [r["message"] for r in out if r["role"] is None] == ["<|unknown|>\n"]
     assert chat.threads(df.limit(0)).count() == 0
 
 
+def test_a_whole_passage_outweighs_its_sentences(spark):
+    """Both messages say both sentences; only the second says them as one paragraph."""
+    data = [(1, 0, "a", "See you there. Then bye now."), (1, 1, "b", "Bye now. Well.\n\nSee you there. Bye now.\n\nMore."), (1, 2, "a", "Bye now."), (1, 3, "c", "> See you there.\n> Bye now.\nYes.")]
+    assert rows(chat.threads(spark.createDataFrame(data, M)))[1, 3]["parent_turn"] == 1
+
+
 def test_no_python_in_the_plan(spark):
-    plan = chat.formatted(spark.createDataFrame([(1, 0, "a", "x")], M))._jdf.queryExecution().toString()
+    plan = chat.conversations(spark.createDataFrame([(1, 0, "a", "x")], M))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

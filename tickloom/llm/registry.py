@@ -46,6 +46,11 @@ def op9_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def thread_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 9 builds: whole conversations, in parts."""
+    return chat.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,8 +67,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_quote_threads": op9_quote_threads,
         "op10_attention_quality": op10_attention_quality,
+        "thread_conversations": thread_conversations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": topk.ORACLE_SQL, "op9_quote_threads": chat.ORACLE_SQL}
+    return {"op5_exact_topk": topk.ORACLE_SQL, "op9_quote_threads": chat.ORACLE_SQL, "thread_conversations": chat.CONVERSATIONS_SQL}
