@@ -66,6 +66,13 @@ def encode_calib(raw: Column, millideg: Column, node: Column, chain: Column, fla
     return F.when(fits, encode(raw, millideg, node, chain, flags)).otherwise(F.raise_error(F.lit("calibration value out of range")))
 
 
+def decode_calib(data: Column) -> Column:
+    """``raw_adc, calibrated_millideg, node_id, chain_index, status_flags, valid`` of a calibration frame, which is laid
+    out as a state frame; raises if it has not 8 bytes."""
+    s = decode(data)
+    return F.struct(s["raw_adc"].alias("raw_adc"), s["millideg"].alias("calibrated_millideg"), *[s[c].alias(c) for c in ("node_id", "chain_index", "status_flags", "valid")])
+
+
 def can_id(node: Column) -> Column:
     return node + STATE_BASE
 

@@ -65,9 +65,9 @@ def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalit
     return seen.select("episode_id", "modality", *_result(ref, matched, method, near, matched.isNotNull(), tie))
 
 
-def align_exact(refs: DataFrame, targets: DataFrame) -> DataFrame:
+def align_exact(refs: DataFrame, targets: DataFrame, modalities: list[str] | None = None) -> DataFrame:
     """One row for each reference and modality: the target at the same instant, if there is one."""
-    kinds = modalities_of(targets)
+    kinds = modalities if modalities is not None else modalities_of(targets)
     there = targets.groupBy("episode_id", "modality").agg(F.lit(True).alias("any"))
     asked = _for_each(refs, kinds).join(there, ["episode_id", "modality"], "left")
     hits = targets.select("episode_id", "modality", "ns", F.col("ns").alias("hit")).distinct()
@@ -75,16 +75,17 @@ def align_exact(refs: DataFrame, targets: DataFrame) -> DataFrame:
     return joined.select("episode_id", "modality", *_result(F.col("ns"), F.col("hit"), F.lit("exact"), F.col("hit").isNotNull(), F.coalesce("any", F.lit(False)), F.lit(False)))
 
 
-def align_window(refs: DataFrame, targets: DataFrame, window_ns: int) -> DataFrame:
+def align_window(refs: DataFrame, targets: DataFrame, window_ns: int, modalities: list[str] | None = None) -> DataFrame:
     """A row for each reference and target at most ``window_ns`` apart, both ends included; references without any give
     one ``no_target`` row."""
     if window_ns < 1:
         raise ValueError("a window must be 1 ns at least")
-    kinds = modalities_of(targets)
-    bucket = F.floor(F.col("ns") / window_ns) if window_ns > (1 << 40) else (F.col("ns") - F.pmod(F.col("ns"), F.lit(window_ns))) / window_ns
-    asked = _for_each(refs, kinds).withColumn("bucket", bucket.cast("long"))
+    kinds = modalities if modalities is not None else modalities_of(targets)
+    # Exact whole numbers: the bucket below zero is one less than what division towards zero gives.
+    bucket = F.expr(f"(ns - pmod(ns, {int(window_ns)}L)) div {int(window_ns)}L")
+    asked = _for_each(refs, kinds).withColumn("bucket", bucket)
     near = asked.select("episode_id", "modality", F.col("ns").alias("ref"), F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket")).distinct()
-    found = near.join(targets.select("episode_id", "modality", F.col("ns").alias("target"), bucket.cast("long").alias("bucket")), ["episode_id", "modality", "bucket"]).where(F.abs(F.col("target") - F.col("ref")) <= window_ns)
+    found = near.join(targets.select("episode_id", "modality", F.col("ns").alias("target"), bucket.alias("bucket")), ["episode_id", "modality", "bucket"]).where(F.abs(F.col("target") - F.col("ref")) <= window_ns)
     joined = asked.select("episode_id", "modality", F.col("ns").alias("ref")).join(found.drop("bucket"), ["episode_id", "modality", "ref"], "left")
     return joined.select("episode_id", "modality", *_result(F.col("ref"), F.col("target"), F.lit("window"), F.col("target").isNotNull(), F.lit(False), F.lit(False)))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -53,6 +54,68 @@ def gate(reports: DataFrame, thresholds: dict) -> DataFrame:
     return reports.select("episode_id", F.concat_ws(",", *checks).alias("failures"))
 
 
+#: What the five published cases may show at most (fixed values); a bound that is null is none.
+THRESHOLDS = "name string, verdicts array<string>, max_flagged long, max_abs_offset_ns long, max_p99_abs_offset_ns long, min_event_accuracy double"
+PUBLISHED = [
+    ("clean_baseline", ["aligned_within_budget"], 0, 20_000_000, 20_000_000, 1.0),
+    ("can_jitter_mild", ["aligned_within_budget", "degraded"], 0, 200_000, 200_000, 1.0),
+    ("camera_variable_33ms", ["aligned_within_budget", "degraded"], 0, 2_000_000, 2_000_000, 1.0),
+    ("burst_stall_200ms", ["quarantined"], 20, 0, 0, 0.5),
+    ("skewed_source_clock", ["quarantined"], 0, None, None, 1.0),
+]
+
+
+def demand_clean(names: list[str]) -> list[tuple]:
+    """Bounds that only cases without any violation keep."""
+    if not names or len(set(names)) < len(names):
+        raise ValueError("names of cases are needed, each once")
+    return [(n, ["aligned_within_budget"], 0, None, None, 1.0) for n in names]
+
+
+def gate_cases(reports: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """``reports`` (with ``name, deterministic, round_trips`` beside the columns of ``report``) with ``failures``: what a
+    row breaks of its case's thresholds, in fixed order.
+
+    A case without thresholds, and thresholds without a case, are rows with that failure alone, so neither goes
+    unnoticed.  Determinism and round trips are always enforced.
+    """
+    t = thresholds.select("name", *[F.col(c).alias(f"t_{c}") for c in thresholds.columns if c != "name"]).withColumn("t", F.lit(True))
+    both = reports.withColumn("r", F.lit(True)).join(t, "name", "full_outer")
+    over = lambda c, bound: F.when(F.col(c) > F.col(bound), F.concat(F.lit(f"{c}:"), F.col(c)))
+    known = F.col("r").isNotNull() & F.col("t").isNotNull()
+    broken = F.concat_ws(
+        ",",
+        F.when(~F.array_contains("t_verdicts", F.col("verdict")), F.concat(F.lit("verdict:"), F.col("verdict"))),
+        over("flagged", "t_max_flagged"), over("max_abs_offset_ns", "t_max_abs_offset_ns"), over("p99_abs_offset_ns", "t_max_p99_abs_offset_ns"),
+        *([F.when(F.col("event_accuracy") < F.col("t_min_event_accuracy"), F.lit("event_accuracy"))] if "event_accuracy" in reports.columns else []),
+        F.when(~F.col("deterministic"), F.lit("not_deterministic")), F.when(~F.col("round_trips"), F.lit("no_round_trip")),
+    )
+    failures = F.when(known, broken).when(F.col("r").isNull(), F.lit("no_report")).otherwise(F.lit("no_thresholds"))
+    return both.select(*[F.col(c) for c in reports.columns], failures.alias("failures"))
+
+
+def suite(cases: dict[str, Callable[[], DataFrame]]) -> DataFrame:
+    """The reports of all cases, each computed twice, with ``name, deterministic, round_trips``.
+
+    ``deterministic``: both runs gave the row; ``round_trips``: its text form reads back to the same row.
+    """
+    out = None
+    for name, run in cases.items():
+        first, again = run(), run()
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in first.schema)
+        same = again.select("episode_id", F.to_json(F.struct(*first.columns)).alias("again"))
+        both = first.withColumn("text", F.to_json(F.struct(*first.columns))).join(same, "episode_id", "left")
+        back = F.to_json(F.from_json("text", schema, {"mode": "FAILFAST"}))
+        rows = both.select(F.lit(name).alias("name"), *first.columns, F.col("text").eqNullSafe(F.col("again")).alias("deterministic"), (back == F.col("text")).alias("round_trips"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def write_report(reports: DataFrame, folder: str) -> None:
+    """Gated reports as JSON lines, in order of name and episode."""
+    reports.select(*sorted(reports.columns)).repartitionByRange("name", "episode_id").sortWithinPartitions("name", "episode_id").write.mode("overwrite").json(folder)
+
+
 def missing_thresholds(reports: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Cases with a report but no thresholds, or thresholds but no report; there must be none."""
     a, b = reports.select("name"), thresholds.select("name")

@@ -6,17 +6,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.codec import is_finite
+from tickloom.schema import EVENT_KINDS, FLOATS
 
 EPSILON_S = 1e-9
+#: Format of event records, and most phases of a script.
+EVENT_VERSION, MOST_PHASES = 1, 10_000
 CONTACT_KINDS = ["contact_start", "slip", "impact"]
 
 
-def detect_threshold(samples: DataFrame, channel: str = "motor_current", threshold: float = 1.0, kind: str = "current_spike") -> DataFrame:
+def check_channel(channel: str) -> str:
+    """The channel; raises unless a sample has it as a number."""
+    if channel not in FLOATS:
+        raise ValueError(f"no channel of numbers is called {channel!r}; there are {', '.join(FLOATS)}")
+    return channel
+
+
+def records(found: DataFrame, channel: str, detector: str, confidence: float | Column, payload: dict[str, Column]) -> DataFrame:
+    """Events (``episode_id, seq, t_ns, kind`` and what ``payload`` needs) as full records.
+
+    ``episode_id, seq, kind, t_monotonic_ns, confidence, channel, detector, schema_version, payload``; raises for an
+    unknown kind, and for a confidence outside 0 to 1.
+    """
+    if not isinstance(confidence, Column):
+        if not 0.0 <= confidence <= 1.0:
+            raise ValueError(f"confidence must be from 0 to 1, got {confidence}")
+        sure = F.lit(float(confidence))
+    else:
+        sure = F.when(confidence.between(0.0, 1.0) & ~F.isnan(confidence), confidence).otherwise(F.raise_error(F.lit("confidence must be from 0 to 1")))
+    kind = F.when(F.col("kind").isin(EVENT_KINDS), F.col("kind")).otherwise(F.raise_error(F.concat(F.lit("unknown event kind "), F.coalesce("kind", F.lit("null")))))
+    pairs = [x for name, value in payload.items() for x in (F.lit(name), value.cast("double"))]
+    return found.select(
+        "episode_id", "seq", kind.alias("kind"), F.col("t_ns").alias("t_monotonic_ns"), sure.alias("confidence"), F.lit(channel).alias("channel"), F.lit(detector).alias("detector"), F.lit(EVENT_VERSION).alias("schema_version"), F.create_map(*pairs).alias("payload"),
+    )
+
+
+def no_events(samples: DataFrame) -> DataFrame:
+    """Records of a detector that finds nothing."""
+    return records(samples.where(F.lit(False)).select("episode_id", "seq", F.col("timestamp_ns").alias("t_ns"), F.lit("slip").alias("kind")), "", "noop", 1.0, {"none": F.lit(0.0)})
+
+
+def script(phases: DataFrame) -> DataFrame:
+    """The phases, for a broadcast; raises if there are too many for one."""
+    if phases.limit(MOST_PHASES + 1).count() > MOST_PHASES:
+        raise ValueError(f"a script has {MOST_PHASES} phases at most")
+    return F.broadcast(phases)
+
+
+def detect_threshold(samples: DataFrame, channel: str = "motor_current", threshold: float = 1.0, kind: str = "current_spike", keep: list[str] | None = None) -> DataFrame:
     """An event for every row whose absolute value reaches the threshold; NaN never does, infinity does."""
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
     v = F.col(channel)
-    return samples.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) >= threshold)).select("episode_id", "seq", F.col("timestamp_ns").alias("t_ns"), F.lit(kind).alias("kind"), F.lit(channel).alias("channel"), F.abs(v).alias("level"))
+    return samples.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) >= threshold)).select("episode_id", "seq", F.col("timestamp_ns").alias("t_ns"), F.lit(kind).alias("kind"), F.lit(channel).alias("channel"), F.abs(v).alias("level"), *(keep or []))
 
 
 def tactile_level(token: Column) -> Column:
@@ -45,22 +86,24 @@ def detect_contact(samples: DataFrame, level: Column, onset: float, release: flo
     return changed.select("episode_id", "seq", F.col("timestamp_ns").alias("t_ns"), F.when(F.col("state") == 1, "contact_start").otherwise("contact_release").alias("kind"), "level")
 
 
-def impact_candidates(samples: DataFrame, channel: str, jerk: float) -> DataFrame:
-    """Rows whose value differs from the one before on its chain by ``jerk`` or more; a non-finite difference is none."""
+def impact_candidates(samples: DataFrame, channel: str, jerk: float, signed: bool = False) -> DataFrame:
+    """Rows whose value differs from the one before on its chain by ``jerk`` or more; a non-finite difference is none.
+    ``delta`` is the size of the difference, with ``signed`` the difference itself."""
     if jerk <= 0:
         raise ValueError("jerk must be above 0")
     order = Window.partitionBy("episode_id", "chain_index").orderBy("seq")
-    delta = samples.withColumn("delta", F.abs(F.col(channel) - F.lag(channel).over(order)))
-    return delta.where(is_finite(F.col("delta")) & (F.col("delta") >= jerk)).select("episode_id", "chain_index", "seq", F.col("timestamp_ns").alias("t_ns"), F.lit("impact").alias("kind"), "delta")
+    change = F.col(channel) - F.lag(channel).over(order)
+    delta = samples.withColumn("delta", change if signed else F.abs(change))
+    return delta.where(is_finite(F.col("delta")) & (F.abs("delta") >= jerk)).select("episode_id", "chain_index", "seq", F.col("timestamp_ns").alias("t_ns"), F.lit("impact").alias("kind"), "delta")
 
 
-def detect_impact(samples: DataFrame, channel: str, jerk: float, refractory_ns: int = 0) -> DataFrame:
+def detect_impact(samples: DataFrame, channel: str, jerk: float, refractory_ns: int = 0, signed: bool = False) -> DataFrame:
     """Impacts of every chain.  After one that fired, others less than ``refractory_ns`` later are not reported.
 
     Which candidates fire depends on those before, so each chain's candidates (a small part of its rows) are walked in
     order, one chain at a time, as they stream through the task.
     """
-    found = impact_candidates(samples, channel, jerk)
+    found = impact_candidates(samples, channel, jerk, signed)
     if refractory_ns <= 0:
         return found
 
@@ -85,7 +128,7 @@ def phase_of(samples: DataFrame, phases: DataFrame, start_ns: Column) -> DataFra
     """
     t = (F.col("timestamp_ns") - start_ns).cast("double") / 1e9
     inside = (F.col("start_s") - EPSILON_S <= F.col("elapsed_s")) & (F.col("elapsed_s") < F.col("start_s") + F.col("duration_s") - EPSILON_S)
-    return samples.withColumn("elapsed_s", t).join(F.broadcast(phases.select("phase_ix", F.col("kind").alias("phase_kind"), "start_s", "duration_s")), inside, "left").drop("start_s", "duration_s")
+    return samples.withColumn("elapsed_s", t).join(script(phases.select("phase_ix", F.col("kind").alias("phase_kind"), "start_s", "duration_s")), inside, "left").drop("start_s", "duration_s")
 
 
 def check_phases(phases: DataFrame) -> DataFrame:
@@ -115,7 +158,8 @@ def ground_truth(samples: DataFrame, phases: DataFrame) -> DataFrame:
     anchored = own.join(own.groupBy("episode_id").agg(F.min("timestamp_ns").alias("anchor")), "episode_id")
     contact = phases.where(F.col("kind").isin("contact_start", "slip", "impact", "release"))
     hits = phase_of(anchored, contact, F.col("anchor")).where("phase_ix is not null").groupBy("episode_id", "phase_ix").agg(F.min("timestamp_ns").alias("t_ns"))
-    wanted = carrying.select("episode_id").join(F.broadcast(contact.select("phase_ix", "kind")))
+    each = contact.limit(MOST_PHASES + 1).agg(F.collect_list(F.struct("phase_ix", "kind")).alias("p")).first()["p"]
+    wanted = carrying.select("episode_id", F.inline(F.array(*[F.struct(F.lit(p["phase_ix"]).alias("phase_ix"), F.lit(p["kind"]).alias("kind")) for p in each]))) if each else carrying.select("episode_id", F.lit(0).alias("phase_ix"), F.lit("").alias("kind")).limit(0)
     out = wanted.join(hits, ["episode_id", "phase_ix"], "left")
     kind = F.when(F.col("kind") == "release", "contact_release").otherwise(F.col("kind"))
     return out.select("episode_id", "phase_ix", kind.alias("kind"), F.coalesce("t_ns", F.raise_error(F.lit("a contact phase has no sample"))).alias("t_ns"))

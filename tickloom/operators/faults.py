@@ -63,23 +63,22 @@ def stream_seed(seed: int, label: str) -> int:
 def drawn(stamps: DataFrame, seed: int, label: str, draw: str, a: float, b: float) -> DataFrame:
     """``stamps`` with ``draw``: for each index the draw of that number of the stream (``uniform`` or ``randint``).
 
-    The table of draws is as long as the longest episode; it is made in order by one generator and joined by index.
+    A generator of this kind cannot jump ahead, so the draws of a stream are made in order, in one task, for the longest
+    episode (not for the table), and joined by index.
     """
-    spark = stamps.sparkSession
-    n = stamps.agg(F.max("idx")).first()[0]
-    n = -1 if n is None else n
+    longest = stamps.agg(F.coalesce(F.max("idx"), F.lit(-1)).alias("last"))
 
     def draws(batches):
-        for _ in batches:
-            import pandas as pd
+        import pandas as pd
 
-            r = random.Random(stream_seed(seed, label))
-            for at in range(0, n + 1, 10_000):
-                m = min(10_000, n + 1 - at)
-                yield pd.DataFrame({"idx": range(at, at + m), "draw": [float(getattr(r, draw)(a, b)) for _ in range(m)]})
+        for some in batches:
+            for last in some["last"]:
+                r = random.Random(stream_seed(seed, label))
+                for at in range(0, last + 1, 10_000):
+                    m = min(10_000, last + 1 - at)
+                    yield pd.DataFrame({"idx": range(at, at + m), "draw": [float(getattr(r, draw)(a, b)) for _ in range(m)]})
 
-    table = spark.range(1).mapInPandas(draws, "idx long, draw double")
-    return stamps.join(table, "idx")
+    return stamps.join(longest.mapInPandas(draws, "idx long, draw double"), "idx")
 
 
 def jitter(stamps: DataFrame, magnitude_ns: int, seed: int, label: str = "fault[0]:jitter") -> DataFrame:
@@ -109,3 +108,90 @@ def drop_randomly(stamps: DataFrame, probability: float, seed: int, label: str =
 def reorder(stamps: DataFrame, start: int, length: int, seed: int, label: str = "fault[0]:reorder") -> DataFrame:
     """One adjacent pair within the window in the other order; which one is drawn."""
     return swap(stamps, start + random.Random(stream_seed(seed, label)).randint(0, length - 2))
+
+
+#: Parameters of each kind of fault (fixed values); ``drop`` takes one of its two.
+PARAMETERS = {
+    "jitter": {"magnitude_ns"}, "fixed_delay": {"delay_ns"}, "burst_delay": {"delay_ns", "window_start", "window_len"}, "drop": {"every_k", "probability"}, "duplicate": {"at_index"},
+    "reorder": {"window_start", "window_len"}, "skewed_clock": {"offset_ns", "drift_ppm"}, "variable_frame_time": {"wobble"},
+}
+_LEAST = {"magnitude_ns": 1, "delay_ns": 1, "window_start": 0, "window_len": 1, "every_k": 2, "at_index": 0, "offset_ns": None}
+
+
+def check_fault(fault: dict) -> dict:
+    """The fault, a ``kind`` with its parameters; raises for one that is unknown, incomplete or would change nothing."""
+    kind, given = fault.get("kind"), {k: v for k, v in fault.items() if k != "kind" and v is not None}
+    if kind not in PARAMETERS:
+        raise ValueError(f"unknown kind of fault {kind!r}; there are {', '.join(PARAMETERS)}")
+    wanted = PARAMETERS[kind]
+    if set(given) - wanted:
+        raise ValueError(f"{kind} does not use {', '.join(sorted(set(given) - wanted))}")
+    if len(given) != (1 if kind == "drop" else len(wanted)):
+        raise ValueError(f"{kind} needs {'one of ' if kind == 'drop' else ''}{', '.join(sorted(wanted))}")
+    for name, value in given.items():
+        if isinstance(value, bool) or not isinstance(value, int if name in _LEAST else (int, float)) or value != value or abs(value) == float("inf"):
+            raise ValueError(f"{name} is no number of its kind: {value!r}")
+        if name in _LEAST and _LEAST[name] is not None and value < _LEAST[name]:
+            raise ValueError(f"{name} must be {_LEAST[name]} at least, got {value}")
+        if name in ("probability", "wobble") and not 0 < value < 1:
+            raise ValueError(f"{name} must lie between 0 and 1, got {value}")
+    if kind == "reorder" and given["window_len"] < 2:
+        raise ValueError("a window to reorder has two stamps at least")
+    if kind == "skewed_clock" and not given["offset_ns"] and not given["drift_ppm"]:
+        raise ValueError("a clock without offset and drift is not skewed")
+    return {"kind": kind, **given}
+
+
+def _numbered(stamps: DataFrame) -> DataFrame:
+    """``idx`` counted anew from 0, after stamps went."""
+    return stamps.withColumn("idx", (F.row_number().over(Window.partitionBy("episode_id").orderBy("idx")) - 1).cast("long"))
+
+
+def _reaching(stamps: DataFrame, last: int, what: str) -> DataFrame:
+    """``stamps``; raises for an episode without an index ``last``."""
+    there = F.max("idx").over(Window.partitionBy("episode_id")) >= last
+    return stamps.withColumn("timestamp_ns", F.when(there, F.col("timestamp_ns")).otherwise(F.raise_error(F.lit(f"{what} is past the end of an episode"))))
+
+
+def _increasing(stamps: DataFrame, kind: str) -> DataFrame:
+    """``stamps``; raises where one is not above the one before."""
+    before = F.lag("timestamp_ns").over(Window.partitionBy("episode_id").orderBy("idx"))
+    rises = before.isNull() | (F.col("timestamp_ns") > before)
+    return stamps.withColumn("timestamp_ns", F.when(rises, F.col("timestamp_ns")).otherwise(F.raise_error(F.lit(f"{kind} needs increasing stamps: apply what breaks their order later"))))
+
+
+def chain(stamps: DataFrame, faults: list[dict], seed: int) -> DataFrame:
+    """The faults one after the other, each with a stream of draws of its own, named by place and kind.
+
+    So a fault's draws depend on the seed, its place and its kind only, and longer chains do not change earlier faults.
+    No faults leave the stamps as they are.
+    """
+    for i, fault in enumerate(map(check_fault, faults)):
+        kind, label = fault["kind"], f"fault[{i}]:{fault['kind']}"
+        if kind == "jitter":
+            stamps = jitter(_increasing(stamps, kind), fault["magnitude_ns"], seed, label)
+        elif kind == "fixed_delay":
+            stamps = fixed_delay(stamps, fault["delay_ns"])
+        elif kind == "burst_delay":
+            stamps = burst_delay(_reaching(stamps, fault["window_start"], "the start of a burst"), fault["window_start"], fault["window_len"], fault["delay_ns"])
+        elif kind == "drop":
+            stamps = _numbered(drop_every(stamps, fault["every_k"]) if "every_k" in fault else drop_randomly(stamps, fault["probability"], seed, label))
+        elif kind == "duplicate":
+            stamps = duplicate(_reaching(stamps, fault["at_index"], "the stamp to repeat"), fault["at_index"])
+        elif kind == "reorder":
+            stamps = reorder(_reaching(stamps, fault["window_start"] + fault["window_len"] - 1, "a window to reorder"), fault["window_start"], fault["window_len"], seed, label)
+        elif kind == "skewed_clock":
+            stamps = skewed_clock(stamps, fault["offset_ns"], fault["drift_ppm"])
+        else:
+            stamps = variable_frame_time(_increasing(stamps, kind), fault["wobble"], seed, label)
+    return stamps
+
+
+#: The recorded disturbances: stamps, period and faults of each (fixed values).
+FIXTURE_SEED, FIXTURE_START_NS = 104, 1_000_000_000
+FIXTURES = {
+    "can_jitter_mild": (200, 10_000_000, [{"kind": "jitter", "magnitude_ns": 200_000}]),
+    "camera_variable_33ms": (90, 33_333_333, [{"kind": "variable_frame_time", "wobble": 0.04}]),
+    "burst_stall_200ms": (200, 10_000_000, [{"kind": "burst_delay", "delay_ns": 200_000_000, "window_start": 100, "window_len": 20}]),
+    "skewed_source_clock": (200, 10_000_000, [{"kind": "skewed_clock", "offset_ns": 5_000_000, "drift_ppm": 500.0}]),
+}

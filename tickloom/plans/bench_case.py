@@ -25,7 +25,30 @@ def bench_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bench.gate(bench_rows(spark, sf_dir), {"max_flagged": 3, "max_non_matched": 10, "max_p95_abs_offset_ns": HOUR, "verdicts": ["aligned_within_budget", "degraded"]})
 
 
-_ROWS = f"""{base.BURST}, {sql.jitter('bu', 6.0)},
+def bench_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three cases over all users, run twice, read back from text and gated by thresholds; one case has none, and one
+    threshold has no case."""
+    clean = base.stamps(spark, sf_dir).select("episode_id", "seq", "idx", "timestamp_ns")
+
+    def case(*chain):
+        late = faults.chain(clean, list(chain), 1).select("episode_id", "seq", "idx", "timestamp_ns")
+        return lambda: bench.report(clean, {"disturbed": late}, SKEW, BUDGET)
+
+    burst = {"kind": "burst_delay", "window_start": 0, "window_len": 5, "delay_ns": 120 * HOUR}
+    skewed = {"kind": "skewed_clock", "offset_ns": HOUR, "drift_ppm": 100.0}
+    cases = {"clean": case(), "burst": case(burst), "skewed": case(skewed), "both": case(skewed, burst)}
+    reports = bench.suite(cases)
+    bounds = spark.createDataFrame(LIMITS, bench.THRESHOLDS)
+    return bench.gate_cases(reports, bounds).groupBy("name", "verdict", "deterministic", "round_trips", "failures").agg(F.count("*").alias("episodes"))
+
+
+#: Thresholds of the cases of ``bench_suite``.
+LIMITS = [("clean", ["aligned_within_budget"], 0, 0, 0, None), ("burst", ["degraded"], 4, HOUR, HOUR, None), ("skewed", ["aligned_within_budget", "degraded"], 0, SKEW, SKEW - 1, None), ("absent", ["degraded"], 0, 0, 0, None)]
+
+
+def _rows(source: str) -> str:
+    """The report rows of the stamps in ``source``, as SQL that ends in ``rows_``."""
+    return f"""{source}, {sql.jitter('bu', 6.0)},
 rec AS (SELECT episode_id, 'disturbed' AS modality, seq, CASE WHEN coalesce(timestamp_ns <= max(timestamp_ns) OVER (PARTITION BY episode_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) THEN NULL ELSE timestamp_ns END AS norm FROM bu),
 ref AS (SELECT episode_id, timestamp_ns AS ns FROM st), clean AS (SELECT episode_id, modality, norm AS ns FROM rec WHERE norm IS NOT NULL), {sql.nearest('ref', 'clean', SKEW)},
 r AS (SELECT episode_id, count(*) AS total_results, count(*) FILTER (quality <> 'matched') AS non_matched, max(abs(offset_ns)) AS max_abs_offset_ns, sum(abs(offset_ns))::DOUBLE / count(offset_ns) AS mean_abs_offset_ns FROM al GROUP BY 1),
@@ -37,9 +60,22 @@ rows_ AS (SELECT f.episode_id, 2 * n_stamps AS total_records, flagged, total_res
     CASE WHEN NOT gate_passed OR n_stamps = flagged OR non_matched = total_results THEN 'quarantined' WHEN flagged > 0 OR non_matched > 0 THEN 'degraded' ELSE 'aligned_within_budget' END AS verdict
     FROM f JOIN g ON f.episode_id = g.episode_id JOIN r ON r.episode_id = f.episode_id LEFT JOIN p ON p.episode_id = f.episode_id)"""
 
-QUERIES = {"bench_rows": bench_rows, "bench_gate": bench_gate}
+
+_ROWS = _rows(base.BURST)
+_SKEWED = "SELECT * REPLACE (timestamp_ns + 3600000000000 + CAST(round_even(100.0::DOUBLE * (timestamp_ns - first_value(timestamp_ns) OVER (PARTITION BY episode_id ORDER BY idx))::DOUBLE / 1e6, 0) AS BIGINT) AS timestamp_ns) FROM st"
+_LATE = "CASE WHEN idx BETWEEN 0 AND 4 THEN timestamp_ns + 432000000000000 ELSE timestamp_ns END AS timestamp_ns"
+_SOURCES = {"clean": "SELECT * FROM st", "burst": f"SELECT * REPLACE ({_LATE}) FROM st", "skewed": _SKEWED, "both": f"SELECT * REPLACE ({_LATE}) FROM ({_SKEWED})"}
+_CASES = " UNION ALL ".join(f"SELECT * FROM (WITH {_rows(base.STAMPS + f', bu AS ({q})')} SELECT '{name}' AS name, * FROM rows_)" for name, q in _SOURCES.items())
+_BOUNDS = ", ".join(f"('{n}', {v}, {f}, {a}, {p})" for n, v, f, a, p, _ in LIMITS)
+
+QUERIES = {"bench_rows": bench_rows, "bench_gate": bench_gate, "bench_suite": bench_suite}
 SQL = {
     "bench_rows": f"WITH {_ROWS} SELECT * FROM rows_",
     "bench_gate": f"""WITH {_ROWS} SELECT episode_id, concat_ws(',', CASE WHEN flagged > 3 THEN 'flagged:' || flagged END, CASE WHEN non_matched > 10 THEN 'non_matched:' || non_matched END,
     CASE WHEN coalesce(p95_abs_offset_ns, 0) > {HOUR} THEN 'p95_abs_offset_ns:' || p95_abs_offset_ns END, CASE WHEN verdict NOT IN ('aligned_within_budget', 'degraded') THEN 'verdict:' || verdict END) AS failures FROM rows_""",
+    "bench_suite": f"""WITH c AS ({_CASES}), t(name, verdicts, max_flagged, max_abs, max_p99) AS (VALUES {_BOUNDS})
+SELECT coalesce(c.name, t.name) AS name, verdict, CASE WHEN c.name IS NOT NULL THEN true END AS deterministic, CASE WHEN c.name IS NOT NULL THEN true END AS round_trips,
+    CASE WHEN c.name IS NULL THEN 'no_report' WHEN t.name IS NULL THEN 'no_thresholds' ELSE concat_ws(',', CASE WHEN NOT list_contains(verdicts, verdict) THEN 'verdict:' || verdict END, CASE WHEN flagged > max_flagged THEN 'flagged:' || flagged END,
+    CASE WHEN max_abs_offset_ns > max_abs THEN 'max_abs_offset_ns:' || max_abs_offset_ns END, CASE WHEN p99_abs_offset_ns > max_p99 THEN 'p99_abs_offset_ns:' || p99_abs_offset_ns END) END AS failures, count(*) AS episodes
+FROM c FULL JOIN t ON c.name = t.name GROUP BY ALL""",
 }

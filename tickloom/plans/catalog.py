@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions import codec, render, values
+from tickloom.functions import codec, render, serial, values
 from tickloom.operators import align, events, faults, frames, meta, quality, scoring, timeline
 from tickloom.plans import base, bench_case, sql
 from tickloom.plans.base import HOUR
+from tickloom.sources.registry import DETECTORS
 from tickloom.streaming import stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,12 +506,11 @@ def stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate.join(first, "episode_id", "left").select("episode_id", "n_ok", "n_errors", hz.alias("hz"), "first_errors")
 
 
-@query("SELECT true AS ok, count(*) AS n FROM events")
+@query(f"WITH {base.SAMPLES} SELECT episode_id, seq, timestamp_ns, value, tactile_event, true AS ok FROM ev")
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples written as JSON and read back; none may differ."""
     s = base.samples(spark, sf_dir).select("episode_id", "seq", "timestamp_ns", "value", "tactile_event")
-    back = values.json_round_trip(s, s.columns, "episode_id long, seq long, timestamp_ns long, value double, tactile_event string")
-    return back.groupBy("ok").agg(F.count("*").alias("n"))
+    return values.json_round_trip(s, s.columns, "episode_id long, seq long, timestamp_ns long, value double, tactile_event string")
 
 
 @query(f"WITH {base.SAMPLES} SELECT seq, timestamp_ns // 1000000000 AS sec, timestamp_ns % 1000000000 AS nanosec FROM ev")
@@ -520,10 +521,10 @@ def stamp_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {base.SAMPLES}, {_BYTES}, l AS (SELECT seq, node, chain_index, deg, deg * (pi() / 180.0::DOUBLE / 1000.0::DOUBLE) AS angle, flags, seq % 13 <> 0 AS ok FROM b3),
 p AS (SELECT *, CAST(round_even((least(pi(), greatest(-pi(), angle)) + pi()) / (2 * pi()) * 39, 0) AS INTEGER) AS k FROM l),
 q AS (SELECT *, substr(repeat('-', 20) || '|' || repeat('-', 19), 1, k) || '#' || substr(repeat('-', 20) || '|' || repeat('-', 19), k + 2) AS bar FROM p)
-SELECT seq, 'pod ' || lpad(node::VARCHAR, 2, ' ') || ':' || rpad(chain_index::VARCHAR, 2, ' ') || ' ' || printf('%+8.2f', deg / 1000.0::DOUBLE) || ' deg  [' || bar || '] ' || CASE WHEN flags = 0 THEN 'ok' ELSE '0x' || printf('%02X', flags) END || CASE WHEN ok THEN '' ELSE ' CK!' END AS line
-FROM q WHERE node < 100""")
+SELECT seq, 'pod ' || lpad(node::VARCHAR, greatest(2, length(node::VARCHAR))::INTEGER, ' ') || ':' || rpad(chain_index::VARCHAR, greatest(2, length(chain_index::VARCHAR))::INTEGER, ' ') || ' ' || printf('%+8.2f', deg / 1000.0::DOUBLE) || ' deg  [' || bar || '] ' || CASE WHEN flags = 0 THEN 'ok' ELSE '0x' || printf('%02X', flags) END || CASE WHEN ok THEN '' ELSE ' CK!' END AS line
+FROM q""")
 def pod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _frames_of(spark, sf_dir).select("seq", codec.decode(F.col("data")).alias("s")).select("seq", "s.*").where("node_id < 100")
+    f = _frames_of(spark, sf_dir).select("seq", codec.decode(F.col("data")).alias("s")).select("seq", "s.*")
     return f.select("seq", render.pod_line(F.col("node_id"), F.col("chain_index"), F.col("millideg"), codec.angle_rad(F.col("millideg")), F.col("status_flags"), F.col("valid")).alias("line"))
 
 
@@ -546,10 +547,64 @@ def replay_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.groupBy("episode_id").agg(F.count_if(~codec.is_finite(F.col("value"))).alias("not_finite"), F.count_if(F.col("timestamp_ns") < F.col("before")).alias("decreasing"), F.count_if(F.col("timestamp_ns") < 1).alias("below_first"))
 
 
-@query(f"""WITH {_RECORDS} SELECT episode_id, modality FROM tm WHERE matched + out_of_budget + no_target = 0 OR (matched > 0) <> (offset_mean_ns IS NOT NULL) OR offset_min_ns > offset_max_ns OR greatest(abs(offset_min_ns), abs(offset_max_ns)) > {SKEW}""")
+_BROKEN = """br AS (SELECT * REPLACE (CASE WHEN episode_id % 5 = 1 THEN offset_max_ns + 1 ELSE offset_min_ns END AS offset_min_ns, CASE WHEN episode_id % 5 = 2 THEN NULL ELSE offset_mean_ns END AS offset_mean_ns,
+    CASE WHEN episode_id % 5 = 3 THEN 0 ELSE matched END AS matched) FROM tm)"""
+
+
+@query(f"""WITH {_RECORDS}, {_BROKEN} SELECT episode_id, modality FROM br WHERE matched + out_of_budget + no_target = 0 OR (matched > 0) <> (offset_mean_ns IS NOT NULL) OR offset_min_ns > offset_max_ns OR greatest(abs(offset_min_ns), abs(offset_max_ns)) > {SKEW}""")
 def timing_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a summary that contradict themselves."""
-    return meta.contradictions(meta.modality_timing(*_records(spark, sf_dir)), SKEW)
+    """Rows that contradict themselves, of a summary that was spoilt in three ways."""
+    t, of = meta.modality_timing(*_records(spark, sf_dir)), F.col("episode_id") % 5
+    spoilt = t.withColumns({"offset_min_ns": F.when(of == 1, F.col("offset_max_ns") + 1).otherwise(F.col("offset_min_ns")), "offset_mean_ns": F.when(of != 2, F.col("offset_mean_ns")), "matched": F.when(of == 3, 0).otherwise(F.col("matched"))})
+    return meta.contradictions(spoilt, SKEW)
+
+
+@query(f"WITH {_RECORDS} SELECT * FROM tm")
+def timing_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries written as text and read back strictly."""
+    text = meta.modality_timing(*_records(spark, sf_dir)).select(serial.written(serial.TIMING).alias("text"))
+    return text.select(serial.read(F.col("text"), serial.TIMING).alias("t")).select("t.*")
+
+
+@query(f"""WITH {base.BURST}, r AS (SELECT *, coalesce(timestamp_ns <= max(timestamp_ns) OVER (PARTITION BY episode_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS back FROM bu)
+SELECT seq, timestamp_ns AS raw_ns, 'monotonic' AS domain, CASE WHEN NOT back THEN timestamp_ns END AS normalized_ns, CASE WHEN back THEN 'backwards_in_source' ELSE '' END AS flags, CAST(NULL AS BIGINT) AS skew_ns FROM r""")
+def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised records written as text and read back strictly."""
+    r = timeline.normalize(base.burst(spark, sf_dir)).withColumn("original", F.struct(F.col("timestamp_ns").alias("raw_ns"), F.lit("monotonic").alias("domain")))
+    back = r.select("seq", serial.written(serial.RECORD).alias("text")).select("seq", serial.read_record(F.col("text")).alias("r"))
+    return back.select("seq", "r.original.*", "r.normalized_ns", F.array_join("r.flags", ",").alias("flags"), "r.skew_ns")
+
+
+@query(f"""WITH {base.SAMPLES} SELECT seq, seq % 4096 AS raw_adc, CAST(floor(value * 100) AS INTEGER) % 60000 - 30000 AS calibrated_millideg, CAST(seq % 256 AS INTEGER) AS node_id, CAST(episode_id % 256 AS INTEGER) AS chain_index, CAST(seq % 64 AS INTEGER) AS status_flags, true AS valid,
+    CAST(768 + seq % 256 AS INTEGER) AS can_id FROM ev""")
+def calib_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibration frames, encoded and decoded."""
+    node = (F.col("seq") % 256).cast("int")
+    data = codec.encode_calib((F.col("seq") % 4096).cast("int"), F.floor(F.col("value") * 100).cast("int") % 60000 - 30000, node, (F.col("episode_id") % 256).cast("int"), (F.col("seq") % 64).cast("int"))
+    return base.samples(spark, sf_dir).select("seq", codec.decode_calib(data).alias("s"), codec.calib_can_id(node).alias("can_id")).select("seq", "s.*", "can_id")
+
+
+@query(f"""WITH {base.FULL}, rd AS (SELECT *, CASE WHEN tactile_event IN ('contact_start', 'slip', 'impact') THEN 1.0 WHEN tactile_event = 'release' THEN 0.0 END::DOUBLE AS level FROM fs), {sql.contact('rd', 0.5, 0.5)},
+d AS (SELECT *, joint_velocity - lag(joint_velocity) OVER (PARTITION BY episode_id, chain_index ORDER BY seq) AS delta FROM fs)
+SELECT episode_id, seq, kind, t_ns AS t_monotonic_ns, 0.5::DOUBLE AS confidence, 'tactile_event' AS channel, 'contact' AS detector, 1 AS schema_version, 'level,onset_threshold,release_threshold' AS names, level AS first, 0.5::DOUBLE AS second FROM con
+UNION ALL SELECT episode_id, seq, 'current_spike', timestamp_ns, 1.0, 'motor_current', 'threshold', 1, 'value,threshold', motor_current, 20.0 FROM fs WHERE abs(motor_current) >= 20
+UNION ALL SELECT episode_id, seq, 'impact', timestamp_ns, 0.9, 'joint_velocity', 'impact', 1, 'delta,jerk_threshold', delta, 30.0 FROM d WHERE abs(delta) >= 30""")
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full records of four detectors, chosen by name."""
+    s = base.full_samples(spark, sf_dir)
+    found = [DETECTORS.make("noop", s), DETECTORS.make("contact", s, confidence=0.5), DETECTORS.make("threshold", s, "motor_current", 20.0), DETECTORS.make("impact", s, "joint_velocity", 30.0, confidence=0.9)]
+    out = reduce(DataFrame.unionByName, found)
+    values_ = F.map_values("payload")
+    return out.withColumns({"names": F.array_join(F.map_keys("payload"), ","), "first": F.get(values_, 0), "second": F.get(values_, 1)}).drop("payload")
+
+
+@query(f"""WITH {base.STAMPS}, a AS (SELECT *, timestamp_ns + CASE WHEN idx < 3 THEN {HOUR} ELSE 0 END AS t FROM st), b AS (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY idx) - 1 AS i FROM a WHERE (idx + 1) % 4 <> 0),
+c AS (SELECT *, first_value(t) OVER (PARTITION BY episode_id ORDER BY i) AS t0 FROM b), d AS (SELECT episode_id, i, t + 5000 + CAST(round_even(20.0::DOUBLE * (t - t0)::DOUBLE / 1e6, 0) AS BIGINT) AS t FROM c)
+SELECT episode_id, CASE WHEN i = 0 THEN k ELSE i + 1 END AS idx, t + 7 AS timestamp_ns FROM d, range(2) g(k) WHERE i = 0 OR k = 0""")
+def fault_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five faults by kind, one after the other."""
+    chain = [{"kind": "burst_delay", "window_start": 0, "window_len": 3, "delay_ns": HOUR}, {"kind": "drop", "every_k": 4}, {"kind": "skewed_clock", "offset_ns": 5000, "drift_ppm": 20.0}, {"kind": "duplicate", "at_index": 0}, {"kind": "fixed_delay", "delay_ns": 7}]
+    return faults.chain(base.stamps(spark, sf_dir).select("episode_id", "idx", "timestamp_ns"), chain, 3)
 
 
 # The same events as a stream.

@@ -26,6 +26,9 @@ SAMPLE = T.StructType(
 SAMPLE_COLUMNS = [f.name for f in SAMPLE]
 FLOATS = ["joint_angle", "joint_velocity", "motor_current", "estimated_torque"]
 
+#: A decoded joint state (fixed values).
+POD_STATE = {"node_id": "int", "chain_index": "int", "angle_raw_adc": "int", "angle_millideg": "int", "angle_rad": "double", "status_flags": "int", "checksum_valid": "boolean", "schema_version": "int"}
+
 CAN_FRAME = T.StructType([T.StructField("can_id", T.IntegerType()), T.StructField("data", T.StringType()), T.StructField("t_ns", T.LongType())])
 CANLOG = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("t_ns", T.LongType()), T.StructField("id", T.IntegerType()), T.StructField("data", T.StringType())])
 

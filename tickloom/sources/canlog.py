@@ -10,18 +10,28 @@ from tickloom.operators.ordered import running
 from tickloom.schema import CANLOG, PVT_SCHEMA_VERSION
 
 VERSION = 1
+#: Capture files of one read.
+MOST_FILES = 10_000
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``can_id, data, t_ns, seq`` of every record; blank lines are skipped, a missing version counts as 1.
 
-    Other versions, lines that are no objects, wrong data widths and non-hex data raise and name the file.
+    ``seq`` grows from line to line of a file, and from file to file in the order of their names where these are one
+    folder's files that Spark reads whole (captures are small files).  Other versions, lines that are no objects, wrong
+    data widths and non-hex data raise and name the file and the line.
     """
-    # Blank lines go by explode, not by a filter, which Spark might run after the checks.
+    # Whole files, so that lines can be numbered; blank lines go by explode, not by a filter, which might run after the checks.
+    files = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"), F.input_file_name().alias("file"))
     some = F.filter(F.array("value"), lambda x: F.trim(x) != "")
-    lines = spark.read.text(path).select(F.explode(some).alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("seq"))
+    lines = files.select((F.col("line") + 1).alias("line"), F.explode(some).alias("value"), "file")
+    names = {f: i for i, f in enumerate(sorted(spark.read.text(path, wholetext=True).inputFiles()))}
+    if len(names) > MOST_FILES:
+        raise ValueError(f"more than {MOST_FILES} captures at once; read them folder by folder")
+    place = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("file")) if names else F.lit(0)
+    lines = lines.withColumn("seq", place.cast("long") * (1 << 32) + F.col("line"))
     parsed = lines.withColumn("r", F.from_json("value", CANLOG, {"mode": "PERMISSIVE"}))
-    bad = lambda why: F.raise_error(F.concat(F.lit(f"{why} in "), F.col("file"), F.lit(": "), F.col("value")))
+    bad = lambda why: F.raise_error(F.concat(F.lit(f"{why} in "), F.col("file"), F.lit(" line "), F.col("line"), F.lit(": "), F.col("value")))
     data = (
         F.when(~F.ltrim("value").startswith("{") | F.col("r").isNull() | F.col("r.id").isNull() | F.col("r.data").isNull(), bad("not a record"))
         .when(F.coalesce("r.v", F.lit(VERSION)) != VERSION, bad("unknown version"))
@@ -42,10 +52,13 @@ def replay(frames: DataFrame, start_ns: int, period_ns: int) -> DataFrame:
     return running(frames, ["seq"], {}).withColumn("t_ns", F.lit(start_ns).cast("long") + F.col("number") * period_ns).drop("number")
 
 
-def samples(frames: DataFrame, episode_id: str, task: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Samples of an episode by the recorded stamps, and the counts of dropped frames by reason."""
+def samples(frames: DataFrame, episode_id: str, task: str | None = None, keep_bad_checksums: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Samples of an episode by the recorded stamps, and the counts of dropped frames by reason.
+
+    With ``keep_bad_checksums`` frames with a wrong checksum stay if their angle is finite.
+    """
     decoded = frames.withColumn("s", codec.decode(F.col("data"))).withColumn("angle", codec.angle_rad(F.col("s.millideg")))
-    decoded = decoded.withColumn("reason", codec.reject_reason(F.col("s.valid"), F.col("angle")))
+    decoded = decoded.withColumn("reason", codec.reject_reason(F.lit(True) if keep_bad_checksums else F.col("s.valid"), F.col("angle")))
     kept = decoded.where("reason is null").select(
         F.coalesce("t_ns", F.lit(0)).alias("timestamp_ns"), F.lit(episode_id).alias("episode_id"), F.col("s.chain_index").alias("chain_index"), F.col("angle").alias("joint_angle"),
         *[F.lit(0.0).alias(c) for c in ("joint_velocity", "motor_current", "estimated_torque")], *[F.lit(None).cast("string").alias(c) for c in ("camera_frame_id", "tactile_event")], F.lit(task).cast("string").alias("task_label"), F.lit(PVT_SCHEMA_VERSION).alias("schema_version"), "seq",

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import frames, quality
 from tickloom.operators.ordered import running
-from tickloom.schema import PVT_SCHEMA_VERSION, SAMPLE_COLUMNS
+from tickloom.schema import POD_STATE, PVT_SCHEMA_VERSION, SAMPLE_COLUMNS
 
 FRAME_DATASET_VERSION, DATASET_VERSION = 3, 1
 
@@ -25,6 +26,16 @@ def current_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("schema_version", checked).select(*SAMPLE_COLUMNS, *[c for c in rows.columns if c == "seq"])
 
 
+def owned(samples: DataFrame, episode_id: str, task: str | None = None) -> DataFrame:
+    """Samples with finite angles under this episode's id and task, whatever they carried."""
+    return samples.where(quality.is_finite(F.col("joint_angle"))).withColumns({"episode_id": F.lit(episode_id), "task_label": F.lit(task).cast("string")})
+
+
+def states_of(rows: DataFrame) -> DataFrame:
+    """Rows of any types (text, say) as joint states; a value that is missing or of no such type raises."""
+    return rows.select(*[F.coalesce(F.col(name).cast(kind), F.raise_error(F.concat(F.lit(f"no {kind} as {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null"))))).alias(name) for name, kind in POD_STATE.items()])
+
+
 def record(samples: DataFrame, folder: str, budget: quality.JitterBudget | None = None, strict: bool = False, mode: str = "errorifexists") -> DataFrame:
     """Write episodes that pass the recorder's gate to ``data`` and reasons for the others to ``quarantine``.
 
@@ -46,7 +57,9 @@ def _before_export(samples: DataFrame, timing: DataFrame | None) -> None:
 
 def _timing(folder: str, timing: DataFrame | None, exported: DataFrame) -> None:
     if timing is not None:
-        timing.join(exported.select("episode_id"), "episode_id", "left_semi").write.mode("overwrite").json(f"{folder}/timing")
+        own = timing.join(exported.select("episode_id"), "episode_id", "left_semi")
+        order = [c for c in ("episode_id", "modality") if c in own.columns]
+        own.select(*sorted(own.columns)).repartitionByRange("episode_id").sortWithinPartitions(*order).write.mode("overwrite").json(f"{folder}/timing")
 
 
 def export_rows(samples: DataFrame, folder: str, timing: DataFrame | None = None, budget: quality.JitterBudget | None = None) -> DataFrame:
@@ -79,7 +92,7 @@ def export_frames(samples: DataFrame, folder: str, timing: DataFrame | None = No
     rows = rows.join(tasks, "episode_id").join(order.select("episode_id", "task_label", "t0"), "episode_id").withColumn("timestamp", (F.col("timestamp_ns") - F.col("t0")) / 1e9).drop("t0")
     rows.write.mode("errorifexists").parquet(f"{folder}/data")
     rows.groupBy("episode_id", "episode_index").agg(F.count("*").alias("n_frames")).join(gate, "episode_id").write.mode("overwrite").json(f"{folder}/episodes")
-    rows.where("task_index >= 0").select("task_index", "task_label").distinct().write.mode("overwrite").json(f"{folder}/tasks")
+    rows.where("task_index >= 0").select("task_index", "task_label").distinct().orderBy("task_index").write.mode("overwrite").json(f"{folder}/tasks")
     stats = frames.infer_timing(quality.jitter(quality.distinct_instants(good), budget))
     counts = gate.agg(F.count("*").alias("input_episodes"), F.count_if(F.col("exported")).alias("total_episodes"), F.count_if(~F.col("exported")).alias("rejected_episodes"))
     width = rows.agg(F.count("*").alias("total_frames"), F.max(F.size("`observation.state`")).alias("dof"))
@@ -92,6 +105,31 @@ def read_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/data")
 
 
+def write_metadata(spark: SparkSession, folder: str, values: dict[str, str]) -> None:
+    """Names and values that belong to a dataset, as a table beside its data."""
+    if not values or any(not isinstance(x, str) for kv in values.items() for x in kv):
+        raise ValueError("metadata are names and values of text")
+    spark.createDataFrame(sorted(values.items()), "name string, value string").coalesce(1).write.mode("overwrite").json(f"{folder}/metadata")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path; told by the reader, so any store will do."""
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def read_metadata(spark: SparkSession, folder: str) -> dict[str, str]:
+    """What ``write_metadata`` wrote, a bounded table; empty if nothing was."""
+    if not _exists(spark, f"{folder}/metadata"):
+        return {}
+    return {r["name"]: r["value"] for r in spark.read.schema("name string, value string").json(f"{folder}/metadata").limit(10_000).collect()}
+
+
 def read_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Samples of a frame dataset; older ones without chain arrays count joints by position."""
     df = spark.read.parquet(f"{folder}/data")
@@ -100,10 +138,12 @@ def read_frames(spark: SparkSession, folder: str) -> DataFrame:
     return frames.unnest(df)
 
 
-def read_timing(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Timing of a dataset; keys that the schema has not, and broken lines, raise."""
+def read_timing(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
+    """Timing of a dataset, None if it has none; keys that the schema has not, and broken lines, raise."""
     from pyspark.sql.types import StructType
 
+    if not _exists(spark, f"{folder}/timing"):
+        return None
     known = F.array(*[F.lit(c) for c in StructType.fromDDL(schema).fieldNames()])
     lines = spark.read.text(f"{folder}/timing")
     strict = F.when(F.size(F.array_except(F.json_object_keys("value"), known)) == 0, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("unknown key in timing: "), F.col("value"))))

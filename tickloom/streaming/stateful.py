@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickloom.functions.codec import is_finite
+
 #: State stores that these operators need.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -127,6 +129,11 @@ def collect_available(df: DataFrame, name: str, checkpoint: str, mode: str = "ap
     return df.sparkSession.table(name)
 
 
+def collect_finite(samples: DataFrame, name: str, checkpoint: str) -> DataFrame:
+    """Like ``collect_available``, without rows whose angle is not finite."""
+    return collect_available(samples.where(is_finite(F.col("joint_angle"))), name, checkpoint)
+
+
 def run_available(df: DataFrame, folder: str) -> DataFrame:
     """Like ``collect_available`` for any amount of rows: they are written as Parquet below ``folder``, a folder that
     all executors share, and read from there."""
