@@ -46,7 +46,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _bytes_of_chars() -> dict[str, int]:
+def bytes_of_chars() -> dict[str, int]:
     """The printable stand-in of every byte in byte-level vocabularies."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -75,7 +75,7 @@ class TokenAutomaton:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        to_byte = _bytes_of_chars()
+        to_byte = bytes_of_chars()
         vocab = spec["model"]["vocab"]
         self.labels: dict[int, bytes] = {i: bytes(to_byte[c] for c in s) for s, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}

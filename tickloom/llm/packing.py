@@ -12,6 +12,7 @@ piece's place from the run that its number falls in.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -23,7 +24,7 @@ import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.bpe import SPLIT, default_path
+from tickloom.llm.bpe import SPLIT, bytes_of_chars, default_path
 from tickloom.llm.common import cut_lineage, small
 
 CAPACITY, END_ID = 1024, 2
@@ -31,40 +32,58 @@ CAPACITY, END_ID = 1024, 2
 GROUP = 500
 #: Groups that are counted together.
 RANGE = 1000
-#: Words that a worker remembers before it starts afresh (about 60 MB), and characters of a word that it forgets.
-REMEMBERED, LONG_WORD = 300_000, 256
+#: Pieces that a worker remembers before it starts afresh (about 150 MB), and characters of a piece that it forgets.
+REMEMBERED, LONG_PIECE = 700_000, 256
+
+
+class _Pieces(dict):
+    """Pieces of texts met so far with their ids; the library's model encodes the words of a new one."""
+
+    def __init__(self, library: tokenizers.Tokenizer):
+        self.model, self.words = library.model, regex.compile(SPLIT).findall
+        self.stand_in = {b: c for c, b in bytes_of_chars().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        words = self.words(piece)
+        if len(words) == 1:
+            tokens = self.model.tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(self.stand_in))
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        else:
+            ids = b"".join(map(self.__getitem__, words))
+        if len(piece) <= LONG_PIECE:
+            self[piece] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """A function from texts to their ids by the tokenizers library and the vocabulary in ``path``.
+    """A function from a text to its ids by the tokenizers library and the vocabulary in ``path``.
 
-    Words, as the vocabulary's rule splits them, are encoded by the library and remembered; a text that names a special
-    token is encoded as a whole.
+    Pieces of a text begin at its spaces, as the vocabulary's rule begins a word at a space that stands alone between
+    other characters; a text with other spaces is cut into words by the rule itself.  The library's model encodes every
+    piece once, and it is remembered.  A text that names a special token goes to the library as a whole.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     library = tokenizers.Tokenizer.from_file(path)
     library.no_truncation()
     library.no_padding()
     special = [t.content for t in library.get_added_tokens_decoder().values()]
-    split = regex.compile(SPLIT)
-    known: dict[str, bytes] = {}
-
-    def packed(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(texts: list[str | None]) -> list[np.ndarray]:
-        whole = [i for i, t in enumerate(texts) if t and any(s in t for s in special)]
-        cut = {i: split.findall(t) for i, t in enumerate(texts) if t and i not in whole}
+    spaces = [c for c in map(chr, range(0x3001)) if regex.match(r"\s", c) and c != " "]
+    known = _Pieces(library)
+
+    def plain(text: str) -> bool:
+        """Whether every space of a text stands alone between other characters."""
+        return not ("  " in text or text[0] == " " or text[-1] == " " or "\0" in text or any(c in text and (f" {c}" in text or f"{c} " in text) for c in spaces))
+
+    def encode(text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, "<u4")
+        if any(s in text for s in special):
+            return np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
         if len(known) > REMEMBERED:
             known.clear()
-        new = list({w for words in cut.values() for w in words if w not in known})
-        fresh = dict(zip(new, packed(new), strict=True))
-        known.update((w, x) for w, x in fresh.items() if len(w) <= LONG_WORD)
-        long = {w: x for w, x in fresh.items() if len(w) > LONG_WORD}
-        of = known if not long else known | long
-        out = dict(zip(whole, packed([texts[i] for i in whole]), strict=True)) | {i: b"".join(map(of.__getitem__, words)) for i, words in cut.items()}
-        return [np.frombuffer(out.get(i, b""), "<u4") for i in range(len(texts))]
+        pieces = text.replace(" ", "\0 ").split("\0") if plain(text) else known.words(text)
+        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
 
     return encode
 
@@ -83,8 +102,8 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
         encode = _encoder(path)
         for b in small(batches, 128):
             out = [[], [], [], [], []]
-            for d, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
-                ids = np.append(ids, end_id).astype("<u4")
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids = np.append(encode(t), end_id).astype("<u4")
                 for k, (s, n) in enumerate(cut_points(len(ids), capacity)):
                     for o, x in zip(out, (d, k, s, n, zlib.crc32(ids[s : s + n].tobytes())), strict=True):
                         o.append(x)
