@@ -32,21 +32,28 @@ CAPACITY, END_ID = 1024, 2
 GROUP = 500
 #: Groups that are counted together.
 RANGE = 1000
-#: Pieces that a worker remembers before it starts afresh (about 150 MB), and characters of a piece that it forgets.
-REMEMBERED, LONG_PIECE = 700_000, 256
+#: Pieces that a worker remembers before it starts afresh (about 200 MB), and characters of a piece that it forgets.
+REMEMBERED, LONG_PIECE = 1_000_000, 256
 
 
 class _Pieces(dict):
     """Pieces of texts met so far with their ids; the library's model encodes the words of a new one."""
 
     def __init__(self, library: tokenizers.Tokenizer):
-        self.model, self.words = library.model, regex.compile(SPLIT).findall
+        self.tokenize, self.words = library.model.tokenize, regex.compile(SPLIT).findall
         self.stand_in = {b: c for c, b in bytes_of_chars().items()}
 
     def __missing__(self, piece: str) -> bytes:
-        words = self.words(piece)
-        if len(words) == 1:
-            tokens = self.model.tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(self.stand_in))
+        # Most pieces are a space and letters, maybe with one mark: what the rule makes of these is plain.
+        if piece[1:].isalpha() and piece[0] == " ":
+            words = None
+        elif piece[-1] in ".,;:!?" and piece[1:-1].isalpha() and piece[0] == " ":
+            words = piece[:-1], piece[-1]
+        else:
+            words = self.words(piece)
+        if words is None or len(words) == 1:
+            shown = piece if piece.isascii() else piece.encode("utf-8", "replace").decode("latin-1")
+            tokens = self.tokenize(shown.translate(self.stand_in))
             ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         else:
             ids = b"".join(map(self.__getitem__, words))
