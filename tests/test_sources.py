@@ -235,8 +235,11 @@ def test_metadata_and_absent_sidecars(spark, tmp_path):
 
 def test_strict_text_of_stamps_and_records(spark):
     read = lambda t, f: spark.createDataFrame([(t,)], "t string").select(f(F.col("t")).alias("x")).first()["x"]
-    assert tuple(read('{"raw_ns": 5, "domain": "source"}', serial.read_stamp)) == (5, "source")
-    for bad in ('{"raw_ns": 5}', '{"raw_ns": 5, "domain": "lunar"}', '{"raw_ns": 0, "domain": "wall"}', '{"raw_ns": 5, "domain": "wall", "x": 1}', "nothing", '{"raw_ns": "a", "domain": "wall"}', '{"raw_ns": null, "domain": "wall"}'):
+    for text in ('{"raw_ns": 5, "domain": "source"}', '{"raw_ns": 5, "domain": "source", "x": 1}'):
+        assert tuple(read(text, serial.read_stamp)) == (5, "source")
+    with pytest.raises(Exception, match="keys are not those"):
+        read('{"raw_ns": 5, "domain": "source", "x": 1}', lambda t: serial.read(t, serial.STAMP))
+    for bad in ('{"raw_ns": 5}', '{"raw_ns": 5, "domain": "lunar"}', '{"raw_ns": 0, "domain": "wall"}', "nothing", '{"raw_ns": "a", "domain": "wall"}', '{"raw_ns": null, "domain": "wall"}'):
         with pytest.raises(Exception):  # noqa: B017
             read(bad, serial.read_stamp)
     good = '{"original": {"raw_ns": 5, "domain": "wall"}, "normalized_ns": null, "flags": ["unknown_skew"], "skew_ns": null}'
@@ -296,3 +299,20 @@ def test_corrupt_frames_of_a_stream_are_counted(spark, tmp_path):
     (tmp_path / "in" / "a.canlog").write_text("\n".join([good, good.replace("99", "98"), "junk", good.replace("000150c901000099", "00"), good.replace("{", '{"v": 2, ', 1), ""]))
     out = stateful.collect_available(fault_counts(SOURCES.make("stream", spark, str(tmp_path / "in"))), "frame_faults", str(tmp_path / "state"), "complete")
     assert {r["fault"]: r["n"] for r in out.collect()} == {None: 1, "checksum_invalid": 1, "not_a_record": 1, "not_8_bytes": 1, "unknown_version": 1}
+
+
+def test_older_rows_are_migrated_step_by_step(spark):
+    rows = spark.createDataFrame([("a", 1, 10), ("b", 2, 20), ("c", None, 30)], "name string, schema_version int, x int")
+    steps = {1: lambda df: df.withColumn("x", F.col("x") + 1), 2: lambda df: df.withColumn("x", F.col("x") * 100)}
+    assert {r["name"]: (r["schema_version"], r["x"]) for r in episodes.migrated(rows, steps, 3).collect()} == {"a": (3, 1100), "b": (3, 2000), "c": (3, 3100)}
+    with pytest.raises(ValueError, match="from version 2"):
+        episodes.migrated(rows, {1: steps[1]}, 3)
+    with pytest.raises(Exception, match="newer"):
+        episodes.migrated(rows, {}, 1).collect()
+
+
+def test_frames_in_memory_are_replayed(spark):
+    frames = [(257, "000150c901000099"), (258, "000150c90200009a")]
+    assert [tuple(r) for r in SOURCES.make("memory", spark, frames, 100, 10).orderBy("seq").collect()] == [(257, frames[0][1], 100, 0), (258, frames[1][1], 110, 1)]
+    with pytest.raises(ValueError, match="frames"):
+        SOURCES.make("memory", spark, [], 1, 1)

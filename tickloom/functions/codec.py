@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickloom.schema import PVT_SCHEMA_VERSION
+
 STATE_BASE, CALIB_BASE = 0x100, 0x300
 #: Radians of a millidegree, folded in this order.
 RAD_PER_MILLIDEG = math.pi / 180.0 / 1000.0
@@ -101,3 +103,13 @@ def status_bit(flags: Column, k: int) -> Column:
 def stamp_parts(ns: Column) -> Column:
     """Seconds and nanoseconds of a stamp."""
     return F.struct(((ns - F.pmod(ns, F.lit(1_000_000_000))) / 1_000_000_000).cast("long").alias("sec"), F.pmod(ns, F.lit(1_000_000_000)).alias("nanosec"))
+
+
+def message(data: Column, t_ns: Column, frame_id: str = "joint_pod") -> Column:
+    """The message of a received state frame: header with stamp and frame, and all fields; raises if it has not 8 bytes."""
+    s = decode(data)
+    header = F.struct(stamp_parts(t_ns).alias("stamp"), F.lit(frame_id).alias("frame_id"))
+    return F.struct(
+        header.alias("header"), *[s[c].alias(c) for c in ("node_id", "chain_index")], s["raw_adc"].alias("angle_raw_adc"), s["millideg"].alias("angle_millideg"), angle_rad(s["millideg"]).alias("angle_rad"),
+        s["status_flags"].alias("status_flags"), s["valid"].alias("checksum_valid"), F.lit(PVT_SCHEMA_VERSION).alias("schema_version"),
+    )

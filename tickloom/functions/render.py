@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 40
@@ -48,3 +48,9 @@ def pod_line(node: Column, chain: Column, millideg: Column, angle: Column, flags
     return F.concat(
         F.lit("pod "), _padded(node.cast("string"), 2), F.lit(":"), F.rpad(chain.cast("string"), F.greatest(F.lit(2), F.length(chain.cast("string"))), F.lit(" ")), F.lit(" "), degrees(millideg), F.lit(" deg  ["), bar(angle), F.lit("] "), state, F.when(valid, F.lit("")).otherwise(F.lit(" CK!"))
     )
+
+
+def display(states: DataFrame, rows: int = 1000) -> list[str]:
+    """Lines for a terminal, in order of chain and node: a screen of at most ``rows`` joints."""
+    line = pod_line(F.col("node_id"), F.col("chain_index"), F.col("millideg"), F.col("angle_rad"), F.col("status_flags"), F.col("valid"))
+    return [r["line"] for r in states.orderBy("chain_index", "node_id").limit(rows).select(line.alias("line")).collect()]

@@ -28,18 +28,21 @@ def written(schema: str) -> Column:
     return F.to_json(F.struct(*_columns(schema)), {"ignoreNullFields": "false"})
 
 
-def read(text: Column, schema: str) -> Column:
-    """A struct of ``schema`` from its text; raises for unknown or missing keys, and for values of other types."""
+def read(text: Column, schema: str, more: bool = False) -> Column:
+    """A struct of ``schema`` from its text; raises for missing keys, for values of other types and, unless ``more`` keys
+    may be there, for unknown ones."""
     names = F.array(*[F.lit(c) for c in _columns(schema)])
     keys = F.json_object_keys(text)
-    wrong = keys.isNull() | (F.size(F.array_except(keys, names)) > 0) | (F.size(F.array_except(names, keys)) > 0)
+    wrong = keys.isNull() | (F.size(F.array_except(names, keys)) > 0)
+    if not more:
+        wrong = wrong | (F.size(F.array_except(keys, names)) > 0)
     strict = F.when(~wrong, text).otherwise(F.raise_error(F.concat(F.lit("keys are not those of the schema: "), F.coalesce(text, F.lit("null")))))
     return F.from_json(strict, schema, {"mode": "FAILFAST"})
 
 
 def read_stamp(text: Column) -> Column:
     """``raw_ns, domain`` of a stamp; raises for an unknown domain and for stamps out of range too."""
-    s = read(text, STAMP)
+    s = read(text, STAMP, more=True)
     domain = F.when(s["domain"].isin(DOMAINS), s["domain"]).otherwise(F.raise_error(F.concat(F.lit("unknown clock domain in "), text)))
     ns = F.coalesce(s["raw_ns"], F.raise_error(F.concat(F.lit("no stamp in "), text)))
     return F.struct(checked_stamp(ns).alias("raw_ns"), domain.alias("domain"))
@@ -47,7 +50,7 @@ def read_stamp(text: Column) -> Column:
 
 def read_record(text: Column) -> Column:
     """A normalised record; raises for unknown flags, and unless it has either a normalised stamp or a flag."""
-    r = read(text, RECORD)
+    r = read(text, RECORD, more=True)
     fine = r["flags"].isNotNull() & (F.size(F.array_except(r["flags"], F.array(*map(F.lit, FLAGS)))) == 0) & (r["normalized_ns"].isNull() == (F.size(r["flags"]) > 0))
     fine = fine & r["original"]["domain"].isin(DOMAINS) & (r["original"]["raw_ns"] >= 1)
     return F.when(fine, r).otherwise(F.raise_error(F.concat(F.lit("no normalised record: "), text)))

@@ -61,8 +61,9 @@ def select_timing(timing: DataFrame, known: DataFrame, exported: DataFrame) -> t
 
 
 def contradictions(timing: DataFrame, max_skew_ns: int) -> DataFrame:
-    """Keys of summary rows that contradict themselves: no results, a mean without matches or matches without a mean,
-    offsets in the wrong order or beyond the budget.  There must be none."""
-    results = F.col("matched") + F.col("out_of_budget") + F.col("no_target")
-    wrong = (results == 0) | ((F.col("matched") > 0) != F.col("offset_mean_ns").isNotNull()) | (F.col("offset_min_ns") > F.col("offset_max_ns")) | (F.greatest(F.abs("offset_min_ns"), F.abs("offset_max_ns")) > max_skew_ns)
+    """Keys of summary rows that contradict themselves: no records or results, counts below zero, a mean without matches
+    or matches without a mean, a mean outside the offsets, offsets in the wrong order or beyond the budget.  There must be
+    none."""
+    counts = [F.col(c) for c in ("clean", "flagged", "matched", "out_of_budget", "no_target")]
+    wrong = (counts[2] + counts[3] + counts[4] == 0) | (counts[0] + counts[1] == 0) | (F.least(*counts) < 0) | ~F.col("offset_mean_ns").between(F.col("offset_min_ns"), F.col("offset_max_ns")) | ((F.col("matched") > 0) != F.col("offset_mean_ns").isNotNull()) | (F.col("offset_min_ns") > F.col("offset_max_ns")) | (F.greatest(F.abs("offset_min_ns"), F.abs("offset_max_ns")) > max_skew_ns)
     return timing.where(wrong).select("episode_id", "modality")

@@ -432,6 +432,14 @@ def can_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("angle_rad", codec.angle_rad(F.col("millideg")))
 
 
+@query(f"""WITH {base.SAMPLES}, {_BYTES} SELECT seq, timestamp_ns // 1000000000 AS sec, timestamp_ns % 1000000000 AS nanosec, 'joint_pod' AS frame_id, CAST(node AS INTEGER) AS node_id, chain_index, CAST(raw AS INTEGER) AS angle_raw_adc, CAST(deg AS INTEGER) AS angle_millideg,
+    deg * (pi() / 180.0::DOUBLE / 1000.0::DOUBLE) AS angle_rad, CAST(flags AS INTEGER) AS status_flags, seq % 13 <> 0 AS checksum_valid, 1 AS schema_version FROM b3""")
+def pod_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message of every frame, laid flat."""
+    m = _frames_of(spark, sf_dir).select("seq", codec.message(F.col("data"), F.col("timestamp_ns")).alias("m")).select("seq", "m.*")
+    return m.select("header.stamp.*", "header.frame_id", *[c for c in m.columns if c != "header"])
+
+
 @query(f"WITH {base.SAMPLES} SELECT episode_id, CASE WHEN seq % 13 = 0 THEN 'checksum_invalid' END AS reason, count(*) AS n FROM ev GROUP BY ALL")
 def can_checksum_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _frames_of(spark, sf_dir).select("episode_id", codec.decode(F.col("data")).alias("s"))
@@ -551,7 +559,7 @@ _BROKEN = """br AS (SELECT * REPLACE (CASE WHEN episode_id % 5 = 1 THEN offset_m
     CASE WHEN episode_id % 5 = 3 THEN 0 ELSE matched END AS matched) FROM tm)"""
 
 
-@query(f"""WITH {_RECORDS}, {_BROKEN} SELECT episode_id, modality FROM br WHERE matched + out_of_budget + no_target = 0 OR (matched > 0) <> (offset_mean_ns IS NOT NULL) OR offset_min_ns > offset_max_ns OR greatest(abs(offset_min_ns), abs(offset_max_ns)) > {SKEW}""")
+@query(f"""WITH {_RECORDS}, {_BROKEN} SELECT episode_id, modality FROM br WHERE matched + out_of_budget + no_target = 0 OR clean + flagged = 0 OR least(clean, flagged, matched, out_of_budget, no_target) < 0 OR NOT offset_mean_ns BETWEEN offset_min_ns AND offset_max_ns OR (matched > 0) <> (offset_mean_ns IS NOT NULL) OR offset_min_ns > offset_max_ns OR greatest(abs(offset_min_ns), abs(offset_max_ns)) > {SKEW}""")
 def timing_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that contradict themselves, of a summary that was spoilt in three ways."""
     t, of = meta.modality_timing(*_records(spark, sf_dir)), F.col("episode_id") % 5

@@ -7,6 +7,7 @@ nothing), and JSON tables for what was refused and for timing.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,22 @@ def current_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("schema_version", checked).select(*SAMPLE_COLUMNS, *[c for c in rows.columns if c == "seq"])
 
 
+def migrated(rows: DataFrame, steps: dict[int, Callable[[DataFrame], DataFrame]], to: int = PVT_SCHEMA_VERSION) -> DataFrame:
+    """Rows of all versions as rows of version ``to``; ``steps[v]`` makes rows of version v + 1 of those of version v.
+
+    Rows without a version are of version 1; rows of newer versions than ``to`` raise.
+    """
+    missing = [v for v in range(1, to) if v not in steps]
+    if missing:
+        raise ValueError(f"there is no step from version {missing[0]}")
+    version = F.coalesce("schema_version", F.lit(1))
+    out = rows.withColumn("schema_version", F.when(version <= to, version).otherwise(F.raise_error(F.concat(F.lit("rows of version "), version, F.lit(" are newer than this reader")))))
+    for v in range(1, to):
+        old = steps[v](out.where(F.col("schema_version") == v)).withColumn("schema_version", F.lit(v + 1))
+        out = out.where(F.col("schema_version") != v).unionByName(old)
+    return out
+
+
 def owned(samples: DataFrame, episode_id: str, task: str | None = None) -> DataFrame:
     """Samples with finite angles under this episode's id and task, whatever they carried."""
     return samples.where(quality.is_finite(F.col("joint_angle"))).withColumns({"episode_id": F.lit(episode_id), "task_label": F.lit(task).cast("string")})

@@ -24,6 +24,15 @@ def replay(spark: SparkSession, path: str, start_ns: int = 1, period_ns: int = 1
     return canlog.replay(canlog.read(spark, path), start_ns, period_ns)
 
 
+@SOURCES.register("memory")
+def memory(spark: SparkSession, frames: list[tuple[int, str]], start_ns: int = 1, period_ns: int = 10_000_000) -> DataFrame:
+    """Given frames (id, 16 hex digits), stamped in their order; a small list, as it is part of the plan."""
+    if not frames:
+        raise ValueError("there are no frames to replay")
+    rows = [(can_id, data, start_ns + i * period_ns, i) for i, (can_id, data) in enumerate(frames)]
+    return spark.createDataFrame(rows, "can_id int, data string, t_ns long, seq long")
+
+
 @SOURCES.register("stream")
 def stream(spark: SparkSession, folder: str) -> DataFrame:
     """An unbounded read of bus captures as they arrive in a folder: ``can_id, data, t_ns, fault``.
