@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Tasks of a search that are aimed at, and allowed; blocks of a group at most.
-TASKS, MOST_TASKS, BLOCKS = 64, 4096, 32
+TASKS, MOST_TASKS, BLOCKS = 8, 4096, 32
 
 
 def rank_least(df: DataFrame, key: str, value: str, n: int, salts: int = 32) -> DataFrame:
