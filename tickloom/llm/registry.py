@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, chat, htmlmain, minhash, packing, quality, suffix, topk, toxicity, vptree
+from tickloom.llm import bpe, chat, htmlmain, langid, minhash, packing, quality, resample, suffix, topk, toxicity, variants, vptree
 from tickloom.llm.common import table
 
 
@@ -55,6 +55,18 @@ def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.classify(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.forms(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -67,9 +79,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_quote_threads": op9_quote_threads,
         "op10_attention_quality": op10_attention_quality,
+        "op11_language_id": op11_language_id,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_importance_resampling": op13_importance_resampling,
         "thread_conversations": thread_conversations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": topk.ORACLE_SQL, "op9_quote_threads": chat.ORACLE_SQL, "thread_conversations": chat.CONVERSATIONS_SQL}
+    return {"op5_exact_topk": topk.ORACLE_SQL, "op9_quote_threads": chat.ORACLE_SQL, "op12_spelling_variants": variants.ORACLE_SQL, "op13_importance_resampling": resample.ORACLE_SQL, "thread_conversations": chat.CONVERSATIONS_SQL}
