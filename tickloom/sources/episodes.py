@@ -1,7 +1,8 @@
 """Episode datasets: gated writing, quarantine, manifests and reading back.
 
-A dataset is a folder with ``data`` (Parquet, partitioned by nothing but written in one job, so readers see all or
-nothing), and JSON tables for what was refused and for timing.
+A dataset is a folder with ``data`` (Parquet) and JSON tables for what was refused and for timing.  What is written
+together is one commit (``sources.commits``): readers see data, quarantine and timing of finished commits only.  Names and
+values that belong to the data lie in the footers of its files.
 """
 
 from __future__ import annotations
@@ -9,15 +10,19 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import frames, quality
 from tickloom.operators.ordered import running
 from tickloom.schema import POD_STATE, PVT_SCHEMA_VERSION, SAMPLE_COLUMNS
+from tickloom.session import cut_lineage
+from tickloom.sources import commits
+from tickloom.sources.commits import Commit, commit
 
 FRAME_DATASET_VERSION, DATASET_VERSION = 3, 1
+#: Format of timing tables, and where every line says so (fixed values).
+TIMING_VERSION, VERSION_KEY = 1, "timing_meta_version"
 
 
 def current_rows(rows: DataFrame) -> DataFrame:
@@ -53,115 +58,168 @@ def states_of(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.coalesce(F.col(name).cast(kind), F.raise_error(F.concat(F.lit(f"no {kind} as {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null"))))).alias(name) for name, kind in POD_STATE.items()])
 
 
-def record(samples: DataFrame, folder: str, budget: quality.JitterBudget | None = None, strict: bool = False, mode: str = "errorifexists") -> DataFrame:
-    """Write episodes that pass the recorder's gate to ``data`` and reasons for the others to ``quarantine``.
+#: The column of samples whose footer entry holds a dataset's names and values, and their key there.
+CARRIER, ENTRY = "episode_id", "dataset"
+#: Files of a timing table, so that equal tables are equal files.
+TIMING_FILES = 16
 
-    Returns the verdicts.  ``strict`` raises if any is refused, before anything is written.
+
+def with_metadata(rows: DataFrame, values: dict[str, str] | None) -> DataFrame:
+    """``rows`` with names and values that are written to the footer of every Parquet file, with the data."""
+    if values is None:
+        return rows
+    if not values or any(not isinstance(x, str) for kv in values.items() for x in kv):
+        raise ValueError("metadata are names and values of text")
+    return rows.withMetadata(CARRIER, {**rows.schema[CARRIER].metadata, ENTRY: dict(sorted(values.items()))})
+
+
+def metadata_of(rows: DataFrame) -> dict[str, str]:
+    """What ``with_metadata`` gave these rows, or the rows that were written; empty if nothing."""
+    return dict(rows.schema[CARRIER].metadata.get(ENTRY, {})) if CARRIER in rows.columns else {}
+
+
+def _must_be_new(spark: SparkSession, folder: str) -> None:
+    if not commits.manifests(spark, folder).isEmpty():
+        raise FileExistsError(f"there is a dataset in {folder}")
+
+
+def record(samples: DataFrame, folder: str, budget: quality.JitterBudget | None = None, strict: bool = False, mode: str = "errorifexists", metadata: dict[str, str] | None = None, name: str | None = None) -> DataFrame:
+    """Write episodes that pass the recorder's gate to ``data`` and reasons for the others to ``quarantine``, as one commit.
+
+    Returns the verdicts.  ``strict`` raises if any is refused, before anything is written.  ``mode``: ``errorifexists``
+    for a new dataset, ``append`` for one more commit; ``overwrite`` replaces the commit ``name``.
     """
+    if mode not in ("errorifexists", "append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    spark = samples.sparkSession
+    if mode == "errorifexists":
+        _must_be_new(spark, folder)
     finite = samples.where(quality.is_finite(F.col("joint_angle")))
-    verdicts = quality.recorder_gate(finite, budget)
+    verdicts = cut_lineage(quality.recorder_gate(finite, budget))
     if strict and not verdicts.where("not ok").isEmpty():
         raise ValueError("an episode was refused: " + json.dumps([r.asDict() for r in verdicts.where("not ok").limit(10).collect()], default=str))
-    finite.join(verdicts.where("ok").select("episode_id"), "episode_id", "left_semi").write.mode(mode).parquet(f"{folder}/data")
-    verdicts.where("not ok").write.mode("overwrite").json(f"{folder}/quarantine")
+    with commit(spark, folder, name if name or mode != "overwrite" else "all") as c:
+        c.write("data", with_metadata(finite.join(verdicts.where("ok").select("episode_id"), "episode_id", "left_semi"), metadata))
+        c.write("quarantine", verdicts.where("not ok"), "json")
     return verdicts
 
 
-def _before_export(samples: DataFrame, timing: DataFrame | None) -> None:
+def _before_export(samples: DataFrame, folder: str, timing: DataFrame | None) -> None:
+    _must_be_new(samples.sparkSession, folder)
     if timing is not None and not timing.select("episode_id").join(samples.select("episode_id"), "episode_id", "left_anti").isEmpty():
         raise ValueError("timing names an episode that is not exported")
 
 
-def _timing(folder: str, timing: DataFrame | None, exported: DataFrame) -> None:
+def _timing(c: Commit, timing: DataFrame | None, exported: DataFrame) -> None:
+    """Timing of exported episodes; the same rows give files of the same content, whatever the cluster."""
     if timing is not None:
         own = timing.join(exported.select("episode_id"), "episode_id", "left_semi")
-        order = [c for c in ("episode_id", "modality") if c in own.columns]
-        own.select(*sorted(own.columns)).repartitionByRange("episode_id").sortWithinPartitions(*order).write.mode("overwrite").json(f"{folder}/timing")
+        order = [x for x in ("episode_id", "modality") if x in own.columns]
+        own = own.withColumn(VERSION_KEY, F.lit(TIMING_VERSION))
+        c.write("timing", own.select(*sorted(own.columns)).repartition(TIMING_FILES, "episode_id").sortWithinPartitions(*order), "json")
 
 
-def export_rows(samples: DataFrame, folder: str, timing: DataFrame | None = None, budget: quality.JitterBudget | None = None) -> DataFrame:
+def export_rows(samples: DataFrame, folder: str, timing: DataFrame | None = None, budget: quality.JitterBudget | None = None, metadata: dict[str, str] | None = None) -> DataFrame:
     """Rows with finite floats of accepted episodes, with a dense ``episode_index``; a ``rejected`` table always."""
-    _before_export(samples, timing)
-    gate = quality.export_gate(samples, budget)
+    _before_export(samples, folder, timing)
+    gate = cut_lineage(quality.export_gate(samples, budget))
     accepted = gate.where("ok").select("episode_id")
     order = samples.groupBy("episode_id").agg(F.min("seq").alias("order")).join(accepted, "episode_id")
     index = running(order, ["order"], {}).select("episode_id", F.col("number").alias("episode_index"))
-    samples.where(quality.finite_row()).join(index, "episode_id").write.mode("errorifexists").parquet(f"{folder}/data")
-    gate.where("not ok").select("episode_id", "reason").write.mode("overwrite").json(f"{folder}/rejected")
-    _timing(folder, timing, accepted)
+    with commit(samples.sparkSession, folder) as c:
+        c.write("data", with_metadata(samples.where(quality.finite_row()).join(index, "episode_id"), metadata))
+        c.write("rejected", gate.where("not ok").select("episode_id", "reason"), "json")
+        _timing(c, timing, accepted)
     return gate
 
 
-def export_frames(samples: DataFrame, folder: str, timing: DataFrame | None = None, budget: quality.JitterBudget | None = None) -> DataFrame:
+def export_frames(samples: DataFrame, folder: str, timing: DataFrame | None = None, budget: quality.JitterBudget | None = None, metadata: dict[str, str] | None = None) -> DataFrame:
     """Frame dataset of accepted episodes: ``data`` with dense indices and arrays, and tables for episodes, tasks and info.
 
     Rows with non-finite floats go first; episodes that lose all rows are refused.
     """
-    _before_export(samples, timing)
+    _before_export(samples, folder, timing)
     kept = samples.where(quality.finite_row())
     gate = samples.select("episode_id").distinct().join(quality.frame_gate(kept, budget), "episode_id", "left")
     gate = gate.select("episode_id", F.coalesce("exported", F.lit(False)).alias("exported"), F.coalesce("quality_failed", F.lit(False)).alias("quality_failed"), F.when(F.col("exported").isNull(), "empty").otherwise(F.col("reason")).alias("reason"))
+    gate = cut_lineage(gate)
     accepted = gate.where("exported").select("episode_id")
     good = kept.join(accepted, "episode_id", "left_semi")
     order = good.groupBy("episode_id").agg(F.min("seq").alias("order"), F.min_by("task_label", "seq").alias("task_label"), F.min("timestamp_ns").alias("t0"))
     tasks = frames.task_index(order)
     rows = frames.dense_index(frames.pivot(good), order.select("episode_id", "order"))
     rows = rows.join(tasks, "episode_id").join(order.select("episode_id", "task_label", "t0"), "episode_id").withColumn("timestamp", (F.col("timestamp_ns") - F.col("t0")) / 1e9).drop("t0")
-    rows.write.mode("errorifexists").parquet(f"{folder}/data")
-    rows.groupBy("episode_id", "episode_index").agg(F.count("*").alias("n_frames")).join(gate, "episode_id").write.mode("overwrite").json(f"{folder}/episodes")
-    rows.where("task_index >= 0").select("task_index", "task_label").distinct().orderBy("task_index").write.mode("overwrite").json(f"{folder}/tasks")
     stats = frames.infer_timing(quality.jitter(quality.distinct_instants(good), budget))
     counts = gate.agg(F.count("*").alias("input_episodes"), F.count_if(F.col("exported")).alias("total_episodes"), F.count_if(~F.col("exported")).alias("rejected_episodes"))
     width = rows.agg(F.count("*").alias("total_frames"), F.max(F.size("`observation.state`")).alias("dof"))
-    stats.join(counts).join(width).withColumn("version", F.lit(FRAME_DATASET_VERSION)).write.mode("overwrite").json(f"{folder}/info")
-    _timing(folder, timing, accepted)
+    with commit(samples.sparkSession, folder) as c:
+        c.write("data", with_metadata(rows, metadata))
+        c.write("episodes", rows.groupBy("episode_id", "episode_index").agg(F.count("*").alias("n_frames")).join(gate, "episode_id"), "json")
+        c.write("tasks", rows.where("task_index >= 0").select("task_index", "task_label").distinct().orderBy("task_index"), "json")
+        c.write("info", stats.join(counts).join(width).withColumn("version", F.lit(FRAME_DATASET_VERSION)), "json")
+        _timing(c, timing, accepted)
     return gate
 
 
+def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table of a dataset, rows of finished commits; a folder that was not written by commits is read as it is."""
+    rows = commits.read(spark, folder, table)
+    if rows is None:
+        rows = spark.read.parquet(f"{folder}/{table}")
+        if "commit" in rows.columns:
+            raise FileNotFoundError(f"no commit of {folder} is finished")
+    return rows
+
+
 def read_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/data")
+    return read_table(spark, folder, "data")
 
 
-def write_metadata(spark: SparkSession, folder: str, values: dict[str, str]) -> None:
-    """Names and values that belong to a dataset, as a table beside its data."""
-    if not values or any(not isinstance(x, str) for kv in values.items() for x in kv):
-        raise ValueError("metadata are names and values of text")
-    spark.createDataFrame(sorted(values.items()), "name string, value string").coalesce(1).write.mode("overwrite").json(f"{folder}/metadata")
+def read_directory(spark: SparkSession, path: str) -> DataFrame:
+    """All Parquet files below a path with ``file_name`` and ``seq``: the rows in the order of the files' names, those of
+    a file as they stand there.
+
+    Names and places are hidden columns of the reader; rows are numbered by ranges, without a sort in one task.
+    """
+    rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    placed = rows.drop("seq").select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    return running(placed, ["file_name", "__path", "__row"], {}).drop("__path", "__row").withColumnRenamed("number", "seq")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at a path; told by the reader, so any store will do."""
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+def write_metadata(spark: SparkSession, folder: str, values: dict[str, str]) -> None:
+    """Names and values of a dataset whose data have none, in the footer of a file without rows."""
+    none = spark.createDataFrame([], f"{CARRIER} string")
+    with_metadata(none, values).coalesce(1).write.mode("overwrite").parquet(f"{folder}/metadata")
 
 
 def read_metadata(spark: SparkSession, folder: str) -> dict[str, str]:
-    """What ``write_metadata`` wrote, a bounded table; empty if nothing was."""
-    if not _exists(spark, f"{folder}/metadata"):
-        return {}
-    return {r["name"]: r["value"] for r in spark.read.schema("name string, value string").json(f"{folder}/metadata").limit(10_000).collect()}
+    """Names and values from the footers: those of the data of the last finished commit, else what ``write_metadata``
+    wrote; empty if there are none."""
+    last = commits.manifests(spark, folder).where("table = 'data'").agg(F.max("commit")).first()[0]
+    found = metadata_of(spark.read.parquet(f"{folder}/data/commit={last}")) if last else {}
+    if not found and commits.exists(spark, f"{folder}/metadata"):
+        found = metadata_of(spark.read.parquet(f"{folder}/metadata"))
+    return found
 
 
 def read_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Samples of a frame dataset; older ones without chain arrays count joints by position."""
-    df = spark.read.parquet(f"{folder}/data")
+    df = read_table(spark, folder, "data")
     if "observation.chain_index" not in df.columns:
         df = df.withColumn("observation.chain_index", F.lit(None).cast("array<long>"))
     return frames.unnest(df)
 
 
 def read_timing(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
-    """Timing of a dataset, None if it has none; keys that the schema has not, and broken lines, raise."""
+    """Timing of a dataset, None if it has none; keys that the schema has not, broken lines, lines without a version and
+    versions that this reader does not know raise."""
     from pyspark.sql.types import StructType
 
-    if not _exists(spark, f"{folder}/timing"):
+    lines = commits.read(spark, folder, "timing", lines=True)
+    if lines is None:
         return None
-    known = F.array(*[F.lit(c) for c in StructType.fromDDL(schema).fieldNames()])
-    lines = spark.read.text(f"{folder}/timing")
-    strict = F.when(F.size(F.array_except(F.json_object_keys("value"), known)) == 0, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("unknown key in timing: "), F.col("value"))))
+    known = F.array(*[F.lit(c) for c in [*StructType.fromDDL(schema).fieldNames(), VERSION_KEY]])
+    version = F.get_json_object("value", f"$.{VERSION_KEY}")
+    wrong = lambda why: F.raise_error(F.concat(F.lit(f"{why} in timing: "), F.col("value")))
+    strict = F.when(F.json_object_keys("value").isNull(), F.col("value")).when(F.size(F.array_except(F.json_object_keys("value"), known)) > 0, wrong("unknown key")).when(~version.eqNullSafe(F.lit(str(TIMING_VERSION))), wrong("missing or unknown version")).otherwise(F.col("value"))
     return lines.select(F.from_json(strict, schema, {"mode": "FAILFAST"}).alias("t")).select("t.*")
