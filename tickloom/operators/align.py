@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators import segmented
+from tickloom.schema import MAX_STAMP_NS, MIN_STAMP_NS
 
 def _result(ref: Column, matched: Column, method: Column, in_budget: Column, any_target: Column, tie: Column) -> list[Column]:
     """Columns of a result; a miss shows neither stamp nor offset."""
@@ -37,24 +39,40 @@ def modalities_of(targets: DataFrame) -> list[str]:
     return sorted(m for m in found if m is not None)
 
 
+def ordered_timeline(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``rows`` whose ``ns`` raises, when it is read, where it is no stamp, repeats the one before in order of ``seq`` or is
+    earlier: such a timeline is normalised first, never sorted or thinned out here."""
+    before = F.lag("ns").over(Window.partitionBy(*by).orderBy("seq"))
+    at = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (*by, "seq")])
+    bad = lambda why: F.raise_error(F.concat(F.lit(f"{why} at "), at, F.lit(": "), F.coalesce(F.col("ns").cast("string"), F.lit("null"))))
+    fine = F.when(F.col("ns").isNull() | ~F.col("ns").between(MIN_STAMP_NS, MAX_STAMP_NS), bad("no stamp")).when(F.col("ns") == F.col("__before"), bad("repeated stamp")).when(F.col("ns") < F.col("__before"), bad("stamp out of order")).otherwise(F.col("ns"))
+    return rows.withColumn("__before", before).withColumn("ns", fine).drop("__before")
+
+
 def _for_each(refs: DataFrame, modalities: list[str]) -> DataFrame:
     """Every reference once for each modality."""
     names = F.array(*[F.lit(m) for m in modalities]) if modalities else F.expr("cast(array() as array<string>)")
     return refs.select("episode_id", "ns", F.explode(names).alias("modality"))
 
 
-def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalities: list[str] | None = None) -> DataFrame:
+def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalities: list[str] | None = None, long: bool = False, strict: bool = False) -> DataFrame:
     """One row for each reference and modality: the closer neighbour, the earlier of two equally close ones.
 
     ``modalities`` (default: those that occur) names what every reference is aligned with, so an episode without
-    targets of one gives ``no_target``.
+    targets of one gives ``no_target``.  With ``long`` an episode is spread over many tasks.  With ``strict`` references and
+    targets must be timelines in order of ``seq``, see ``ordered_timeline``.
     """
+    if strict:
+        refs, targets = ordered_timeline(refs, ("episode_id",)), ordered_timeline(targets, ("episode_id", "modality"))
     kinds = modalities if modalities is not None else modalities_of(targets)
     asked = _for_each(refs, kinds).select("episode_id", "modality", "ns")
     both = asked.withColumn("is_ref", F.lit(True)).unionByName(targets.select("episode_id", "modality", "ns", F.lit(False).alias("is_ref")))
-    key = Window.partitionBy("episode_id", "modality").orderBy("ns")
     target = F.when(~F.col("is_ref"), F.col("ns"))
-    seen = both.withColumn("before", F.max(target).over(key.rangeBetween(Window.unboundedPreceding, 0))).withColumn("after", F.min(target).over(key.rangeBetween(0, Window.unboundedFollowing))).where("is_ref")
+    if long:
+        seen = segmented.last_and_next(both, ["episode_id", "modality"], "ns", {"target": (target, target)}).where("is_ref").withColumnsRenamed({"back_target": "before", "ahead_target": "after"})
+    else:
+        key = Window.partitionBy("episode_id", "modality").orderBy("ns")
+        seen = both.withColumn("before", F.max(target).over(key.rangeBetween(Window.unboundedPreceding, 0))).withColumn("after", F.min(target).over(key.rangeBetween(0, Window.unboundedFollowing))).where("is_ref")
     ref, before, after = F.col("ns"), F.col("before"), F.col("after")
     back, ahead = ref - before, after - ref
     matched = F.when(after.isNull() | (back <= ahead), before).otherwise(after)
@@ -65,8 +83,11 @@ def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalit
     return seen.select("episode_id", "modality", *_result(ref, matched, method, near, matched.isNotNull(), tie))
 
 
-def align_exact(refs: DataFrame, targets: DataFrame, modalities: list[str] | None = None) -> DataFrame:
-    """One row for each reference and modality: the target at the same instant, if there is one."""
+def align_exact(refs: DataFrame, targets: DataFrame, modalities: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """One row for each reference and modality: the target at the same instant, if there is one.  ``strict`` as in
+    ``align_nearest``."""
+    if strict:
+        refs, targets = ordered_timeline(refs, ("episode_id",)), ordered_timeline(targets, ("episode_id", "modality"))
     kinds = modalities if modalities is not None else modalities_of(targets)
     there = targets.groupBy("episode_id", "modality").agg(F.lit(True).alias("any"))
     asked = _for_each(refs, kinds).join(there, ["episode_id", "modality"], "left")
@@ -75,9 +96,11 @@ def align_exact(refs: DataFrame, targets: DataFrame, modalities: list[str] | Non
     return joined.select("episode_id", "modality", *_result(F.col("ns"), F.col("hit"), F.lit("exact"), F.col("hit").isNotNull(), F.coalesce("any", F.lit(False)), F.lit(False)))
 
 
-def align_window(refs: DataFrame, targets: DataFrame, window_ns: int, modalities: list[str] | None = None) -> DataFrame:
+def align_window(refs: DataFrame, targets: DataFrame, window_ns: int, modalities: list[str] | None = None, strict: bool = False) -> DataFrame:
     """A row for each reference and target at most ``window_ns`` apart, both ends included; references without any give
-    one ``no_target`` row."""
+    one ``no_target`` row.  ``strict`` as in ``align_nearest``."""
+    if strict:
+        refs, targets = ordered_timeline(refs, ("episode_id",)), ordered_timeline(targets, ("episode_id", "modality"))
     if window_ns < 1:
         raise ValueError("a window must be 1 ns at least")
     kinds = modalities if modalities is not None else modalities_of(targets)

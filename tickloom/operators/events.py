@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.codec import is_finite
+from tickloom.operators import segmented
 from tickloom.schema import EVENT_KINDS, FLOATS
+from tickloom.session import written
 
 EPSILON_S = 1e-9
 #: Format of event records, and most phases of a script.
@@ -65,24 +67,29 @@ def tactile_level(token: Column) -> Column:
     return F.when(token.isin(CONTACT_KINDS), 1.0).when(token == "release", 0.0)
 
 
-def detect_contact(samples: DataFrame, level: Column, onset: float, release: float) -> DataFrame:
+def detect_contact(samples: DataFrame, level: Column, onset: float, release: float, long: bool = False) -> DataFrame:
     """Contact starts and releases of a Schmitt trigger over all readings of an episode, whatever their chain.
 
-    Null and NaN readings hold the state.  A reading that satisfies both thresholds turns the state over.
+    Null and NaN readings hold the state.  A reading that satisfies both thresholds turns the state over.  With ``long``
+    an episode is spread over many tasks.
     """
     if not 0 <= release <= onset:
         raise ValueError("0 <= release <= onset is needed")
     readings = samples.withColumn("level", level).where(F.col("level").isNotNull() & ~F.isnan("level"))
     up, down = F.col("level") >= onset, F.col("level") <= release
-    order = Window.partitionBy("episode_id").orderBy("seq")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
     # 1 and 0 set the state, 2 turns it over: the state is the last one set, turned over once for each 2 since.
     coded = readings.withColumn("code", F.when(up & down, 2).when(up, 1).when(down, 0))
-    coded = coded.withColumn("set", F.coalesce(F.last(F.when(F.col("code") < 2, F.col("code")), True).over(upto), F.lit(0)))
-    coded = coded.withColumn("span", F.count(F.when(F.col("code") < 2, 1)).over(upto))
-    inside = Window.partitionBy("episode_id", "span").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    coded = coded.withColumn("state", (F.col("set") + F.count(F.when(F.col("code") == 2, 1)).over(inside)) % 2)
-    changed = coded.withColumn("was", F.coalesce(F.lag("state").over(order), F.lit(0))).where("state <> was")
+    if long:
+        coded = segmented.trigger_states(coded, ["episode_id"], "seq", "code")
+    else:
+        order = Window.partitionBy("episode_id").orderBy("seq")
+        upto = order.rowsBetween(Window.unboundedPreceding, 0)
+        coded = coded.withColumn("set", F.coalesce(F.last(F.when(F.col("code") < 2, F.col("code")), True).over(upto), F.lit(0)))
+        coded = coded.withColumn("span", F.count(F.when(F.col("code") < 2, 1)).over(upto))
+        inside = Window.partitionBy("episode_id", "span").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+        coded = coded.withColumn("state", (F.col("set") + F.count(F.when(F.col("code") == 2, 1)).over(inside)) % 2)
+        coded = coded.withColumn("was", F.coalesce(F.lag("state").over(order), F.lit(0)))
+    changed = coded.where("state <> was")
     return changed.select("episode_id", "seq", F.col("timestamp_ns").alias("t_ns"), F.when(F.col("state") == 1, "contact_start").otherwise("contact_release").alias("kind"), "level")
 
 
@@ -100,25 +107,30 @@ def impact_candidates(samples: DataFrame, channel: str, jerk: float, signed: boo
 def detect_impact(samples: DataFrame, channel: str, jerk: float, refractory_ns: int = 0, signed: bool = False) -> DataFrame:
     """Impacts of every chain.  After one that fired, others less than ``refractory_ns`` later are not reported.
 
-    Which candidates fire depends on those before, so each chain's candidates (a small part of its rows) are walked in
-    order, one chain at a time, as they stream through the task.
+    Only candidates later than all before them can fire: each one that fires is later than the last by the refractory time,
+    and what did not fire is earlier than that.  Of these, one that comes ``refractory_ns`` after its predecessor fires for
+    sure.  The others fire if they are reached from such a one by steps to the first candidate that is ``refractory_ns``
+    later; steps are doubled, so the rounds are the logarithm of the longest burst.
     """
     found = impact_candidates(samples, channel, jerk, signed)
     if refractory_ns <= 0:
         return found
-
-    def fire(batches):
-        key, last = None, None
-        for b in batches:
-            keep = []
-            for e, c, t in zip(b["episode_id"], b["chain_index"], b["t_ns"], strict=True):
-                fires = (e, c) != key or t - last >= refractory_ns
-                if fires:
-                    key, last = (e, c), t
-                keep.append(fires)
-            yield b[keep]
-
-    return found.repartition("episode_id", "chain_index").sortWithinPartitions("episode_id", "chain_index", "seq").mapInPandas(fire, found.schema)
+    chain = Window.partitionBy("episode_id", "chain_index")
+    before = F.max("t_ns").over(chain.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
+    able = found.withColumn("before", before).where(F.col("before").isNull() | (F.col("t_ns") > F.col("before")))
+    ahead = chain.orderBy("t_ns").rangeBetween(int(refractory_ns), Window.unboundedFollowing)
+    able = able.withColumn("fires", F.col("before").isNull() | (F.col("t_ns") - F.lag("t_ns").over(chain.orderBy("t_ns")) >= refractory_ns)).withColumn("to", F.min(F.struct("t_ns", "fires")).over(ahead))
+    # A step onto a candidate that fires for sure tells nothing.
+    able = written(able.withColumn("to", F.when(~F.col("to.fires"), F.col("to.t_ns"))).drop("before"))
+    steps = able.select("episode_id", "chain_index", "t_ns", "fires", "to")
+    keys = ["episode_id", "chain_index", "t_ns"]
+    while not steps.where("fires and to is not null").isEmpty():
+        reached = steps.where("fires and to is not null").select("episode_id", "chain_index", F.col("to").alias("t_ns"), F.lit(True).alias("reached")).distinct()
+        further = steps.select("episode_id", "chain_index", F.col("t_ns").alias("to"), F.col("to").alias("further"))
+        steps = segmented.attach(segmented.attach(steps, reached, keys), further, ["episode_id", "chain_index", "to"])
+        steps = written(steps.select(*keys, (F.col("fires") | F.coalesce("reached", F.lit(False))).alias("fires"), F.col("further").alias("to")))
+    fired = steps.where("fires").select(*keys, F.lit(True).alias("fired"))
+    return segmented.attach(able.select(*found.columns), fired, keys).where("fired").drop("fired")
 
 
 def phase_of(samples: DataFrame, phases: DataFrame, start_ns: Column) -> DataFrame:

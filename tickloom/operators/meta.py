@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.schema import FLAGS, METHODS, QUALITIES
+
 
 def histogram(rows: DataFrame, token: str, by: list[str]) -> DataFrame:
     """Counts by token, without zero counts."""
@@ -67,3 +69,61 @@ def contradictions(timing: DataFrame, max_skew_ns: int) -> DataFrame:
     counts = [F.col(c) for c in ("clean", "flagged", "matched", "out_of_budget", "no_target")]
     wrong = (counts[2] + counts[3] + counts[4] == 0) | (counts[0] + counts[1] == 0) | (F.least(*counts) < 0) | ~F.col("offset_mean_ns").between(F.col("offset_min_ns"), F.col("offset_max_ns")) | ((F.col("matched") > 0) != F.col("offset_mean_ns").isNotNull()) | (F.col("offset_min_ns") > F.col("offset_max_ns")) | (F.greatest(F.abs("offset_min_ns"), F.abs("offset_max_ns")) > max_skew_ns)
     return timing.where(wrong).select("episode_id", "modality")
+
+
+def _counts(tokens: list[str], when) -> Column:
+    """A map of the tokens that occur, in their order, to the number of rows that have them."""
+    pairs = [x for t in sorted(tokens) for x in (F.lit(t), F.count_if(when(t)))]
+    return F.map_filter(F.create_map(*pairs), lambda _, n: n > 0)
+
+
+def summary(records: DataFrame, results: DataFrame) -> DataFrame:
+    """``modality_timing`` with ``flag_counts, method_counts, quality_counts``: what occurs, sorted, with its counts.
+
+    A record counts under each of its flags.  One aggregation of records and one of results.
+    """
+    keys = ["episode_id", "modality"]
+    a = records.groupBy(*keys).agg(_counts(FLAGS, lambda t: F.array_contains("flags", t)).alias("flag_counts"))
+    b = results.groupBy(*keys).agg(_counts(METHODS, lambda t: F.col("method") == t).alias("method_counts"), _counts(QUALITIES, lambda t: F.col("quality") == t).alias("quality_counts"))
+    none = F.expr("map_filter(map('', 0L), (k, n) -> n > 0)")
+    out = modality_timing(records, results).join(a, keys, "left").join(b, keys, "left")
+    return out.withColumns({c: F.coalesce(c, none) for c in ("flag_counts", "method_counts", "quality_counts")})
+
+
+def summary_faults(summaries: DataFrame, reference: str | None = None) -> DataFrame:
+    """``episode_id, modality, fault`` of every row of ``summary`` that cannot come from records and results, with the
+    first fault in fixed order; empty if there is none.
+
+    Only the ``reference`` may have no results.
+    """
+    c = F.col
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda a, n: a + n)
+    of = lambda m, t: F.coalesce(F.try_element_at(c(m), F.lit(t)), F.lit(0))
+    foreign = lambda m, known: F.size(F.array_except(F.map_keys(m), F.array(*map(F.lit, known)))) > 0
+    empty = lambda m: F.exists(F.map_values(m), lambda n: n.isNull() | (n <= 0))
+    maps = ("flag_counts", "method_counts", "quality_counts")
+    any_of = lambda f: f(maps[0]) | f(maps[1]) | f(maps[2])
+    mean, low, high = c("offset_mean_ns"), c("offset_min_ns"), c("offset_max_ns")
+    given = lambda x: x.isNotNull()
+    fault = (
+        F.when(F.least("clean", "flagged", "matched", "out_of_budget", "no_target") < 0, "negative_count")
+        .when(c("clean") + c("flagged") == 0, "no_records")
+        .when(foreign("flag_counts", FLAGS) | foreign("method_counts", METHODS) | foreign("quality_counts", QUALITIES), "unknown_token")
+        .when(any_of(empty), "count_without_rows")
+        .when(any_of(lambda m: F.map_keys(m) != F.array_sort(F.map_keys(m))), "tokens_out_of_order")
+        .when((c("flagged") == 0) != (F.size("flag_counts") == 0), "flags_without_records")
+        .when(total("flag_counts") < c("flagged"), "too_few_flags")
+        .when(F.exists(F.map_values("flag_counts"), lambda n: n > c("flagged")), "too_many_of_a_flag")
+        .when(total("method_counts") != total("quality_counts"), "methods_and_qualities_differ")
+        .when((of("quality_counts", "matched") != c("matched")) | (of("quality_counts", "out_of_budget") != c("out_of_budget")) | (of("quality_counts", "no_target") != c("no_target")), "counts_and_qualities_differ")
+        .when((total("quality_counts") == 0) & ~c("modality").eqNullSafe(F.lit(reference)), "no_results")
+        .when((of("method_counts", "window") > 0) & (F.size("method_counts") > 1), "window_among_others")
+        .when((of("method_counts", "window") > 0) & (c("out_of_budget") > 0), "window_out_of_budget")
+        .when((c("matched") == 0) & (given(low) | given(high) | given(mean)), "offsets_without_matches")
+        .when((c("matched") > 0) & ~(given(low) & given(high) & given(mean)), "matches_without_offsets")
+        .when(F.isnan(mean) | (F.abs(mean) == float("inf")), "mean_not_finite")
+        .when(low > high, "offsets_inverted")
+        .when(~mean.between(low, high), "mean_outside_offsets")
+        .when((F.size("method_counts") == 1) & (of("method_counts", "exact") > 0) & ((low != 0) | (high != 0)), "exact_with_offset")
+    )
+    return summaries.select("episode_id", "modality", fault.alias("fault")).where("fault is not null")

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators import segmented
+from tickloom.session import written
+
+#: Rounds of mutual best partners before what is left is walked.
+ROUNDS = 12
 
 def candidate_pairs(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> DataFrame:
     """Pairs of one episode and kind at most ``tolerance_ns`` apart; joined by buckets of that width."""
@@ -15,10 +20,56 @@ def candidate_pairs(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> Da
     return t.join(d, ["episode_id", "kind", "bucket"]).drop("bucket").withColumn("dist", F.abs(F.col("truth_ns") - F.col("found_ns"))).where(F.col("dist") <= tolerance_ns)
 
 
-def match(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> DataFrame:
+def best_partners(events: DataFrame, tolerance_ns: int) -> DataFrame:
+    """``events`` (``episode_id, kind, is_truth, t_ns, ix``) with ``best``, the time and number of the event of the other side
+    that comes first by distance, time and number, null if none is within the tolerance.
+
+    Neighbours are running values over ranges of time: no pairs, and no episode in one task.
+    """
+    sides = {}
+    for name, here in (("truth", F.col("is_truth")), ("found", ~F.col("is_truth"))):
+        sides[name] = (F.when(here, F.struct("t_ns", (-F.col("ix")).alias("less"))), F.when(here, F.struct("t_ns", "ix")))
+    both = segmented.last_and_next(events, ["episode_id", "kind"], "t_ns", sides)
+    back, ahead = (F.when(F.col("is_truth"), F.col(f"{x}_found")).otherwise(F.col(f"{x}_truth")) for x in ("back", "ahead"))
+    place = lambda e, ix: F.when(e.isNotNull(), F.struct(F.abs(F.col("t_ns") - e["t_ns"]).alias("dist"), e["t_ns"].alias("t_ns"), ix.alias("ix")))
+    best = F.least(place(back, -back["less"]), place(ahead, ahead["ix"]))
+    return both.withColumn("best", best).withColumn("best", F.when(F.col("best.dist") <= tolerance_ns, F.col("best"))).drop(*[f"{x}_{k}" for k in sides for x in ("back", "ahead")])
+
+
+def match(truth: DataFrame, found: DataFrame, tolerance_ns: int, rounds: int = ROUNDS) -> DataFrame:
     """Greedy one-to-one matches: pairs in order of distance, truth time and number, found time and number; each pair
     is taken if both sides are free.
 
+    A pair that is the first of all pairs of either of its events is taken whatever the others do.  So every round takes
+    all events that are each other's best partner and drops those without one, until none is left; no pairs are listed.
+    Events that wait for each other in a long row (equal distances, say) give one pair a round; what ``rounds`` rounds
+    leave is walked in order (``walked``).
+    """
+    side = lambda df, is_truth: df.select("episode_id", "kind", F.lit(is_truth).alias("is_truth"), "t_ns", F.col("ix").cast("long").alias("ix"))
+    left, taken = side(truth, True).unionByName(side(found, False)), None
+    for _ in range(rounds):
+        left = written(best_partners(left, tolerance_ns).where("best is not null"))
+        if left.isEmpty():
+            break
+        mine = left.where("is_truth").select("episode_id", "kind", F.col("ix").alias("truth_ix"), F.col("best.ix").alias("found_ix"), F.col("t_ns").alias("truth_ns"), F.col("best.t_ns").alias("found_ns"), F.col("best.dist").alias("dist"))
+        theirs = left.where("not is_truth").select("episode_id", "kind", F.col("best.ix").alias("truth_ix"), F.col("ix").alias("found_ix"), F.lit(True).alias("mutual"))
+        pairs = written(segmented.attach(mine, theirs, ["episode_id", "kind", "truth_ix", "found_ix"]).where("mutual").drop("mutual"))
+        taken = pairs if taken is None else taken.unionByName(pairs)
+        gone = pairs.select("episode_id", "kind", F.explode(F.array(F.struct(F.lit(True).alias("is_truth"), F.col("truth_ix").alias("ix")), F.struct(F.lit(False).alias("is_truth"), F.col("found_ix").alias("ix")))).alias("e")).select("episode_id", "kind", "e.*", F.lit(True).alias("gone"))
+        left = segmented.attach(left.drop("best"), gone, ["episode_id", "kind", "is_truth", "ix"]).where("gone is null").drop("gone")
+    else:
+        left = written(left)
+        if not left.isEmpty():
+            rest = lambda is_truth: left.where(F.col("is_truth") == is_truth).drop("is_truth")
+            pairs = walked(rest(True), rest(False), tolerance_ns)
+            taken = pairs if taken is None else taken.unionByName(pairs)
+    columns = ["episode_id", "kind", "truth_ix", "found_ix", "truth_ns", "found_ns", "dist"]
+    return taken.select(*columns) if taken is not None else walked(truth.limit(0), found.limit(0), tolerance_ns)
+
+
+def walked(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> DataFrame:
+    """The matches of ``match`` by a walk over all pairs within the tolerance, in order.
+
     Only pairs that can compete share a task: events of one kind that lie in one chain of gaps of twice the tolerance at
     most.  The pairs of such a cluster stream through in order; what is held is the set of events taken in it.
     """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -43,3 +44,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of the shared folder.
+
+    For loops: a checkpoint hands on what is known of its columns, and joins and windows of many rounds make that grow
+    without end; a table starts afresh.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
