@@ -89,7 +89,7 @@ def test_nearest_vectors_with_copies_and_bad_rows(spark):
 
 def test_recall_at_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    out = vptree.nearest(df, per_shard=2000).collect()  # five shards
+    out = vptree.nearest(df, per_shard=400).collect()
     rows = df.select("vec_id", "embedding").collect()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
     got = {}
@@ -101,3 +101,35 @@ def test_recall_at_given_table(spark):
         s[k] = -np.inf
         recall.append(len(got[ids[k]] & set(ids[np.argsort(-s)[:20]])) / 20)
     assert np.mean(recall) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["plain", "clusters", "norms"])
+def test_recall_of_pruning_trees_at_the_shard_size_of_the_query(kind):
+    """Four shards of as many rows as the query's, whose leaves are a thirtieth of them."""
+    r, n = np.random.default_rng(7), vptree.PER_SHARD
+    x = r.normal(size=(4 * n, 64))
+    if kind != "plain":
+        x = r.normal(size=(40, 64))[r.integers(40, size=4 * n)] + 0.4 * x
+    if kind == "norms":
+        x *= np.exp(0.7 * r.normal(size=(4 * n, 1)))
+    q = x[r.integers(4 * n, size=100)]
+    scores = q @ x.T
+    want = np.argsort(-scores, 1)[:, :20]
+    exact, found = [], []
+    for at in range(0, 4 * n, n):
+        tree = vptree.VantagePointTree(x[at : at + n])
+        assert isinstance(tree.root, tuple)
+        found.append(at + tree.search(q, 20)[0])
+        exact.append(at + tree.search(q, 20, 1.0)[0])
+    for shards, least in ((found, 0.95), (exact, 1.0)):
+        rows = np.concatenate(shards, 1)
+        best = np.take_along_axis(rows, np.argsort(-np.take_along_axis(scores, rows, 1), 1)[:, :20], 1)
+        assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(best, want)]) >= least
+
+
+def test_two_runs_agree_whatever_the_order_of_arrival(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    monkeypatch.setattr(vptree.VantagePointTree.__init__, "__defaults__", (8,))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(r.normal(size=(600, 12)))], "vec_id long, embedding array<double>")
+    a, b = (sorted(map(tuple, vptree.nearest(d, factor=6.0, per_shard=200, per_block=7).collect())) for d in (df.repartition(2), df.orderBy(F.rand(3)).repartition(7)))
+    assert a == b and len(a) == 600

@@ -3,7 +3,7 @@
 Index rows are dealt to shards by hash, so that a shard has about ``per_shard`` rows whatever the size of the index, and
 queries to blocks; blocks form groups.  Every group meets every shard once, by equality on (shard, group), in a task
 that holds one shard and the blocks of one group: the work of a task is bounded, and there are as many tasks as shards
-times groups.  Shards and blocks travel as one array each.
+times groups.  Shards and blocks travel as one array each, sorted, so that results do not depend on the order of arrival.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Tasks of a search that are aimed at, and allowed; blocks of a group at most.
+#: Tasks of a search that are aimed at, on a cluster of fewer cores, and allowed; blocks of a group at most.
 TASKS, MOST_TASKS, BLOCKS = 8, 4096, 32
 
 
@@ -34,9 +34,10 @@ def number_of_shards(rows: int, per_shard: int) -> int:
     return max(1, -(-rows // per_shard))
 
 
-def number_of_groups(shards: int, blocks: int) -> int:
-    """As many groups as give ``TASKS`` tasks, if there are blocks for them, and at most ``BLOCKS`` blocks in a group."""
-    return max(-(-blocks // BLOCKS), min(blocks, -(-TASKS // shards)))
+def number_of_groups(shards: int, blocks: int, cores: int = TASKS) -> int:
+    """As many groups as give every core a task, ``TASKS`` at least, if there are blocks for them, and at most ``BLOCKS``
+    blocks in a group."""
+    return max(-(-blocks // BLOCKS), min(blocks, -(-max(TASKS, cores) // shards)))
 
 
 def meet(index: DataFrame, queries: DataFrame, shards: int, blocks: int, index_row: Column, query_row: Column, index_hash: Column, query_hash: Column, search: Callable[[pa.Array, list[pa.Array]], Iterator[pa.RecordBatch]], schema: str, columns: pa.Schema) -> DataFrame:
@@ -44,9 +45,9 @@ def meet(index: DataFrame, queries: DataFrame, shards: int, blocks: int, index_r
 
     ``schema`` and ``columns`` describe the result.
     """
-    groups = number_of_groups(shards, blocks)
-    points = index.groupBy(F.pmod(index_hash, F.lit(shards)).cast("int").alias("shard")).agg(F.collect_list(index_row).alias("points")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = queries.groupBy(F.pmod(query_hash, F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(query_row).alias("asked")).withColumn("group", F.pmod("block", F.lit(groups))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    groups = number_of_groups(shards, blocks, index.sparkSession.sparkContext.defaultParallelism)
+    points = index.groupBy(F.pmod(index_hash, F.lit(shards)).cast("int").alias("shard")).agg(F.array_sort(F.collect_list(index_row)).alias("points")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked = queries.groupBy(F.pmod(query_hash, F.lit(blocks)).cast("int").alias("block")).agg(F.array_sort(F.collect_list(query_row)).alias("asked")).withColumn("group", F.pmod("block", F.lit(groups))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     tasks = min(shards * groups, MOST_TASKS)
     left, right = (x.repartition(tasks, "shard", "group").groupBy("shard", "group") for x in (points.select("shard", "group", "points"), asked.select("shard", "group", "asked")))
 

@@ -4,7 +4,9 @@ The largest inner product is the least Euclidean distance once every point of a
 ``sqrt(M^2 - |x|^2)`` with ``M`` the largest norm of the shard, and queries a zero there.  A tree node has a vantage point
 and the median distance ``mu`` of its points to it.  With ``d`` the distance of a query to the vantage point and ``t`` that
 of its kth candidate, the triangle inequality lets the search skip the other side of ``mu`` if ``|d - mu| > t``; this
-search skips it if ``|d - mu| > t / factor``.  Factor 1 is exact; a larger one prunes more and may miss neighbours.
+search skips it if ``|d - mu| > t / factor``.  Factor 1 is exact; a larger one prunes more and may miss neighbours.  At
+shards of ``PER_SHARD`` rows of 64 components, factor 2 loses nothing where norms are alike but finds only 0.62 of the
+neighbours where they vary tenfold; the factor used finds 0.98 or more in both.
 
 All queries of a block walk a tree together.  Every vector is indexed.  Equal vectors are one point with their ``k + 1``
 least ids.  Scores are inner products of the original vectors, summed in order in double precision.
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import cut_lineage
 from tickloom.llm.shards import meet, number_of_shards, rank_least
 
-K, FACTOR = 20, 4.0
+K, FACTOR = 20, 1.25
 PER_SHARD, PER_BLOCK, LEAF = 16_384, 256, 512
 
 
