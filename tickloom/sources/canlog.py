@@ -8,28 +8,38 @@ from pyspark.sql import functions as F
 from tickloom.functions import codec
 from tickloom.operators.ordered import running
 from tickloom.schema import CANLOG, PVT_SCHEMA_VERSION
+from tickloom.session import cut_lineage
 
 VERSION = 1
-#: Capture files of one read.
-MOST_FILES = 10_000
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file, line, seq`` of every line of text files of any size, blank ones too.
+
+    ``line`` counts from 1 in a file; ``seq`` from 1 over all files, in the order of their names.  Files are read in byte
+    ranges as Spark cuts them.  A line's place in its range is its place in the scan; the lines of all ranges, one row for
+    each, are added up in order of file and range.
+    """
+    scan = spark.read.option("lineSep", "\n").text(path)
+    lines = scan.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    ranges = cut_lineage(lines.groupBy("file", "start").agg(F.min("at").alias("from"), F.count("*").alias("n")))
+    totals = running(ranges, ["file", "start"], {"before": F.col("n")})
+    of_file = totals.groupBy("file").agg(F.min("before").alias("of_file"))
+    places = totals.join(of_file, "file").select("file", "start", "from", "before", "of_file")
+    out = lines.join(places, ["file", "start"]).withColumn("seq", F.col("before") + F.col("at") - F.col("from") + 1)
+    return out.select(F.regexp_replace("value", "\r$", "").alias("value"), "file", (F.col("seq") - F.col("of_file")).alias("line"), "seq")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``can_id, data, t_ns, seq`` of every record; blank lines are skipped, a missing version counts as 1.
 
-    ``seq`` grows from line to line of a file, and from file to file in the order of their names where these are one
-    folder's files that Spark reads whole (captures are small files).  Other versions, lines that are no objects, wrong
-    data widths and non-hex data raise and name the file and the line.
+    ``seq`` grows from line to line of a file, and from file to file in the order of their names; a capture is read by as
+    many tasks as it has byte ranges.  Other versions, lines that are no objects, wrong data widths and non-hex data raise
+    and name the file and the line.
     """
-    # Whole files, so that lines can be numbered; blank lines go by explode, not by a filter, which might run after the checks.
-    files = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"), F.input_file_name().alias("file"))
+    # Blank lines go by explode, not by a filter, which might run after the checks.
     some = F.filter(F.array("value"), lambda x: F.trim(x) != "")
-    lines = files.select((F.col("line") + 1).alias("line"), F.explode(some).alias("value"), "file")
-    names = {f: i for i, f in enumerate(sorted(spark.read.text(path, wholetext=True).inputFiles()))}
-    if len(names) > MOST_FILES:
-        raise ValueError(f"more than {MOST_FILES} captures at once; read them folder by folder")
-    place = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("file")) if names else F.lit(0)
-    lines = lines.withColumn("seq", place.cast("long") * (1 << 32) + F.col("line"))
+    lines = numbered_lines(spark, path).select("line", F.explode(some).alias("value"), "file", "seq")
     parsed = lines.withColumn("r", F.from_json("value", CANLOG, {"mode": "PERMISSIVE"}))
     bad = lambda why: F.raise_error(F.concat(F.lit(f"{why} in "), F.col("file"), F.lit(" line "), F.col("line"), F.lit(": "), F.col("value")))
     data = (
