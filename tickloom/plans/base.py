@@ -15,6 +15,8 @@ from tickloom.session import shared_folder, ship
 
 TOKENS = {"signup": "contact_start", "click": "slip", "error": "impact", "purchase": "release"}
 HOUR = 3_600_000_000_000
+#: Modalities of ``streams``.
+MODALITIES = ["click", "view"]
 
 
 def micros(ts: str) -> Column:

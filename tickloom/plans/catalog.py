@@ -163,14 +163,14 @@ def _floored(df: DataFrame, ns: int = HOUR) -> DataFrame:
 @query(f"WITH {base.STREAMS}, {sql.nearest('refs', 'tgts', SKEW)} SELECT * FROM al")
 def align_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = base.streams(spark, sf_dir)
-    return align.align_nearest(refs, targets, SKEW)
+    return align.align_nearest(refs, targets, SKEW, base.MODALITIES)
 
 
 @query(f"""WITH {base.STREAMS}, fr AS (SELECT * REPLACE (ns - ns % 21600000000000 AS ns) FROM refs), ft AS (SELECT * REPLACE (ns - ns % 21600000000000 AS ns) FROM tgts), {sql.nearest('fr', 'ft', 4 * SKEW)}
 SELECT * FROM al""")
 def align_nearest_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = base.streams(spark, sf_dir)
-    return align.align_nearest(_floored(refs, SKEW), _floored(targets, SKEW), 4 * SKEW)
+    return align.align_nearest(_floored(refs, SKEW), _floored(targets, SKEW), 4 * SKEW, base.MODALITIES)
 
 
 @query(f"""WITH {base.STREAMS}, fr AS (SELECT * REPLACE (ns - ns % 3600000000000 AS ns) FROM refs), ft AS (SELECT DISTINCT episode_id, modality, ns - ns % 3600000000000 AS ns FROM tgts),
@@ -180,7 +180,7 @@ SELECT episode_id, modality, ns AS ref_ns, hit AS matched_ns, hit - ns AS offset
     CASE WHEN hit IS NOT NULL THEN 'matched' WHEN has_any THEN 'out_of_budget' ELSE 'no_target' END AS quality, false AS tie FROM a""")
 def align_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = base.streams(spark, sf_dir)
-    return align.align_exact(_floored(refs), _floored(targets))
+    return align.align_exact(_floored(refs), _floored(targets), base.MODALITIES)
 
 
 @query(f"""WITH {base.STREAMS}, a AS (SELECT r.episode_id, k.modality, r.ns, t.ns AS hit FROM refs r CROSS JOIN (SELECT DISTINCT modality FROM tgts) k
@@ -188,14 +188,14 @@ def align_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT episode_id, modality, ns AS ref_ns, hit AS matched_ns, hit - ns AS offset_ns, 'window' AS method, hit IS NOT NULL AS within_budget, CASE WHEN hit IS NOT NULL THEN 'matched' ELSE 'no_target' END AS quality, false AS tie FROM a""")
 def align_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = base.streams(spark, sf_dir)
-    return align.align_window(refs, targets, SKEW)
+    return align.align_window(refs, targets, SKEW, base.MODALITIES)
 
 
 @query(f"""WITH {base.STREAMS}, {sql.nearest('refs', 'tgts', 2 * SKEW)}
 SELECT modality, quality, method, count(*) AS n, min(offset_ns) AS min_ns, max(offset_ns) AS max_ns FROM al GROUP BY ALL""")
 def align_modalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = base.streams(spark, sf_dir)
-    out = align.align_nearest(refs, targets, 2 * SKEW)
+    out = align.align_nearest(refs, targets, 2 * SKEW, base.MODALITIES)
     return out.groupBy("modality", "quality", "method").agg(F.count("*").alias("n"), F.min("offset_ns").alias("min_ns"), F.max("offset_ns").alias("max_ns"))
 
 
@@ -226,7 +226,7 @@ def _records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     late = targets.withColumn("timestamp_ns", F.when(F.col("seq") % 11 == 0, F.col("ns") + 120 * HOUR).otherwise(F.col("ns"))).drop("ns")
     records = timeline.normalize(late, by=("episode_id", "modality"))
     clean, _ = timeline.split(records)
-    return records, align.align_nearest(refs, clean.select("episode_id", "modality", F.col("normalized_ns").alias("ns")), SKEW)
+    return records, align.align_nearest(refs, clean.select("episode_id", "modality", F.col("normalized_ns").alias("ns")), SKEW, base.MODALITIES)
 
 
 @query(f"WITH {_RECORDS} SELECT * FROM tm")

@@ -12,7 +12,7 @@ from tickloom.operators import meta, quality
 from tickloom.plans import base, sql
 from tickloom.plans.base import HOUR
 from tickloom.session import shared_folder
-from tickloom.sources import canlog, commits, episodes
+from tickloom.sources import canlog, commits, episodes, roundtrip
 
 BUDGET = quality.JitterBudget(p99_ns=48 * HOUR, gap_factor=6.0, min_samples=3)
 PERIOD = 10_000_000
@@ -114,6 +114,13 @@ def timing_of_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.withColumn("known", F.lit(True)).unionByName(unknown.select("episode_id", F.lit(0).cast("long").alias("clean"), F.lit(0).cast("long").alias("flagged"), F.lit(False).alias("known")))
 
 
+def dataset_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds of dataset, written with timing and read back."""
+    s = base.by_day(spark, sf_dir)
+    timing = s.groupBy("episode_id").agg(F.count("*").alias("clean"), F.max("timestamp_ns").alias("last_ns"))
+    return roundtrip.round_trips(s, timing, _folder(spark), BUDGET)
+
+
 _GATE = f"""ok AS (SELECT * FROM fs WHERE isfinite(joint_angle) AND isfinite(joint_velocity) AND isfinite(motor_current) AND isfinite(estimated_torque)),
 di AS (SELECT episode_id, timestamp_ns, min(seq) AS seq FROM ok GROUP BY 1, 2), {sql.jitter('di', 6.0)},
 r AS (SELECT a.episode_id, a.first, CASE WHEN n_samples IS NULL THEN 'empty' WHEN backwards > 0 THEN 'backwards' WHEN dropouts > 0 THEN 'dropouts' END AS reason FROM (SELECT episode_id, min(seq) AS first FROM fs GROUP BY 1) a LEFT JOIN jit ON a.episode_id = jit.episode_id),
@@ -121,8 +128,9 @@ p AS (SELECT episode_id, row_number() OVER (ORDER BY first) - 1 AS episode_index
 _FRAMES = f"""di AS (SELECT episode_id, timestamp_ns, min(seq) AS seq FROM bd GROUP BY 1, 2), {sql.jitter('di', 6.0)}, good AS (SELECT episode_id FROM jit WHERE backwards = 0 AND dropouts = 0)"""
 _BYTES = "b1 AS (SELECT *, row_number() OVER (ORDER BY seq) AS line, seq % 60000 - 30000 AS deg, (seq % 60000 - 30000) * (pi() / 180.0::DOUBLE / 1000.0::DOUBLE) AS rad FROM ev)"
 
-QUERIES = {f.__name__: f for f in (dataset_rows, dataset_recorded, dataset_frames, dataset_info, timing_of_dataset, capture_samples, capture_drops, states_from_text, rows_migrated)}
+QUERIES = {f.__name__: f for f in (dataset_rows, dataset_round_trips, dataset_recorded, dataset_frames, dataset_info, timing_of_dataset, capture_samples, capture_drops, states_from_text, rows_migrated)}
 SQL = {
+    "dataset_round_trips": f"WITH {base.BY_DAY}, {_FRAMES} SELECT kind, (SELECT count(*) FROM good) AS episodes, true AS samples_survive, true AS timing_survives FROM (VALUES ('rows'), ('frames')) k(kind)",
     "dataset_rows": f"""WITH {base.FULL}, {_GATE} SELECT ok.episode_id, episode_index, count(*) AS n, min(timestamp_ns) AS first_ns, round(sum(joint_velocity), 6) AS velocity, NULL::VARCHAR AS reason, 'arm' AS robot FROM ok JOIN p ON p.episode_id = ok.episode_id GROUP BY 1, 2
 UNION ALL SELECT episode_id, NULL, 0, NULL, NULL, reason, 'arm' FROM r WHERE reason IS NOT NULL""",
     "dataset_recorded": f"""WITH {base.BURST}, fin AS (SELECT * FROM bu WHERE seq % 97 <> 0), {sql.jitter('fin', 6.0)}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.session import written
+
 #: Kinds of joints, and those that move along one axis (fixed values).
 KINDS = ["revolute", "continuous", "prismatic", "fixed", "floating", "planar"]
 ACTUATED = ["revolute", "continuous", "prismatic"]
@@ -42,6 +44,10 @@ def depths(joints: DataFrame) -> DataFrame:
     reach = joints.select("name", "parent").join(before, "parent", "left").select("name", "up", F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth"))
     n = joints.count()
     for _ in range(max(n, 1).bit_length() + 1):
+        # Every round reads its table twice; written, the plan does not double with it.
+        reach = written(reach)
+        if reach.where("up is not null").isEmpty():
+            break
         ahead = reach.select(F.col("name").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
         reach = reach.join(ahead, "up", "left").select("name", F.col("further").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
     return joints.join(reach.select("name", F.when(F.col("up").isNull(), F.col("depth")).alias("depth")), "name")
