@@ -110,3 +110,22 @@ def test_text_of_formulas_and_objects_stays():
 def test_quotes_in_tags():
     page = read("<p title=\"a > b\">one</p><p title='it>s'>two</p><p title=\"open>three</p>")
     assert [t for _, t, _ in page.runs] == ["one", "two", "three"]
+
+
+TWO = [" ".join(f"This is sentence number {i} of the paragraph, with some plain words in it." for i in range(k, k + 3)) for k in (0, 7)]
+MENU = "<ul>" + "".join(f"<li><a href='/{i}'>Menu {i}</a></li>" for i in range(5)) + "</ul>"
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 5, 7])
+@pytest.mark.parametrize("menu,foot", [("", ""), (MENU, ""), (f"<nav>{MENU}</nav>", "<footer><p>Copyright. All rights reserved here.</p></footer>")])
+def test_short_articles_in_bare_layouts(model, depth, menu, foot):
+    body = "<h1>A heading</h1>" + "".join(f"<p>{t}</p>" for t in TWO)
+    page = f"<html><body>{menu}{'<div>' * depth}{body}{'</div>' * depth}{foot}</body></html>"
+    assert htmlmain.main_text(page, model) == " ".join(["A heading", *TWO])
+    plain = f"<html><body>{'<div>' * depth}{''.join(f'<p>{t}</p>' for t in TWO)}{'</div>' * depth}</body></html>"
+    assert htmlmain.main_text(plain, model) == " ".join(TWO)
+
+
+def test_ruby_is_inline_and_an_open_drawing_swallows_nothing(model):
+    page = f"<article><p>日本<ruby>語<rt>go</rt></ruby>です。 {TWO[0]}</p><svg><path d='x'><p>{TWO[1]}</p><title>No end<p>{TWO[0]}</p></article>"
+    assert htmlmain.main_text(page, model).startswith(f"日本語goです。 {TWO[0]} {TWO[1]}")

@@ -15,7 +15,7 @@ _RAW_ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in [*RAW, "title", "desc",
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big canvas cite code data del dfn em font i ins kbd mark object q s samp small span strike strong sub sup time tt u var wbr"
+    "a abbr acronym b bdi bdo big canvas cite code data del dfn em font i ins kbd mark object q rb rp rt rtc ruby s samp small span strike strong sub sup time tt u var wbr"
     " math semantics annotation mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover"
     " svg circle defs ellipse g line path polygon polyline rect text tspan use".split()
 )
@@ -90,6 +90,8 @@ def tokens(source: str) -> Iterator[tuple[str, str, str, str]]:
         tag, attrs, at = name[0].lower(), source[name.end() : end], end + 1
         if tag == "svg":
             in_svg = not slash and not attrs.endswith("/")
+        elif in_svg and tag not in INLINE and tag not in _RAW_ENDS:
+            in_svg = False  # a drawing that is not closed ends where the page's blocks go on
         if not slash and (tag in RAW or in_svg and tag in _RAW_ENDS):
             closes = _RAW_ENDS[tag].search(source, at)
             at = closes.end() if closes else n

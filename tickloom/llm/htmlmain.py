@@ -185,6 +185,10 @@ def fit(pages: list[tuple[Page, list[int]]], epochs: int = 25, rate: float = 0.1
     return model
 
 
+#: Share of pages that are composed without named parts.
+BARE = 0.2
+
+
 class Composer:
     """Composes labelled pages: every part is written with a ``data-y`` attribute that names its label."""
 
@@ -266,8 +270,21 @@ class Composer:
     def form(self) -> str:
         return f"<label>{self.words(1, 3)}</label><input name='a'><select><option>{self.words(1, 2)}<option>{self.words(1, 2)}</select><button>{self.words(1, 2)}</button>" + (f"<p>{self.prose(1, 1)}</p>" if self.r.random() < 0.4 else "")
 
+    def bare_page(self) -> str:
+        """A page without named parts: an article, often short, in none or many plain ``div``s; perhaps a menu and a footer."""
+        r = self.r
+        inner = re.sub(r"<(h1|h2|h3|p|ul|table|blockquote|div)>", r"<\1 data-y='c'>", self.content() if r.random() < 0.5 else "".join(f"<p>{self.prose(1, 6)}</p>" for _ in range(r.randint(1, 4))))
+        for _ in range(r.choice((0, 0, 1, 1, 2, 3, 4, 5, 6, 8, 10))):
+            inner = f"<div data-y='w'>{inner}</div>"
+        menu = f"<ul data-y='o'>{self.links(r.randint(2, 8))}</ul>" if r.random() < 0.6 else f"<nav data-y='o'><ul>{self.links(r.randint(2, 8))}</ul></nav>"
+        foot = f"<footer data-y='o'>{r.choice((self.words(2, 8), f'<p>{self.prose(1, 2)}</p>', f'<p>{self.words(3, 8)}.</p>'))}</footer>"
+        inner = (menu if r.random() < 0.45 else "") + inner + (foot if r.random() < 0.45 else "")
+        return f"<html data-y='w'><head data-y='o'><title>{self.words(2, 8)}</title></head><body data-y='w'>{inner}</body></html>"
+
     def page(self) -> str:
         r = self.r
+        if r.random() < BARE:
+            return self.bare_page()
         p = lambda x: r.random() < x
         before, after = [], []
         if p(0.4):
