@@ -567,6 +567,20 @@ def timing_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meta.contradictions(spoilt, SKEW)
 
 
+@query(_SQL["score_events"])
+def score_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores written as text and read back strictly."""
+    text = score_events(spark, sf_dir).select(serial.written(serial.SCORE).alias("text"))
+    return text.select(serial.read_score(F.col("text")).alias("s")).select("s.*")
+
+
+@query(bench_case.SQL["bench_rows"])
+def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report rows written as text and read back strictly."""
+    text = bench_case.bench_rows(spark, sf_dir).select(serial.written(serial.REPORT).alias("text"))
+    return text.select(serial.read_report(F.col("text")).alias("r")).select("r.*")
+
+
 @query(f"WITH {_RECORDS} SELECT * FROM tm")
 def timing_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summaries written as text and read back strictly."""
