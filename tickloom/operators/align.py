@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.checks import whole_number
 from tickloom.operators import segmented
 from tickloom.schema import MAX_STAMP_NS, MIN_STAMP_NS
 
@@ -62,6 +63,7 @@ def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalit
     targets of one gives ``no_target``.  With ``long`` an episode is spread over many tasks.  With ``strict`` references and
     targets must be timelines in order of ``seq``, see ``ordered_timeline``.
     """
+    whole_number(max_skew_ns, "max_skew_ns")
     if strict:
         refs, targets = ordered_timeline(refs, ("episode_id",)), ordered_timeline(targets, ("episode_id", "modality"))
     kinds = modalities if modalities is not None else modalities_of(targets)
@@ -101,8 +103,7 @@ def align_window(refs: DataFrame, targets: DataFrame, window_ns: int, modalities
     one ``no_target`` row.  ``strict`` as in ``align_nearest``."""
     if strict:
         refs, targets = ordered_timeline(refs, ("episode_id",)), ordered_timeline(targets, ("episode_id", "modality"))
-    if window_ns < 1:
-        raise ValueError("a window must be 1 ns at least")
+    whole_number(window_ns, "window_ns", 1)
     kinds = modalities if modalities is not None else modalities_of(targets)
     # Exact whole numbers: the bucket below zero is one less than what division towards zero gives.
     bucket = F.expr(f"(ns - pmod(ns, {int(window_ns)}L)) div {int(window_ns)}L")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import align, meta, quality, timeline
+from tickloom.operators.ordered import running
 from tickloom.session import cut_lineage
 
 
@@ -47,6 +48,22 @@ def report(reference: DataFrame, targets: dict[str, DataFrame], max_skew_ns: int
     return out
 
 
+def episode_streams(samples: DataFrame, proprio: int = 0, tactile: int = 1, frames: int = 2) -> dict[str, DataFrame]:
+    """The stamps of an episode's chains by stream, and as ``events`` those of the tactile chain that carry a token."""
+    stamps = samples.select("episode_id", "chain_index", "seq", "timestamp_ns", "tactile_event")
+    own = {name: stamps.where(F.col("chain_index") == chain) for name, chain in (("proprio", proprio), ("tactile", tactile), ("frames", frames))}
+    return {k: df.select("episode_id", "seq", "timestamp_ns") for k, df in (own | {"events": own["tactile"].where("tactile_event is not null")}).items()}
+
+
+def survival(given: dict[str, DataFrame], delivered: dict[str, DataFrame]) -> DataFrame:
+    """``episode_id, stream, given, delivered, surviving``: stamps before and after faults, and those that normalise cleanly."""
+    tagged = lambda streams: reduce(DataFrame.unionByName, [df.select("episode_id", F.lit(k).alias("stream"), "seq", "timestamp_ns") for k, df in streams.items()])
+    keys = ["episode_id", "stream"]
+    arrived = timeline.normalize(tagged(delivered), by=tuple(keys)).select(*keys, F.lit(0).alias("given"), F.lit(1).alias("delivered"), F.col("normalized_ns").isNotNull().cast("int").alias("surviving"))
+    both = tagged(given).select(*keys, F.lit(1).alias("given"), F.lit(0).alias("delivered"), F.lit(0).alias("surviving")).unionByName(arrived)
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("given", "delivered", "surviving")])
+
+
 def gate(reports: DataFrame, thresholds: dict) -> DataFrame:
     """``episode_id, failures``: bounds that a report row breaks, in fixed order; empty if none."""
     over = lambda c, k: F.when(F.coalesce(F.col(c), F.lit(0)) > thresholds[k], F.concat(F.lit(f"{c}:"), F.col(c))) if k in thresholds else F.lit(None).cast("string")
@@ -143,6 +160,37 @@ def write_report(reports: DataFrame, folder: str) -> None:
     reports.select(*sorted(reports.columns)).repartitionByRange("name", "episode_id").sortWithinPartitions("name", "episode_id").write.mode("overwrite").json(folder)
 
 
+#: Columns of the table of reports.
+TABLE = ["case", "episode", "verdict", "violations", "flagged/records", "non-matched/results", "max abs offset (ns)", "p95 (ns)", "p99 (ns)", "events", "deterministic", "round trips", "failures"]
+
+
+def table_lines(gated: DataFrame) -> DataFrame:
+    """``number, line``: gated reports (``gate_cases``) as a table in Markdown, two lines of head first, rows in order of case
+    and episode; numbered by ranges."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    share = lambda a, b: F.concat(shown(a), F.lit("/"), shown(b))
+    said = lambda c, yes, no: F.when(F.col(c), yes).when(~F.col(c), no).otherwise("-")
+    events = share("events_matched", "events_total") if "events_total" in gated.columns else F.lit("-")
+    cells = [
+        shown("name"), shown("episode_id"), shown("verdict"), shown("violations"), share("flagged", "total_records"), share("non_matched", "total_results"), shown("max_abs_offset_ns"), shown("p95_abs_offset_ns"), shown("p99_abs_offset_ns"),
+        events, said("deterministic", "yes", "NO"), said("round_trips", "ok", "FAIL"), F.when(F.col("failures") == "", "-").otherwise(F.col("failures")),
+    ]
+    rows = running(gated.select("name", "episode_id", F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line")), ["name", "episode_id"], {})
+    head = ["| " + " | ".join(TABLE) + " |", "|" + "---|" * len(TABLE)]
+    return gated.sparkSession.createDataFrame(list(enumerate(head)), "number long, line string").unionByName(rows.select((F.col("number") + len(head)).alias("number"), "line"))
+
+
+def write_table(gated: DataFrame, folder: str) -> None:
+    """The lines of ``table_lines`` as text files, whose names are in the order of the lines."""
+    table_lines(gated).repartitionByRange("number").sortWithinPartitions("number").select("line").write.mode("overwrite").text(folder)
+
+
+def exit_status(gated: DataFrame) -> int:
+    """0 if there are gated reports and none has a failure, else 1."""
+    n = gated.agg(F.count("*").alias("rows"), F.count_if(F.coalesce("failures", F.lit("unknown")) != "").alias("failed")).first()
+    return int(n["rows"] == 0 or n["failed"] > 0)
+
+
 def missing_thresholds(reports: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Cases with a report but no thresholds, or thresholds but no report; there must be none."""
     a, b = reports.select("name"), thresholds.select("name")

@@ -143,19 +143,19 @@ def phase_of(samples: DataFrame, phases: DataFrame, start_ns: Column) -> DataFra
     return samples.withColumn("elapsed_s", t).join(script(phases.select("phase_ix", F.col("kind").alias("phase_kind"), "start_s", "duration_s")), inside, "left").drop("start_s", "duration_s")
 
 
-def check_phases(phases: DataFrame) -> DataFrame:
-    """Faults of a script, one row each; empty for a valid one.
+def check_phases(phases: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Faults of a script, or of the scripts that ``by`` tells apart, one row each; empty for valid ones.
 
     Phases follow each other without gap or overlap, last longer than nothing, are of known kinds, and grasps open and
     close in turn, with slips and impacts only inside.
     """
-    order = Window.orderBy("phase_ix")
+    order = Window.partitionBy(*by).orderBy("phase_ix")
     end = F.col("start_s") + F.col("duration_s")
     open_ = F.sum(F.when(F.col("kind") == "contact_start", 1).when(F.col("kind") == "release", -1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     p = phases.withColumn("want", F.coalesce(F.lag(end).over(order), F.lit(0.0))).withColumn("open", open_).withColumn("last", F.lead("phase_ix").over(order).isNull())
     known = F.col("kind").isin("approach", "contact_start", "slip", "impact", "release", "settle")
     fault = F.when(~known, "unknown_kind").when(F.col("duration_s") <= 0, "no_duration").when(F.abs(F.col("start_s") - F.col("want")) > EPSILON_S, "not_tiled").when(~F.col("open").isin(0, 1), "unbalanced").when(F.col("kind").isin("slip", "impact") & (F.col("open") != 1), "outside_grasp").when(F.col("last") & (F.col("open") != 0), "not_released")
-    return p.select("phase_ix", fault.alias("fault")).where("fault is not null")
+    return p.select(*by, "phase_ix", fault.alias("fault")).where("fault is not null")
 
 
 def ground_truth(samples: DataFrame, phases: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.checks import whole_number
 from tickloom.operators import segmented
 from tickloom.session import written
 
@@ -45,6 +46,7 @@ def match(truth: DataFrame, found: DataFrame, tolerance_ns: int, rounds: int = R
     Events that wait for each other in a long row (equal distances, say) give one pair a round; what ``rounds`` rounds
     leave is walked in order (``walked``).
     """
+    whole_number(tolerance_ns, "tolerance_ns")
     side = lambda df, is_truth: df.select("episode_id", "kind", F.lit(is_truth).alias("is_truth"), "t_ns", F.col("ix").cast("long").alias("ix"))
     left, taken = side(truth, True).unionByName(side(found, False)), None
     for _ in range(rounds):

@@ -131,21 +131,20 @@ STREAMS = SAMPLES + """, refs AS (
 
 
 def lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples regrouped in five episodes on a 10 ms lattice; only chain 1 carries tokens."""
-    order = Window.partitionBy("episode_id", "chain_index").orderBy("seq")
-    s = samples(spark, sf_dir).withColumn("episode_id", F.col("episode_id") % 5)
-    s = s.withColumn("timestamp_ns", F.lit(990_000_000) + F.row_number().over(order).cast("long") * 10_000_000)
+    """Samples dealt to three chains in turn, each on a 10 ms lattice; only chain 1 carries tokens."""
+    s = stamps(spark, sf_dir).withColumn("chain_index", (F.col("idx") % 3).cast("int"))
+    s = s.withColumn("timestamp_ns", F.lit(1_000_000_000) + F.floor(F.col("idx") / 3) * 10_000_000)
     return s.withColumn("tactile_event", F.when(F.col("chain_index") == 1, F.coalesce("tactile_event", F.lit("slip"))))
 
 
-LATTICE = SAMPLES + """, la AS (
-    SELECT episode_id % 5 AS episode_id, seq, chain_index, 990000000 + row_number() OVER (PARTITION BY episode_id % 5, chain_index ORDER BY seq) * 10000000 AS timestamp_ns, value,
-        CASE WHEN chain_index = 1 THEN coalesce(tactile_event, 'slip') END AS tactile_event
-    FROM ev
+LATTICE = STAMPS + """, la AS (
+    SELECT episode_id, seq, CAST(idx % 3 AS INTEGER) AS chain_index, 1000000000 + idx // 3 * 10000000 AS timestamp_ns, value,
+        CASE WHEN idx % 3 = 1 THEN coalesce(tactile_event, 'slip') END AS tactile_event
+    FROM st
 )"""
 
 #: A script of phases: kind, start and duration in seconds.
-PHASES = [(0, "approach", 0.0, 0.1), (1, "contact_start", 0.1, 0.1), (2, "slip", 0.2, 0.05), (3, "impact", 0.25, 0.05), (4, "release", 0.3, 0.1), (5, "settle", 0.4, 0.1)]
+PHASES = [(0, "approach", 0.0, 0.01), (1, "contact_start", 0.01, 0.01), (2, "slip", 0.02, 0.01), (3, "impact", 0.03, 0.01), (4, "release", 0.04, 0.02), (5, "settle", 0.06, 0.24)]
 
 
 def phases(spark: SparkSession) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import codec, render, serial, values
 from tickloom.operators import align, events, faults, frames, meta, quality, scoring, timeline
-from tickloom.plans import base, bench_case, datasets, long_episodes, sql
+from tickloom.plans import base, bench_case, datasets, long_episodes, recordings, sql
 from tickloom.plans.base import HOUR
 from tickloom.sources.registry import DETECTORS
 from tickloom.streaming import stateful
@@ -654,5 +654,5 @@ def stream_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.run_available(stateful.impacts(s, 60.0), base.stream_folder(spark))
 
 
-_QUERIES |= bench_case.QUERIES | long_episodes.QUERIES | datasets.QUERIES
-_SQL |= bench_case.SQL | long_episodes.SQL | datasets.SQL
+_QUERIES |= bench_case.QUERIES | long_episodes.QUERIES | datasets.QUERIES | recordings.QUERIES
+_SQL |= bench_case.SQL | long_episodes.SQL | datasets.SQL | recordings.SQL

@@ -35,6 +35,17 @@ def links(spark: SparkSession, path: str) -> DataFrame:
     return _elements(spark, path, "link", "_name string").select(F.col("_name").alias("name")).where("name is not null")
 
 
+def write(joints: DataFrame, links: DataFrame, folder: str) -> None:
+    """A description as elements below ``folder/joints`` and ``folder/links``, each in as many files as it has partitions."""
+    text = lambda c: F.col(c).cast("string")
+    elements = joints.select(
+        F.col("name").alias("_name"), F.col("kind").alias("_type"), F.struct(F.col("parent").alias("_link")).alias("parent"), F.struct(F.col("child").alias("_link")).alias("child"),
+        F.struct(F.array_join(F.transform("axis", lambda x: x.cast("string")), " ").alias("_xyz")).alias("axis"), F.when(F.col("lower").isNotNull() | F.col("upper").isNotNull(), F.struct(text("lower").alias("_lower"), text("upper").alias("_upper"))).alias("limit"),
+    )
+    elements.write.format("xml").option("rootTag", "robot").option("rowTag", "joint").save(f"{folder}/joints")
+    links.select(F.col("name").alias("_name")).write.format("xml").option("rootTag", "robot").option("rowTag", "link").save(f"{folder}/links")
+
+
 def depths(joints: DataFrame) -> DataFrame:
     """``joints`` with ``depth``, the number of joints between a joint and the base; null on a circle.
 

@@ -53,9 +53,23 @@ def owned(samples: DataFrame, episode_id: str, task: str | None = None) -> DataF
     return samples.where(quality.is_finite(F.col("joint_angle"))).withColumns({"episode_id": F.lit(episode_id), "task_label": F.lit(task).cast("string")})
 
 
-def states_of(rows: DataFrame) -> DataFrame:
-    """Rows of any types (text, say) as joint states; a value that is missing or of no such type raises."""
-    return rows.select(*[F.coalesce(F.col(name).cast(kind), F.raise_error(F.concat(F.lit(f"no {kind} as {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null"))))).alias(name) for name, kind in POD_STATE.items()])
+#: Names under which rows bring the stamp of a state, first of all the own one (fixed values).
+STAMP_NAMES = ["header_stamp_ns", "header_stamp"]
+
+
+def states_of(rows: DataFrame, stamped: bool = False) -> DataFrame:
+    """Rows of any types (text, say) as joint states; a value that is missing or of no such type raises.
+
+    With ``stamped`` there is ``header_stamp_ns`` too: the first of ``STAMP_NAMES`` that a row has, or 0 where it has none;
+    one that is no whole number raises.
+    """
+    typed = lambda name, kind: F.col(name).try_cast(kind)
+    wrong = lambda name, kind: F.raise_error(F.concat(F.lit(f"no {kind} as {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
+    out = [F.coalesce(typed(name, kind), wrong(name, kind)).alias(name) for name, kind in POD_STATE.items()]
+    if stamped:
+        there = [F.when(F.col(c).isNotNull(), F.coalesce(typed(c, "long"), wrong(c, "long"))) for c in STAMP_NAMES if c in rows.columns]
+        out.append(F.coalesce(*there, F.lit(0).cast("long")).alias(STAMP_NAMES[0]))
+    return rows.select(*out)
 
 
 #: The column of samples whose footer entry holds a dataset's names and values, and their key there.

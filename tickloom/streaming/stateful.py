@@ -122,6 +122,22 @@ def latest(samples: DataFrame, keys: list[str]) -> DataFrame:
     return samples.groupBy(*keys).agg(F.max(F.struct("seq", *rest)).alias("l")).select(*keys, "l.*")
 
 
+def latest_available(samples: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """The last row of each key of what a stream has now, for any number of keys.
+
+    Every batch writes the keys that it changed below ``folder``, a folder that all executors share, in a folder of its own,
+    so a repeated batch replaces itself; of a key's rows the last one counts.
+    """
+    spark, newest = samples.sparkSession, latest(samples, keys)
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+    each(spark.createDataFrame([], newest.schema), -1)
+    newest.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return latest(spark.read.schema(newest.schema).parquet(f"{folder}/rows"), keys).select(*newest.columns)
+
+
 def collect_available(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Everything that the stream's source has now, as a table; bounded reading of an unbounded source."""
     q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
