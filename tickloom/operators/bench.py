@@ -22,15 +22,17 @@ def report(reference: DataFrame, targets: dict[str, DataFrame], max_skew_ns: int
     """
     streams = {"reference": reference} | targets | ({"events": events} if events is not None else {})
     tagged = [df.select("episode_id", F.lit(k).alias("modality"), "seq", "timestamp_ns") for k, df in streams.items()]
-    records = timeline.normalize(reduce(DataFrame.unionByName, tagged), by=("episode_id", "modality"))
+    # Records and results are read by every figure below; written once, neither they nor the plan are repeated.
+    records = cut_lineage(timeline.normalize(reduce(DataFrame.unionByName, tagged), by=("episode_id", "modality")))
     clean = timeline.split(records)[0].select("episode_id", "modality", F.col("normalized_ns").alias("ns"))
     refs = clean.where("modality = 'reference'")
-    near = align.align_nearest(refs, clean.where(F.col("modality").isin(*targets)), max_skew_ns, list(targets))
-    results = near
+    results = align.align_nearest(refs, clean.where(F.col("modality").isin(*targets)), max_skew_ns, list(targets))
     if events is not None:
         against = clean.where(F.col("modality") == (primary or next(iter(targets)))).withColumn("modality", F.lit("events"))
-        results = near.unionByName(align.align_window(clean.where("modality = 'events'"), against, window_ns))
-    timing = meta.modality_timing(records, results)
+        results = results.unionByName(align.align_window(clean.where("modality = 'events'"), against, window_ns, ["events"]))
+    results = cut_lineage(results)
+    near = results.where("method <> 'window'")
+    timing = cut_lineage(meta.modality_timing(records, results))
     verdict = meta.sync_verdict(timing)
     offsets = near.where("offset_ns is not null").select("episode_id", F.abs("offset_ns").alias("off"))
     ranks = quality.nearest_rank_percentiles(offsets, "off", ("episode_id",), {"p95_abs_offset_ns": 95.0, "p99_abs_offset_ns": 99.0})
