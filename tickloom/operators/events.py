@@ -93,26 +93,31 @@ def detect_contact(samples: DataFrame, level: Column, onset: float, release: flo
     return changed.select("episode_id", "seq", F.col("timestamp_ns").alias("t_ns"), F.when(F.col("state") == 1, "contact_start").otherwise("contact_release").alias("kind"), "level")
 
 
-def impact_candidates(samples: DataFrame, channel: str, jerk: float, signed: bool = False) -> DataFrame:
+def impact_candidates(samples: DataFrame, channel: str, jerk: float, signed: bool = False, long: bool = False) -> DataFrame:
     """Rows whose value differs from the one before on its chain by ``jerk`` or more; a non-finite difference is none.
-    ``delta`` is the size of the difference, with ``signed`` the difference itself."""
+    ``delta`` is the size of the difference, with ``signed`` the difference itself.  With ``long`` a chain is spread over many
+    tasks."""
     if jerk <= 0:
         raise ValueError("jerk must be above 0")
-    order = Window.partitionBy("episode_id", "chain_index").orderBy("seq")
-    change = F.col(channel) - F.lag(channel).over(order)
+    if long:
+        samples = segmented.value_before(samples, ["episode_id", "chain_index"], "seq", channel, "__before")
+        change = F.col(channel) - F.col("__before")
+    else:
+        change = F.col(channel) - F.lag(channel).over(Window.partitionBy("episode_id", "chain_index").orderBy("seq"))
     delta = samples.withColumn("delta", change if signed else F.abs(change))
     return delta.where(is_finite(F.col("delta")) & (F.abs("delta") >= jerk)).select("episode_id", "chain_index", "seq", F.col("timestamp_ns").alias("t_ns"), F.lit("impact").alias("kind"), "delta")
 
 
-def detect_impact(samples: DataFrame, channel: str, jerk: float, refractory_ns: int = 0, signed: bool = False) -> DataFrame:
-    """Impacts of every chain.  After one that fired, others less than ``refractory_ns`` later are not reported.
+def detect_impact(samples: DataFrame, channel: str, jerk: float, refractory_ns: int = 0, signed: bool = False, long: bool = False) -> DataFrame:
+    """Impacts of every chain.  After one that fired, others less than ``refractory_ns`` later are not reported.  With ``long``
+    candidates are found in many tasks a chain.
 
     Only candidates later than all before them can fire: each one that fires is later than the last by the refractory time,
     and what did not fire is earlier than that.  Of these, one that comes ``refractory_ns`` after its predecessor fires for
     sure.  The others fire if they are reached from such a one by steps to the first candidate that is ``refractory_ns``
     later; steps are doubled, so the rounds are the logarithm of the longest burst.
     """
-    found = impact_candidates(samples, channel, jerk, signed)
+    found = impact_candidates(samples, channel, jerk, signed, long)
     if refractory_ns <= 0:
         return found
     chain = Window.partitionBy("episode_id", "chain_index")

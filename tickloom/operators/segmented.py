@@ -49,6 +49,16 @@ def running_max_before(df: DataFrame, by: list[str], order: str, value: str, nam
     return out.withColumn(name, F.greatest(F.max(value).over(inside), F.col("__carried"))).drop("__carried", RANGE)
 
 
+def value_before(df: DataFrame, by: list[str], order: str, value: str, name: str) -> DataFrame:
+    """``df`` with the ``value`` of the row before in ``order``, null values included; null for the first."""
+    rows = dealt(df, by, [order])
+    ends = rows.groupBy(*by, RANGE).agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("__end"))
+    carried = ends.select(*by, RANGE, F.lag("__end").over(Window.partitionBy(*by).orderBy(RANGE)).alias("__carried"))
+    inside = Window.partitionBy(*by, RANGE).orderBy(order)
+    out = attach(rows, carried, [*by, RANGE])
+    return out.withColumn(name, F.when(F.row_number().over(inside) == 1, F.col("__carried.v")).otherwise(F.lag(value).over(inside))).drop("__carried", RANGE)
+
+
 def last_and_next(df: DataFrame, by: list[str], order: str, values: dict[str, tuple[Column, Column]]) -> DataFrame:
     """``df`` with ``back_<name>`` and ``ahead_<name>`` for each of ``values``: the largest of its first column at or before a
     row in ``order``, and the least of its second at or after it; rows at one place see each other.
