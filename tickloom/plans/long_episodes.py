@@ -12,7 +12,7 @@ from tickloom.plans import base, sql
 from tickloom.plans.base import HOUR
 from tickloom.session import shared_folder
 from tickloom.sources import commits
-from tickloom.streaming import closed
+from tickloom.streaming import carried, closed
 
 SKEW = 2 * HOUR
 #: Parts of a recording that arrive one after the other, and files of a batch.
@@ -73,6 +73,38 @@ def stream_closed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.join(lost, "episode_id", "left").na.fill(0, ["stray"])
 
 
+# The events of all users as one episode that arrives in parts, in order; every part is a batch of the stream.
+
+
+def _in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _one(base.samples(spark, sf_dir)).select("episode_id", "chain_index", "seq", "timestamp_ns", "value")
+    folder = f"{shared_folder(spark)}/parts-{uuid.uuid4().hex}"
+    lo, hi = s.agg(F.min("seq"), F.max("seq")).first()
+    parted = s.withColumn("part", F.floor((F.col("seq") - F.lit(lo)) * PARTS / (F.lit(hi) - F.lit(lo) + 1)))
+    for k in range(PARTS):
+        parted.where(F.col("part") == k).drop("part").repartition(FILES).write.mode("append").parquet(f"{folder}/in")
+    return spark.readStream.schema(s.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/in")
+
+
+def stream_long_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``long_normalize`` out of a stream."""
+    s = _in_parts(spark, sf_dir).withColumn("timestamp_ns", F.when(F.col("seq") % 17 == 0, F.col("timestamp_ns") + 120 * HOUR).otherwise(F.col("timestamp_ns")))
+    return carried.normalize(s, base.stream_folder(spark)).select("seq", "normalized_ns", F.concat_ws(",", "flags").alias("flags"))
+
+
+def stream_long_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``long_contacts`` out of a stream."""
+    readings = _in_parts(spark, sf_dir).withColumn("level", F.floor(F.col("value") / 10).cast("double"))
+    return carried.contacts(readings, base.stream_folder(spark), 3.0, 3.0)
+
+
+def stream_long_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impacts of the three chains of one episode out of a stream, without those within a minute of one that fired; stamps
+    are a second for each event, in order."""
+    s = _in_parts(spark, sf_dir).withColumn("timestamp_ns", F.col("seq") * 1_000_000_000)
+    return carried.impacts(s, base.stream_folder(spark), 60.0, 60 * 1_000_000_000)
+
+
 # Summaries with histograms: one modality each by nearest stamp and by window, and one never aligned.
 
 
@@ -138,7 +170,7 @@ b AS (SELECT episode_id, modality, count(*) FILTER (quality = 'matched') AS matc
 su AS (SELECT coalesce(a.episode_id, b.episode_id) AS episode_id, coalesce(a.modality, b.modality) AS modality, coalesce(clean, 0) AS clean, coalesce(flagged, 0) AS flagged, coalesce(matched, 0) AS matched, coalesce(out_of_budget, 0) AS out_of_budget, coalesce(no_target, 0) AS no_target,
     offset_min_ns, offset_max_ns, offset_mean_ns, coalesce(late, 0) AS late, coalesce(unknown, 0) AS unknown, coalesce(m1, 0) AS m1, coalesce(m2, 0) AS m2, coalesce(m3, 0) AS m3 FROM a FULL JOIN b ON a.episode_id = b.episode_id AND a.modality = b.modality)"""
 
-QUERIES = {f.__name__: f for f in (long_normalize, long_contacts, long_nearest, long_matches, stream_closed_episodes, timing_summary, timing_summary_faults)}
+QUERIES = {f.__name__: f for f in (long_normalize, long_contacts, long_nearest, long_matches, stream_closed_episodes, stream_long_normalize, stream_long_contacts, stream_long_impacts, timing_summary, timing_summary_faults)}
 SQL = {
     "long_normalize": f"WITH {base.SAMPLES}, {_LATE17} SELECT seq, CASE WHEN NOT back THEN timestamp_ns END AS normalized_ns, CASE WHEN back THEN 'backwards_in_source' ELSE '' END AS flags FROM (SELECT *, coalesce(timestamp_ns <= max(timestamp_ns) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS back FROM ev0)",
     "long_contacts": f"WITH {base.SAMPLES}, rd AS (SELECT * REPLACE (0::BIGINT AS episode_id), floor(value / 10)::DOUBLE AS level FROM ev), {sql.contact('rd', 3.0, 3.0)} SELECT * FROM con",
@@ -167,3 +199,12 @@ f AS (SELECT episode_id, modality, CASE WHEN k = 1 THEN 'negative_count' WHEN k
     WHEN matched = 0 AND k IN (13, 14) THEN 'offsets_without_matches' WHEN matched > 0 AND k = 12 THEN 'matches_without_offsets' WHEN k = 14 THEN 'mean_not_finite' WHEN matched > 0 AND k = 11 THEN 'offsets_inverted' WHEN matched > 0 AND k = 15 THEN 'mean_outside_offsets' END AS fault FROM k)
 SELECT * FROM f WHERE fault IS NOT NULL""",
 }
+SQL |= {
+    "stream_long_normalize": SQL["long_normalize"],
+    "stream_long_contacts": SQL["long_contacts"],
+    "stream_long_impacts": f"""WITH RECURSIVE {base.SAMPLES}, im AS (SELECT 0::BIGINT AS episode_id, chain_index, seq, seq * 1000000000 AS t_ns, 'impact' AS kind, abs(value - lag(value) OVER (PARTITION BY chain_index ORDER BY seq)) AS delta FROM ev),
+num AS (SELECT *, row_number() OVER (PARTITION BY chain_index ORDER BY seq) AS k FROM im WHERE delta >= 60.0),
+ahead AS (SELECT *, (SELECT min(k) FROM num n WHERE n.chain_index = m.chain_index AND n.t_ns >= m.t_ns + 60000000000) AS onward FROM num m),
+walk AS (SELECT * FROM ahead WHERE k = 1 UNION ALL SELECT a.* FROM walk w JOIN ahead a ON a.chain_index = w.chain_index AND a.k = w.onward)
+SELECT episode_id, chain_index, seq, t_ns, kind, delta FROM walk""",
+}
