@@ -163,3 +163,17 @@ def test_summaries_count_what_occurs(spark):
     assert got["m"]["method_counts"] == {"exact": 1, "nearest": 1} and got["o"]["quality_counts"] == {"no_target": 1}
     faults = {(r["modality"], r["fault"]) for r in meta.summary_faults(meta.summary(records, results)).collect()}
     assert faults == {("o", "no_records")}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_no_frame_ends_with_the_last_row(spark, many_ranges):
+    """Such a frame is computed anew for every row: the square of a range, or of an episode."""
+    s = frame(spark, long_episode(3)).withColumn("ns", F.col("timestamp_ns"))
+    targets = s.where("seq % 3 > 0").withColumn("modality", F.lit("a"))
+    for long in (False, True):
+        plan = plan_of(align.align_nearest(s.where("seq % 3 = 0"), targets, 8, ["a"], long=long))
+        assert "rangeframe" in plan and "unboundedfollowing" not in plan
+    assert "unboundedfollowing" not in plan_of(align.bracket(s.where("seq % 3 = 0"), targets, "value"))

@@ -7,7 +7,7 @@ targets of three buckets only.  Reference and target tables have ``episode_id``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.checks import whole_number
@@ -50,6 +50,14 @@ def ordered_timeline(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return rows.withColumn("__before", before).withColumn("ns", fine).drop("__before")
 
 
+def both_ways(*by: str) -> tuple[WindowSpec, WindowSpec]:
+    """The rows of a group at or before a stamp, and those at or after it.
+
+    Both frames begin with the first row of their order: one that ends with the last row is computed anew for every row.
+    """
+    return tuple(Window.partitionBy(*by).orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc("ns"), F.desc("ns")))
+
+
 def _for_each(refs: DataFrame, modalities: list[str]) -> DataFrame:
     """Every reference once for each modality."""
     names = F.array(*[F.lit(m) for m in modalities]) if modalities else F.expr("cast(array() as array<string>)")
@@ -73,8 +81,8 @@ def align_nearest(refs: DataFrame, targets: DataFrame, max_skew_ns: int, modalit
     if long:
         seen = segmented.last_and_next(both, ["episode_id", "modality"], "ns", {"target": (target, target)}).where("is_ref").withColumnsRenamed({"back_target": "before", "ahead_target": "after"})
     else:
-        key = Window.partitionBy("episode_id", "modality").orderBy("ns")
-        seen = both.withColumn("before", F.max(target).over(key.rangeBetween(Window.unboundedPreceding, 0))).withColumn("after", F.min(target).over(key.rangeBetween(0, Window.unboundedFollowing))).where("is_ref")
+        upto, onward = both_ways("episode_id", "modality")
+        seen = both.withColumn("before", F.max(target).over(upto)).withColumn("after", F.min(target).over(onward)).where("is_ref")
     ref, before, after = F.col("ns"), F.col("before"), F.col("after")
     back, ahead = ref - before, after - ref
     matched = F.when(after.isNull() | (back <= ahead), before).otherwise(after)
@@ -117,7 +125,7 @@ def align_window(refs: DataFrame, targets: DataFrame, window_ns: int, modalities
 def bracket(refs: DataFrame, samples: DataFrame, value: str) -> DataFrame:
     """Every reference with the last sample at or before and the first at or after it: ``t0, v0, t1, v1``."""
     both = refs.select("episode_id", "ns", F.lit(True).alias("is_ref"), F.lit(None).cast("double").alias("v")).unionByName(samples.select("episode_id", "ns", F.lit(False).alias("is_ref"), F.col(value).alias("v")))
-    key = Window.partitionBy("episode_id").orderBy("ns")
+    upto, onward = both_ways("episode_id")
     sample = F.when(~F.col("is_ref"), F.struct("ns", "v"))
-    seen = both.withColumn("a", F.max(sample).over(key.rangeBetween(Window.unboundedPreceding, 0))).withColumn("b", F.min(sample).over(key.rangeBetween(0, Window.unboundedFollowing)))
+    seen = both.withColumn("a", F.max(sample).over(upto)).withColumn("b", F.min(sample).over(onward))
     return seen.where("is_ref").select("episode_id", "ns", F.col("a.ns").alias("t0"), F.col("a.v").alias("v0"), F.col("b.ns").alias("t1"), F.col("b.v").alias("v1"))

@@ -36,7 +36,7 @@ def _earlier(by: list[str]):
 
 
 def _later(by: list[str]):
-    return Window.partitionBy(*by).orderBy(RANGE).rowsBetween(1, Window.unboundedFollowing)
+    return Window.partitionBy(*by).orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_max_before(df: DataFrame, by: list[str], order: str, value: str, name: str) -> DataFrame:
@@ -64,17 +64,18 @@ def last_and_next(df: DataFrame, by: list[str], order: str, values: dict[str, tu
     row in ``order``, and the least of its second at or after it; rows at one place see each other.
 
     The columns are null on rows that are no value; they must grow with ``order`` (a stamp, or a struct that begins with
-    one).
+    one).  What lies ahead is read backwards: a frame that ends with the last row is computed anew for every row.
     """
     given = {f"__{k}{i}": c for k, pair in values.items() for i, c in enumerate(pair)}
     rows = dealt(df.withColumns(given), by, [order])
     ends = rows.groupBy(*by, RANGE).agg(*[x for k in values for x in (F.max(f"__{k}0").alias(f"__high_{k}"), F.min(f"__{k}1").alias(f"__low_{k}"))])
     carried = ends.select(*by, RANGE, *[x for k in values for x in (F.max(f"__high_{k}").over(_earlier(by)).alias(f"__before_{k}"), F.min(f"__low_{k}").over(_later(by)).alias(f"__after_{k}"))])
-    inside = Window.partitionBy(*by, RANGE).orderBy(order)
+    inside = Window.partitionBy(*by, RANGE)
+    upto, onward = (inside.orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc(order), F.desc(order)))
     out, seen = attach(rows, carried, [*by, RANGE]), {}
     for k in values:
-        seen[f"back_{k}"] = F.coalesce(F.max(f"__{k}0").over(inside.rangeBetween(Window.unboundedPreceding, 0)), f"__before_{k}")
-        seen[f"ahead_{k}"] = F.coalesce(F.min(f"__{k}1").over(inside.rangeBetween(0, Window.unboundedFollowing)), f"__after_{k}")
+        seen[f"back_{k}"] = F.coalesce(F.max(f"__{k}0").over(upto), f"__before_{k}")
+        seen[f"ahead_{k}"] = F.coalesce(F.min(f"__{k}1").over(onward), f"__after_{k}")
     return out.withColumns(seen).drop(*given, *[f"__{x}_{k}" for k in values for x in ("before", "after")], RANGE)
 
 
