@@ -177,3 +177,20 @@ def test_no_frame_ends_with_the_last_row(spark, many_ranges):
         plan = plan_of(align.align_nearest(s.where("seq % 3 = 0"), targets, 8, ["a"], long=long))
         assert "rangeframe" in plan and "unboundedfollowing" not in plan
     assert "unboundedfollowing" not in plan_of(align.bracket(s.where("seq % 3 = 0"), targets, "value"))
+
+
+def test_refractory_impacts_follow_their_steps_inside_ranges(spark, monkeypatch):
+    """One burst of one chain over all ranges: few candidates are left to the rounds of joins, and no chain is a window."""
+    s = frame(spark, [("e", i, 10**9 + 3 * i, float(i % 2) * 5) for i in range(400)]).withColumn("chain_index", F.lit(0))
+    joined = []
+
+    def kept(df):
+        if "to" in df.columns and "leaves" not in df.columns:
+            joined.append(df.count())
+        return written(df)
+
+    written = events.written
+    monkeypatch.setattr(events, "written", kept)
+    got = events.detect_impact(s, "value", 5.0, 11, long=True)
+    assert sorted(x["seq"] for x in got.collect()) == list(range(1, 400, 4))
+    assert joined and max(joined) < 30

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions.codec import is_finite
 from tickloom.operators import segmented
@@ -115,27 +117,95 @@ def detect_impact(samples: DataFrame, channel: str, jerk: float, refractory_ns:
     Only candidates later than all before them can fire: each one that fires is later than the last by the refractory time,
     and what did not fire is earlier than that.  Of these, one that comes ``refractory_ns`` after its predecessor fires for
     sure.  The others fire if they are reached from such a one by steps to the first candidate that is ``refractory_ns``
-    later; steps are doubled, so the rounds are the logarithm of the longest burst.
+    later.  Candidates are dealt by ranges of time: steps inside a range are followed in its task, and only candidates that
+    are stepped on from another range, with where their steps leave their own, are joined; those steps are doubled, so the
+    rounds are the logarithm of the number of ranges.
     """
     found = impact_candidates(samples, channel, jerk, signed, long)
     if refractory_ns <= 0:
         return found
-    chain = Window.partitionBy("episode_id", "chain_index")
-    before = F.max("t_ns").over(chain.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
-    able = found.withColumn("before", before).where(F.col("before").isNull() | (F.col("t_ns") > F.col("before")))
-    ahead = chain.orderBy("t_ns").rangeBetween(int(refractory_ns), Window.unboundedFollowing)
-    able = able.withColumn("fires", F.col("before").isNull() | (F.col("t_ns") - F.lag("t_ns").over(chain.orderBy("t_ns")) >= refractory_ns)).withColumn("to", F.min(F.struct("t_ns", "fires")).over(ahead))
+    keys = ["episode_id", "chain_index"]
+    chain = Window.partitionBy(*keys)
+    if long:
+        found = segmented.running_max_before(found, keys, "seq", "t_ns", "before")
+    else:
+        found = found.withColumn("before", F.max("t_ns").over(chain.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)))
+    columns = [c for c in found.columns if c != "before"]
+    # What is later than all before follows on the last of these: ``before`` is the stamp of its predecessor.
+    able = found.where(F.col("before").isNull() | (F.col("t_ns") > F.col("before"))).withColumn("fires", F.col("before").isNull() | (F.col("t_ns") - F.col("before") >= refractory_ns)).drop("before")
+    later = F.coalesce(F.try_add("t_ns", F.lit(int(refractory_ns))), F.lit((1 << 63) - 1))
+    if long:
+        able = written(able)
+        steps = able.select(*keys, F.col("t_ns").alias("at"), F.lit(None).cast("long").alias("t_ns"), F.struct("t_ns", "fires").alias("e")).unionByName(able.select(*keys, later.alias("at"), "t_ns", F.lit(None).cast("struct<t_ns: bigint, fires: boolean>").alias("e")))
+        steps = segmented.last_and_next(steps, keys, "at", {"e": (F.col("e"), F.col("e"))}).where("t_ns is not null").select(*keys, "t_ns", F.col("ahead_e").alias("to"))
+        able = segmented.attach(able, steps, [*keys, "t_ns"])
+    else:
+        onward = chain.orderBy(F.desc("t_ns")).rangeBetween(Window.unboundedPreceding, -int(refractory_ns))
+        able = able.withColumn("to", F.min(F.struct("t_ns", "fires")).over(onward))
     # A step onto a candidate that fires for sure tells nothing.
-    able = written(able.withColumn("to", F.when(~F.col("to.fires"), F.col("to.t_ns"))).drop("before"))
-    steps = able.select("episode_id", "chain_index", "t_ns", "fires", "to")
-    keys = ["episode_id", "chain_index", "t_ns"]
+    able = segmented.dealt(able.withColumn("to", F.when(~F.col("to.fires"), F.col("to.t_ns"))), keys, ["t_ns"])
+    left = written(_in_ranges(able, "leaves long, inside boolean", _leave, last_first=True))
+    onto = left.where("to is not null and not inside").select(*keys, F.col("to").alias("t_ns"), F.lit(True).alias("stepped_on")).distinct()
+    steps = segmented.attach(left, onto, [*keys, "t_ns"]).where("stepped_on or fires and leaves is not null")
+    steps = written(steps.select(*keys, "t_ns", "fires", F.col("leaves").alias("to")))
     while not steps.where("fires and to is not null").isEmpty():
-        reached = steps.where("fires and to is not null").select("episode_id", "chain_index", F.col("to").alias("t_ns"), F.lit(True).alias("reached")).distinct()
-        further = steps.select("episode_id", "chain_index", F.col("t_ns").alias("to"), F.col("to").alias("further"))
-        steps = segmented.attach(segmented.attach(steps, reached, keys), further, ["episode_id", "chain_index", "to"])
-        steps = written(steps.select(*keys, (F.col("fires") | F.coalesce("reached", F.lit(False))).alias("fires"), F.col("further").alias("to")))
-    fired = steps.where("fires").select(*keys, F.lit(True).alias("fired"))
-    return segmented.attach(able.select(*found.columns), fired, keys).where("fired").drop("fired")
+        reached = steps.where("fires and to is not null").select(*keys, F.col("to").alias("t_ns"), F.lit(True).alias("reached")).distinct()
+        further = steps.select(*keys, F.col("t_ns").alias("to"), F.col("to").alias("further"))
+        steps = segmented.attach(segmented.attach(steps, reached, [*keys, "t_ns"]), further, [*keys, "to"])
+        steps = written(steps.select(*keys, "t_ns", (F.col("fires") | F.coalesce("reached", F.lit(False))).alias("fires"), F.col("further").alias("to")))
+    sure = segmented.attach(left.drop("leaves", "inside"), steps.where("fires").select(*keys, "t_ns", F.lit(True).alias("reached")), [*keys, "t_ns"])
+    sure = sure.withColumn("fires", F.col("fires") | F.coalesce("reached", F.lit(False))).drop("reached")
+    return _in_ranges(sure, "fired boolean", _follow).where("fired").select(*columns)
+
+
+def _in_ranges(rows: DataFrame, more: str, walk, last_first: bool = False) -> DataFrame:
+    """``rows`` of ``segmented.dealt`` with the columns ``more``, one tuple of ``walk`` for each row, range by range and chain
+    by chain in order of time; only the stamps that a chain steps on in a range are held."""
+    place = [segmented.RANGE, "episode_id", "chain_index"]
+    fields = StructType.fromDDL(more).fields
+    kinds = {"bigint": pa.int64(), "boolean": pa.bool_()}
+
+    def each(batches):
+        step, chain = None, None
+        for b in batches:
+            out = []
+            for *at, t, to, fires in zip(*(b[c].to_pylist() for c in (*place, "t_ns", "to", "fires")), strict=True):
+                if at != chain:
+                    step, chain = walk(), at
+                out.append(step(t, to, fires))
+            for i, f in enumerate(fields):
+                b = b.append_column(f.name, pa.array([x[i] for x in out], kinds[f.dataType.simpleString()]))
+            yield b
+
+    time = F.desc("t_ns") if last_first else F.asc("t_ns")
+    schema = StructType([*rows.schema.fields, *fields])
+    return rows.repartition(segmented.RANGE).sortWithinPartitions(*place, time).mapInArrow(each, schema)
+
+
+def _leave():
+    """Where the steps from a candidate leave its range, and whether the first one stays in it; from the last one on."""
+    leaves = {}
+
+    def step(t, to, fires):
+        inside = to in leaves
+        leaves[t] = leaves[to] if inside else to
+        return leaves[t], inside
+
+    return step
+
+
+def _follow():
+    """Whether a candidate fires: it is known to, or one that fires steps on it."""
+    due = set()
+
+    def step(t, to, fires):
+        fires = fires or t in due
+        due.discard(t)
+        if fires and to is not None:
+            due.add(to)
+        return (fires,)
+
+    return step
 
 
 def phase_of(samples: DataFrame, phases: DataFrame, start_ns: Column) -> DataFrame:
