@@ -57,14 +57,29 @@ def fit_line(df: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
     return s.select(*by, "n_points", slope.alias("slope"), ((f["sy"] - slope * f["sx"]) / f["n_points"]).alias("intercept"))
 
 
+def with_line(df: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
+    """``df`` with ``fit_line`` of its groups.  The lines, a row for each device, are broadcast: the rows of a group stay
+    where they are."""
+    return df.join(F.broadcast(fit_line(df, x, y, by)), by)
+
+
 def r_squared(df: DataFrame, x: str, y: str, slope: str, intercept: str, by: list[str]) -> DataFrame:
-    """``r2`` for each group with single-precision, truncated predictions; below two points 0, without spread 1."""
-    predicted = df.withColumn("__p", adc_to_millideg(F.col(x), F.col(slope), F.col(intercept)).cast("double"))
-    mean = predicted.groupBy(*by).agg((F.sum(F.col(y).cast("long")).cast("double") / F.count("*")).alias("__m"), F.count("*").alias("__n"))
-    parts = predicted.join(mean, by).groupBy(*by).agg(
-        F.first("__n").alias("n"), F.sum((F.col(y) - F.col("__p")) * (F.col(y) - F.col("__p"))).alias("res"), F.sum((F.col(y) - F.col("__m")) * (F.col(y) - F.col("__m"))).alias("tot")
-    )
-    return parts.select(*by, F.when(F.col("n") < 2, F.lit(0.0)).when(F.col("tot") == 0, F.lit(1.0)).otherwise(1 - F.col("res") / F.col("tot")).alias("r2"))
+    """``r2`` for each group of whole numbers with single-precision, truncated predictions; below two points 0, without
+    spread 1.
+
+    Rows of one ``x`` have one prediction: their number, sum and sum of squares, added up before anything is shuffled, give
+    both sums of squares exactly.
+    """
+    big = lambda c: c.cast("decimal(19,0)")
+    product = lambda a, b: (big(a) * big(b)).cast("decimal(38,0)")
+    own = df.groupBy(*by, x, slope, intercept).agg(F.count("*").alias("__n"), F.count(y).alias("__k"), F.sum(big(F.col(y))).alias("__s"), F.sum(product(F.col(y), F.col(y))).alias("__q"))
+    p, s = adc_to_millideg(F.col(x), F.col(slope), F.col(intercept)).cast("decimal(10,0)"), F.col("__s")
+    res = F.col("__q") - (2 * p * s.cast("decimal(26,0)")).cast("decimal(38,0)") + (p * p * F.col("__k")).cast("decimal(38,0)")
+    parts = own.withColumn("__res", res).groupBy(*by).agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("__n", "__k", "__s", "__q", "__res")])
+    n, k, s = (F.col(c).cast("double") for c in ("__n", "__k", "__s"))
+    exact = (F.col("__n") * F.col("__q")).cast("decimal(38,0)") - (F.col("__s") * F.col("__s")).cast("decimal(38,0)")
+    tot = exact.cast("double") / n + (k - n) * s * s / (n * n)
+    return parts.select(*by, F.when(n < 2, F.lit(0.0)).when(tot == 0, F.lit(1.0)).otherwise(1 - F.col("__res").cast("double") / tot).alias("r2"))
 
 
 def json_round_trip(df: DataFrame, columns: list[str], schema: str) -> DataFrame:

@@ -72,8 +72,11 @@ def differences(a: DataFrame, b: DataFrame, tolerance: float = 1e-9) -> DataFram
     """Rows in which two sets of samples differ, position by position within an episode in order of time and chain.
 
     Ids, chains, stamps and tasks must be equal, the floats within ``tolerance``; frame ids and tokens are not compared.
+    Rows of one time, chain and angle stand in order of arrival (``seq``) if both sets have it, else in order of what is
+    compared; a position is that of one row, whatever the partitioning.
     """
-    order = Window.partitionBy("episode_id").orderBy("timestamp_ns", "chain_index", "joint_angle")
+    arrival = ["seq"] if "seq" in a.columns and "seq" in b.columns else ["task_label", *[c for c in ARRAYS.values() if c != "joint_angle"]]
+    order = Window.partitionBy("episode_id").orderBy("timestamp_ns", "chain_index", "joint_angle", *arrival)
     put = lambda df: df.withColumn("row", F.row_number().over(order))
     x, y = put(a).alias("x"), put(b).alias("y")
     same = F.col("x.timestamp_ns").eqNullSafe(F.col("y.timestamp_ns")) & F.col("x.chain_index").eqNullSafe(F.col("y.chain_index")) & F.col("x.task_label").eqNullSafe(F.col("y.task_label"))

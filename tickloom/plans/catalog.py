@@ -393,7 +393,7 @@ SELECT episode_id, CAST(r AS INTEGER) AS "row" FROM x WHERE r % 9 = 0""")
 def roundtrip_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ninth row of the copy differs in a float; those rows and no others are found."""
     s = base.by_day(spark, sf_dir)
-    order = Window.partitionBy("episode_id").orderBy("timestamp_ns", "chain_index", "joint_angle")
+    order = Window.partitionBy("episode_id").orderBy("timestamp_ns", "chain_index", "joint_angle", "seq")
     other = s.withColumn("r", F.row_number().over(order)).withColumn("estimated_torque", F.when(F.col("r") % 9 == 0, F.col("estimated_torque") + 1).otherwise(F.col("estimated_torque"))).drop("r")
     return frames.differences(s, other)
 
@@ -472,7 +472,7 @@ def calib_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_FIT} SELECT c.l_returnflag, raw_adc, CAST(trunc((raw_adc::FLOAT * slope::FLOAT)::FLOAT + intercept::FLOAT) AS INTEGER) AS predicted, count(*) AS n FROM c JOIN f ON c.l_returnflag = f.l_returnflag GROUP BY ALL")
 def calib_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _calibration(spark, sf_dir)
-    j = c.join(values.fit_line(c, "raw_adc", "millideg", ["l_returnflag"]), "l_returnflag")
+    j = values.with_line(c, "raw_adc", "millideg", ["l_returnflag"])
     return j.groupBy("l_returnflag", "raw_adc", values.adc_to_millideg(F.col("raw_adc"), F.col("slope"), F.col("intercept")).alias("predicted")).agg(F.count("*").alias("n"))
 
 
@@ -481,7 +481,7 @@ m AS (SELECT l_returnflag, sum(millideg)::DOUBLE / count(*) AS m FROM p GROUP BY
 SELECT p.l_returnflag, round(1 - sum((millideg - p) * (millideg - p)) / sum((millideg - m) * (millideg - m)), 9) AS r2 FROM p JOIN m ON p.l_returnflag = m.l_returnflag GROUP BY 1""")
 def calib_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _calibration(spark, sf_dir)
-    j = c.join(values.fit_line(c, "raw_adc", "millideg", ["l_returnflag"]), "l_returnflag")
+    j = values.with_line(c, "raw_adc", "millideg", ["l_returnflag"])
     return values.r_squared(j, "raw_adc", "millideg", "slope", "intercept", ["l_returnflag"]).withColumn("r2", F.round("r2", 9))
 
 
