@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tickloom.functions import values
-from tickloom.operators import frames
+from tickloom.operators import frames, simulate
+from tickloom.sources import commits, episodes
 
 FLOATS = "joint_angle double, joint_velocity double, motor_current double, estimated_torque double"
 
@@ -34,3 +35,18 @@ def test_rows_of_a_large_group_are_not_dealt_by_group(spark):
         want[g] = 1.0 if tot == 0 else 1 - res / tot
     out = {r["g"]: r["r2"] for r in got.collect()}
     assert all(abs(out[g] - want[g]) < 1e-12 for g in want) and out["b"] == 0.0
+
+
+def test_tables_of_a_frame_dataset_read_its_frames(spark, tmp_path, monkeypatch):
+    """Frames are made once; before, each of the tables made them again."""
+    seen, write = {}, commits.Commit.write
+
+    def kept(self, table, rows, kind="parquet"):
+        seen[table] = rows
+        return write(self, table, rows, kind)
+
+    monkeypatch.setattr(commits.Commit, "write", kept)
+    samples = simulate.robot(spark, 20, 2, episode_id="a", task="t").withColumn("seq", F.monotonically_increasing_id())
+    episodes.export_frames(samples, str(tmp_path / "d"))
+    assert all(any("/data/commit=" in f for f in seen[t].inputFiles()) for t in ("episodes", "tasks", "info"))
+    assert commits.read(spark, str(tmp_path / "d"), "info").first()["total_frames"] == 20

@@ -26,12 +26,15 @@ class Commit:
     def __init__(self, spark: SparkSession, folder: str, name: str):
         self.spark, self.folder, self.name, self.tables = spark, folder, name, {}
 
-    def write(self, table: str, rows: DataFrame, kind: str = "parquet") -> None:
-        """``rows`` as a table of this commit, in Parquet or as JSON lines."""
+    def write(self, table: str, rows: DataFrame, kind: str = "parquet") -> DataFrame:
+        """``rows`` as a table of this commit, in Parquet or as JSON lines; returned as they were written, for other tables of
+        the commit."""
         if table in self.tables or table == "manifests":
             raise ValueError(f"a commit has one table called {table!r}")
-        rows.write.mode("overwrite").format(kind).save(f"{self.folder}/{table}/commit={self.name}")
+        place = f"{self.folder}/{table}/commit={self.name}"
+        rows.write.mode("overwrite").format(kind).save(place)
         self.tables[table] = (table, kind, rows.schema.json())
+        return self.spark.read.schema(rows.schema).format(kind).load(place)
 
     def finish(self) -> None:
         self.spark.createDataFrame(sorted(self.tables.values()), MANIFEST).coalesce(1).write.mode("overwrite").json(f"{self.folder}/manifests/commit={self.name}")
