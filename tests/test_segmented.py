@@ -194,3 +194,30 @@ def test_refractory_impacts_follow_their_steps_inside_ranges(spark, monkeypatch)
     got = events.detect_impact(s, "value", 5.0, 11, long=True)
     assert sorted(x["seq"] for x in got.collect()) == list(range(1, 400, 4))
     assert joined and max(joined) < 30
+
+
+def test_dense_matches_list_no_pairs(spark, many_ranges, monkeypatch):
+    """Runs of one side need a round for each event where only best partners are taken, and copies at one time too; both were
+    left to a walk over all pairs of a cluster, in one task."""
+    r = random.Random(8)
+    rows = lambda k: [(0, 10_000 + (1 - 2 * k) * r.randrange(1, 400), 1000 * k + i) for i in range(50)] + [(0, 20_000 + 7 * k, 5000 + 1000 * k + i) for i in range(30 + k)] + [(0, r.randrange(9_000, 21_000), 9000 + 1000 * k + i) for i in range(80)]
+    truth, found = rows(0), rows(1)
+    monkeypatch.setattr(scoring, "candidate_pairs", lambda *_: pytest.fail("pairs are listed"))
+    got = scoring.match(*sides(spark, truth, found), 500).collect()
+    assert {(x["truth_ix"], x["found_ix"], x["dist"]) for x in got} == greedy(truth, found, 500) and len(got) > 100
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_what_a_stretch_settles_does_not_depend_on_others(seed):
+    r = random.Random(seed)
+    events = sorted((r.randrange(300), r.random() < 0.5, i) for i in range(60))
+    events = [e for k, e in enumerate(events) if k == 0 or e[0] > events[k - 1][0]]
+    whole, _ = scoring.greedy([e[0] for e in events], [e[1] for e in events], [[e[2]] for e in events], 9)
+    cut = len(events) // 2
+    for part, outside in ((events[:cut], (None, events[cut][0])), (events[cut:], (events[cut - 1][0], None))):
+        pairs, waiting = scoring.greedy([e[0] for e in part], [e[1] for e in part], [[e[2]] for e in part], 9, *outside)
+        own = {(part[t][2], part[f][2]) for t, f, _ in pairs}
+        assert own <= {(events[t][2], events[f][2]) for t, f, _ in whole}
+        there = {e[2] for e in part}
+        settled = there - {part[i][2] for i, _, _ in waiting}
+        assert own == {(events[t][2], events[f][2]) for t, f, _ in whole if {events[t][2], events[f][2]} <= settled}

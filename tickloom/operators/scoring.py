@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +12,8 @@ from tickloom.functions.checks import whole_number
 from tickloom.operators import segmented
 from tickloom.session import written
 
-#: Rounds of mutual best partners before what is left is walked.
-ROUNDS = 12
+#: Rounds of ever wider ranges before an episode and kind is one task, and events of a range in the first.
+ROUNDS, RANGE_ROWS = 12, 250_000
 
 def candidate_pairs(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> DataFrame:
     """Pairs of one episode and kind at most ``tolerance_ns`` apart; joined by buckets of that width."""
@@ -21,52 +24,148 @@ def candidate_pairs(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> Da
     return t.join(d, ["episode_id", "kind", "bucket"]).drop("bucket").withColumn("dist", F.abs(F.col("truth_ns") - F.col("found_ns"))).where(F.col("dist") <= tolerance_ns)
 
 
-def best_partners(events: DataFrame, tolerance_ns: int) -> DataFrame:
-    """``events`` (``episode_id, kind, is_truth, t_ns, ix``) with ``best``, the time and number of the event of the other side
-    that comes first by distance, time and number, null if none is within the tolerance.
+#: What a range settles: pairs, whose truth has a number, and events that wait for other ranges.
+_SETTLED = "is_truth boolean, t_ns long, ix long, truth_ix long, found_ix long, truth_ns long, found_ns long, dist long"
+
+
+def greedy(times: list[int], is_truth: list[bool], members: list[list[int]], tolerance_ns: int, before: int | None = None, after: int | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Greedy matches of one stretch of events, and what depends on events outside of it.
 
-    Neighbours are running values over ranges of time: no pairs, and no episode in one task.
+    Events of one time and side are a group: they are taken in order of ``members``, so groups match as events do.  The
+    closest pair that is free has no free group between its ends, so pairs of neighbours in a heap are all that is looked
+    at.  ``before`` and ``after``: the nearest events outside.  A pair is certain only if what is unknown is farther
+    from it than its ends are from each other (behind it, as far at least: of equal pairs the earlier counts); the ends
+    of any other pair join what is unknown.  Returns ``group, group, n`` of the pairs, in order, and ``group, from, to`` of
+    the events that wait; all others have no partner.
     """
-    sides = {}
-    for name, here in (("truth", F.col("is_truth")), ("found", ~F.col("is_truth"))):
-        sides[name] = (F.when(here, F.struct("t_ns", (-F.col("ix")).alias("less"))), F.when(here, F.struct("t_ns", "ix")))
-    both = segmented.last_and_next(events, ["episode_id", "kind"], "t_ns", sides)
-    back, ahead = (F.when(F.col("is_truth"), F.col(f"{x}_found")).otherwise(F.col(f"{x}_truth")) for x in ("back", "ahead"))
-    place = lambda e, ix: F.when(e.isNotNull(), F.struct(F.abs(F.col("t_ns") - e["t_ns"]).alias("dist"), e["t_ns"].alias("t_ns"), ix.alias("ix")))
-    best = F.least(place(back, -back["less"]), place(ahead, ahead["ix"]))
-    return both.withColumn("best", best).withColumn("best", F.when(F.col("best.dist") <= tolerance_ns, F.col("best"))).drop(*[f"{x}_{k}" for k in sides for x in ("back", "ahead")])
+    n = len(times)
+    back, on = list(range(-1, n - 1)), list(range(1, n + 1))
+    taken, size = [0] * n, [len(m) for m in members]
+    least, most = (x if x is not None else y for x, y in ((before, -(1 << 80)), (after, 1 << 80)))
+
+    def place(i, j):
+        return (times[j] - times[i], *((times[i], times[j]) if is_truth[i] else (times[j], times[i])), i, j)
+
+    heap = [place(i, i + 1) for i in range(n - 1) if is_truth[i] != is_truth[i + 1] and times[i + 1] - times[i] <= tolerance_ns]
+    heapq.heapify(heap)
+    pairs = []
+    while heap:
+        dist, _, _, i, j = heapq.heappop(heap)
+        if on[i] != j or taken[i] == size[i] or taken[j] == size[j]:
+            continue
+        if times[i] - least <= dist or most - times[j] < dist:
+            if times[i] - least <= dist:
+                least = max(least, times[j])
+            if most - times[j] < dist:
+                most = min(most, times[i])
+            continue
+        k = min(size[i] - taken[i], size[j] - taken[j])
+        pairs.append((i, j, k) if is_truth[i] else (j, i, k))
+        taken[i] += k
+        taken[j] += k
+        left, right = i if taken[i] < size[i] else back[i], j if taken[j] < size[j] else on[j]
+        if left >= 0:
+            on[left] = right
+        if right < n:
+            back[right] = left
+        if left >= 0 and right < n and is_truth[left] != is_truth[right] and times[right] - times[left] <= tolerance_ns:
+            heapq.heappush(heap, place(left, right))
+    return pairs, [(i, taken[i], size[i]) for i in range(n) if taken[i] < size[i] and (times[i] - least <= tolerance_ns or most - times[i] <= tolerance_ns)]
+
+
+def _settled(rows: DataFrame, tolerance_ns: int) -> DataFrame:
+    """Pairs, and events that wait (``_SETTLED``), of rows that are in order in every partition; ``before`` and ``after`` are
+    the nearest events of the same episode and kind in other partitions, if there are any."""
+    schema = f"{', '.join(f'`{c}` {rows.schema[c].dataType.simpleString()}' for c in ('episode_id', 'kind'))}, {_SETTLED}"
+
+    def settle(batches):
+        import pyarrow as pa
+
+        key, times, truths, members, outside, out = None, [], [], [], [None, None], []
+
+        def close(nearest):
+            pairs, waiting = greedy(times, truths, members, tolerance_ns, *nearest)
+            taken = [0] * len(times)
+            for t, f, k in pairs:
+                dist = abs(times[t] - times[f])
+                out.extend((*key, None, None, None, a, b, times[t], times[f], dist) for a, b in zip(members[t][taken[t] : taken[t] + k], members[f][taken[f] : taken[f] + k], strict=True))
+                taken[t] += k
+                taken[f] += k
+            for i, a, b in waiting:
+                out.extend((*key, truths[i], times[i], ix, None, None, None, None, None) for ix in members[i][a:b])
+
+        def handed():
+            columns = list(zip(*out, strict=True)) or [[]] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        for b in batches:
+            types = [b.schema.field("episode_id").type, b.schema.field("kind").type, pa.bool_(), *[pa.int64()] * 7]
+            for e, k, is_truth, t, ix, before, after in zip(*(b.column(c).to_pylist() for c in ("episode_id", "kind", "is_truth", "t_ns", "ix", "before", "after")), strict=True):
+                if times and ((e, k) != key or t - times[-1] > tolerance_ns):
+                    # Events beyond a gap that is wider than the tolerance are of no account.
+                    close([outside[0], outside[1] if (e, k) != key else None])
+                    outside[0] = before if (e, k) != key else None
+                    times, truths, members = [], [], []
+                elif not times:
+                    outside[0] = before
+                key, outside[1] = (e, k), after
+                if times and times[-1] == t and truths[-1] == is_truth:
+                    members[-1].append(ix)
+                else:
+                    times.append(t)
+                    truths.append(is_truth)
+                    members.append([ix])
+            if len(out) >= 50_000:
+                yield handed()
+                out = []
+        if times:
+            close(outside)
+        if out:
+            yield handed()
+
+    names = [f.split()[0].strip("`") for f in schema.split(", ")]
+    return rows.select("episode_id", "kind", "is_truth", "t_ns", "ix", "before", "after").mapInArrow(settle, schema)
+
+
+def _in_ranges(events: DataFrame, n: int) -> DataFrame:
+    """``events`` in order in at most ``n`` ranges, with the nearest events outside, ``before`` and ``after``, where a range
+    cuts an episode and kind."""
+    by = ["episode_id", "kind"]
+    rows = segmented.dealt(events, by, ["t_ns"], n)
+    ends = rows.groupBy(*by, segmented.RANGE).agg(F.min("t_ns").alias("first"), F.max("t_ns").alias("last"))
+    order = Window.partitionBy(*by).orderBy(segmented.RANGE)
+    # At most two rows a range: only its first and its last episode and kind go on elsewhere.
+    cut = ends.select(*by, segmented.RANGE, F.lag("last").over(order).alias("before"), F.lead("first").over(order).alias("after")).where("before is not null or after is not null")
+    return segmented.attach(rows, F.broadcast(cut), [*by, segmented.RANGE]).sortWithinPartitions(*by, "t_ns", "is_truth", "ix")
 
 
 def match(truth: DataFrame, found: DataFrame, tolerance_ns: int, rounds: int = ROUNDS) -> DataFrame:
     """Greedy one-to-one matches: pairs in order of distance, truth time and number, found time and number; each pair
     is taken if both sides are free.
 
-    A pair that is the first of all pairs of either of its events is taken whatever the others do.  So every round takes
-    all events that are each other's best partner and drops those without one, until none is left; no pairs are listed.
-    Events that wait for each other in a long row (equal distances, say) give one pair a round; what ``rounds`` rounds
-    leave is walked in order (``walked``).
+    A pair that is the first of all pairs of either of its events is taken whatever the others do.  So every range of time
+    settles by itself what does not depend on its neighbours (``greedy``), no pairs are listed, and a round later the
+    events near its ends, which are few, are dealt to new and wider ranges.  A long row of equal distances waits for its
+    beginning; ranges widen until it lies in one, and after ``rounds`` rounds an episode and kind is one task.
     """
     whole_number(tolerance_ns, "tolerance_ns")
-    side = lambda df, is_truth: df.select("episode_id", "kind", F.lit(is_truth).alias("is_truth"), "t_ns", F.col("ix").cast("long").alias("ix"))
-    left, taken = side(truth, True).unionByName(side(found, False)), None
-    for _ in range(rounds):
-        left = written(best_partners(left, tolerance_ns).where("best is not null"))
-        if left.isEmpty():
+    side = lambda df, is_truth: df.select("episode_id", "kind", F.lit(is_truth).alias("is_truth"), "t_ns", F.col("ix").cast("long").alias("ix")).where("t_ns is not null")
+    left, done = written(side(truth, True).unionByName(side(found, False))), []
+    for k in range(rounds):
+        size = left.count()
+        if not size:
             break
-        mine = left.where("is_truth").select("episode_id", "kind", F.col("ix").alias("truth_ix"), F.col("best.ix").alias("found_ix"), F.col("t_ns").alias("truth_ns"), F.col("best.t_ns").alias("found_ns"), F.col("best.dist").alias("dist"))
-        theirs = left.where("not is_truth").select("episode_id", "kind", F.col("best.ix").alias("truth_ix"), F.col("ix").alias("found_ix"), F.lit(True).alias("mutual"))
-        pairs = written(segmented.attach(mine, theirs, ["episode_id", "kind", "truth_ix", "found_ix"]).where("mutual").drop("mutual"))
-        taken = pairs if taken is None else taken.unionByName(pairs)
-        gone = pairs.select("episode_id", "kind", F.explode(F.array(F.struct(F.lit(True).alias("is_truth"), F.col("truth_ix").alias("ix")), F.struct(F.lit(False).alias("is_truth"), F.col("found_ix").alias("ix")))).alias("e")).select("episode_id", "kind", "e.*", F.lit(True).alias("gone"))
-        left = segmented.attach(left.drop("best"), gone, ["episode_id", "kind", "is_truth", "ix"]).where("gone is null").drop("gone")
-    else:
-        left = written(left)
-        if not left.isEmpty():
-            rest = lambda is_truth: left.where(F.col("is_truth") == is_truth).drop("is_truth")
-            pairs = walked(rest(True), rest(False), tolerance_ns)
-            taken = pairs if taken is None else taken.unionByName(pairs)
+        if k < rounds - 1:
+            n = -(-size // (RANGE_ROWS << 2 * k))
+            # At first as many ranges as there are tasks; what is left of them may be little.
+            rows = _in_ranges(left, max(n, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if k == 0 else n)
+        else:
+            rows = left.repartition("episode_id", "kind").withColumns({c: F.lit(None).cast("long") for c in ("before", "after")}).sortWithinPartitions("episode_id", "kind", "t_ns", "is_truth", "ix")
+        settled = written(_settled(rows, tolerance_ns))
+        done.append(settled.where("truth_ix is not null"))
+        left = settled.where("truth_ix is null").select(*left.columns)
     columns = ["episode_id", "kind", "truth_ix", "found_ix", "truth_ns", "found_ns", "dist"]
-    return taken.select(*columns) if taken is not None else walked(truth.limit(0), found.limit(0), tolerance_ns)
+    return reduce(DataFrame.unionByName, done).select(*columns) if done else walked(truth.limit(0), found.limit(0), tolerance_ns)
 
 
 def walked(truth: DataFrame, found: DataFrame, tolerance_ns: int) -> DataFrame:

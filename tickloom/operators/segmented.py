@@ -17,10 +17,10 @@ from tickloom.session import cut_lineage
 RANGE = "__range"
 
 
-def dealt(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+def dealt(df: DataFrame, by: list[str], order: list[str], n: int | None = None) -> DataFrame:
     """``df`` with the number of the range of ``by`` and ``order`` that a row lies in; rows that are equal in these lie in one
-    range.  Written once, so that every use sees the same ranges."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    range.  Written once, so that every use sees the same ranges; ``n`` of them (default: as many as shuffles have)."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut_lineage(df.repartitionByRange(n, *by, *order).withColumn(RANGE, F.spark_partition_id()))
 
 
