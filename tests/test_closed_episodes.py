@@ -134,3 +134,33 @@ def test_a_batch_that_fails_between_its_tables_shows_nothing(spark, tmp_path, mo
     assert all(commits.read(spark, folder, t) is None for t in ("data", "quarantine", "stray"))
     closed.commit_closed(batch, "batch-1", folder, BUDGET)
     assert commits.read(spark, folder, "data").count() == 32
+
+
+def test_ended_episodes_as_tables_are_judged_as_the_batch_gate_judges_them_whole(spark, split, monkeypatch):
+    """No Python state handles an episode on its own; rows, verdicts and rows after an end are those of ``record_closed``."""
+    episodes, stream, d = split
+    folder = str(d / "out")
+    monkeypatch.setattr(closed, "closed_episodes", lambda *_, **__: pytest.fail("a state for each episode"))
+    closed.record_ended(stream, folder, str(d / "s"), BUDGET).awaitTermination(120)
+    everything = spark.createDataFrame([r for name in "abce" for r in episodes[name]], SCHEMA).where("timestamp_ns is not null").drop("ends").where(quality.is_finite(F.col("joint_angle")))
+    verdicts = quality.recorder_gate(everything, BUDGET)
+    good = verdicts.where("ok").select("episode_id")
+    assert sorted(map(tuple, commits.read(spark, folder, "data").collect())) == sorted(map(tuple, everything.join(good, "episode_id", "left_semi").collect()))
+    refused = {r["episode_id"]: list(r["reasons"]) for r in commits.read(spark, folder, "quarantine").collect()}
+    assert refused == {r["episode_id"]: list(r["reasons"]) for r in verdicts.where("not ok").collect()} and "c" in refused
+    assert sorted((r["episode_id"], r["closing"]) for r in commits.read(spark, folder, "stray").collect()) == [("b", "after_end")] * 2 + [("e", "after_end")] * 3
+
+
+def test_a_restart_finds_the_rows_of_open_episodes(spark, tmp_path):
+    """Rows without an episode are those of one episode."""
+    a, none = rows_of("a", 60), [(None, *r[1:]) for r in rows_of("n", 50)]
+    folder, state = str(tmp_path / "out"), str(tmp_path / "s")
+    stream = feed(spark, str(tmp_path / "in"), [a[:20] + none[:30], a[20:40]])
+    closed.record_ended(stream, folder, state, BUDGET).awaitTermination(120)
+    assert commits.read(spark, folder, "data") is None
+    feed(spark, str(tmp_path / "in"), [[], [], a[40:] + none[30:]])
+    closed.record_ended(stream, folder, state, BUDGET).awaitTermination(120)
+    seen = commits.read(spark, folder, "data").where("episode_id = 'a'")
+    assert seen.count() == len([r for r in a if r[4] == r[4]])
+    waiting = spark.read.parquet(f"{state}/waiting/batch=4").groupBy("episode_id", "closing").count().collect()
+    assert {tuple(r) for r in waiting} == {("a", "ended", 60), (None, "ended", 50)}

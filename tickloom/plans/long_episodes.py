@@ -63,7 +63,7 @@ def stream_closed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k in range(PARTS):
         given.where(F.col("part") == k).drop("part").repartition(FILES, "episode_id").write.mode("append").parquet(f"{folder}/in")
     stream = spark.readStream.schema(given.drop("part").schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/in")
-    closed.record_closed(closed.closed_episodes(stream), f"{folder}/out", f"{folder}/state", BUDGET).awaitTermination()
+    closed.record_ended(stream, f"{folder}/out", f"{folder}/state", BUDGET).awaitTermination()
     kinds = {"data": s.select("episode_id").schema, "quarantine": "episode_id long, ok boolean, reasons array<string>", "stray": s.select("episode_id").schema}
     data, refused, stray = (t if t is not None else spark.createDataFrame([], kinds[k]) for k, t in ((k, commits.read(spark, f"{folder}/out", k)) for k in kinds))
     written = data.groupBy("episode_id").agg(F.count("*").alias("written"))

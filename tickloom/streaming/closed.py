@@ -7,6 +7,9 @@ they are handed on as such and never lost in silence.
 
 ``record_closed`` sends whole episodes through the recorder's gate: each batch is one commit, repeated batches change
 nothing, and readers see finished commits only.
+
+``record_ended`` does the same without a timer, for recordings whose episodes are many, or long: a batch is a table, open
+episodes wait as rows of a table, and no Python process, and no task, handles an episode on its own.
 """
 
 from __future__ import annotations
@@ -20,11 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.operators import quality
+from tickloom.operators.segmented import attach
 from tickloom.sources import commits
 from tickloom.streaming.stateful import ROCKSDB
 
 #: Why rows are handed on (fixed values of this module).
 ENDED, QUIET, LATE = "ended", "not_ended", "after_end"
+#: The ``closing`` of rows whose episode is open, in the tables of ``record_ended``.
+OPEN = "open"
 #: Rows that are taken out of the state at once.
 CHUNK = 5_000
 #: Micro-seconds of times are kept in the text form of a row.
@@ -111,16 +117,17 @@ def closed_episodes(rows: DataFrame, quiet_ms: int | None = None, remember_ms: i
     return out.select(F.from_json("row", rows.select(*columns).schema, _TEXT).alias("r"), "closing").select("r.*", "closing")
 
 
-def commit_closed(batch: DataFrame, name: str, folder: str, budget: quality.JitterBudget | None = None) -> None:
+def commit_closed(batch: DataFrame, name: str, folder: str, budget: quality.JitterBudget | None = None, kept: bool = False) -> None:
     """One batch of ``closed_episodes`` as one commit: accepted episodes in ``data``, verdicts of the others in
     ``quarantine`` and rows of episodes that were not ended, or came after the end, in ``stray``.
 
-    Nothing is written for a batch that is committed already, or that closes nothing.
+    Nothing is written for a batch that is committed already, or that closes nothing.  A batch that is ``kept`` as a table is
+    read from there each time.
     """
     spark = batch.sparkSession
     if commits.finished(spark, folder, name):
         return
-    batch = batch.persist()
+    batch = batch if kept else batch.persist()
     try:
         if batch.isEmpty():
             return
@@ -135,7 +142,8 @@ def commit_closed(batch: DataFrame, name: str, folder: str, budget: quality.Jitt
             c.write("stray", batch.where(F.col("closing") != ENDED))
         verdicts.unpersist()
     finally:
-        batch.unpersist()
+        if not kept:
+            batch.unpersist()
 
 
 def record_closed(closed: DataFrame, folder: str, checkpoint: str, budget: quality.JitterBudget | None = None, every: str | None = None):
@@ -156,6 +164,38 @@ def record_closed(closed: DataFrame, folder: str, checkpoint: str, budget: quali
         return writer.trigger(availableNow=True).start()
 
 
+def record_ended(rows: DataFrame, folder: str, checkpoint: str, budget: quality.JitterBudget | None = None, ends: str = "ends", mark_only: str = "timestamp_ns"):
+    """A running query that commits, as ``record_closed``, the episodes of ``rows``, a stream, that have ended; it ends when all
+    rows that are there have been read.
+
+    ``ends`` and ``mark_only`` as in ``closed_episodes``; no episode is given up for being quiet.  Every batch reads the rows
+    of open episodes and writes those that stay open, below ``checkpoint``: cheap where batches are few and large.  A
+    batch reads only what earlier ones wrote, so one that is repeated replaces itself; the tables of a batch stay until
+    that folder is cleared.
+    """
+    columns = [c for c in rows.columns if c != ends]
+    waiting, ended = f"{checkpoint}/waiting", f"{checkpoint}/ended"
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark, name = batch.sparkSession, f"batch-{number:012d}"
+        mark = F.coalesce(ends, F.lit(False))
+        batch.where(mark).select("episode_id").distinct().write.mode("overwrite").parquet(f"{ended}/batch={number}")
+        known = spark.read.schema(batch.select("episode_id").schema.add("batch", "long")).parquet(ended).where(F.col("batch") <= number)
+        known = known.groupBy("episode_id").agg(F.min("batch").alias("__closed"))
+        fresh = batch.where(F.col(mark_only).isNotNull() | ~mark).select(*columns)
+        before = spark.read.schema(batch.select(*columns).schema.add("closing", "string")).parquet(f"{waiting}/batch={number - 1}").where(F.col("closing") == OPEN).select(*columns) if number else fresh.limit(0)
+        closed = F.col("__closed")
+        closing = F.when(closed.isNull(), OPEN).when(closed == number, ENDED).otherwise(LATE)
+        marked = attach(before.unionByName(fresh), known, ["episode_id"]).withColumn("closing", closing).drop("__closed")
+        place = f"{waiting}/batch={number}"
+        marked.write.mode("overwrite").partitionBy("closing").parquet(place)
+        done = spark.read.schema(marked.select(*columns, "closing").schema).parquet(place).where(F.col("closing") != OPEN)
+        commit_closed(done, name, folder, budget, kept=True)
+
+    with bounded(rows.sparkSession):
+        return rows.writeStream.foreachBatch(each).option("checkpointLocation", f"{checkpoint}/log").trigger(availableNow=True).start()
+
+
 @contextmanager
 def bounded(spark: SparkSession) -> Iterator[None]:
     """Queries that are started inside make no batches without rows."""
