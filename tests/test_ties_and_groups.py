@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tickloom.functions import values
-from tickloom.operators import frames, simulate
+from tickloom.operators import frames, quality, simulate
 from tickloom.sources import commits, episodes
 
 FLOATS = "joint_angle double, joint_velocity double, motor_current double, estimated_torque double"
@@ -50,3 +50,20 @@ def test_tables_of_a_frame_dataset_read_its_frames(spark, tmp_path, monkeypatch)
     episodes.export_frames(samples, str(tmp_path / "d"))
     assert all(any("/data/commit=" in f for f in seen[t].inputFiles()) for t in ("episodes", "tasks", "info"))
     assert commits.read(spark, str(tmp_path / "d"), "info").first()["total_frames"] == 20
+
+
+def test_intervals_are_counted_once(spark):
+    """Medians and percentiles that are joined to the counts they come from make those again for each side."""
+    times = {"a": [5, 15, 25, 25, 24, 90, 100, None, 110], "b": [7], "c": [None, None], "d": [10, 20, 30], "e": [3, 3]}
+    rows = [(e, i, t) for e, x in times.items() for i, t in enumerate(x)]
+    got = quality.jitter(spark.createDataFrame(rows, "episode_id string, seq long, timestamp_ns long"), quality.JitterBudget(gap_factor=2.5))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan and plan.count("lag(") == 1
+    want = {}
+    for e, x in times.items():
+        dt = sorted(b - a for a, b in zip(x, x[1:], strict=False) if a is not None and b is not None)
+        period = (dt[(len(dt) - 1) // 2] + dt[len(dt) // 2]) >> 1 if dt else 0
+        off = sorted(abs(d - period) for d in dt)
+        p99 = off[min(max(round(0.99 * len(off)), 1), len(off)) - 1] if off else 0
+        want[e] = (len(x), period, max(off, default=0), p99, sum(d <= 0 for d in dt), sum(period > 0 and d > 2.5 * period for d in dt), len(dt))
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == want

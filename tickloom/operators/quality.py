@@ -65,21 +65,22 @@ def jitter(samples: DataFrame, budget: JitterBudget | None = None) -> DataFrame:
     of 0 or less are backwards; longer than ``gap_factor`` periods are dropouts.  One sample has no intervals: all 0.
     """
     budget = budget or JitterBudget()
-    steps = intervals(samples)
-    counted = steps.where("dt is not null").groupBy("episode_id", "dt").agg(F.count("*").alias("times"))
+    dt, off, times, period = (F.col(c) for c in ("dt", "off", "times", "period_ns"))
+    # One chain of windows: a join of the medians, or of the percentiles, would make the counts again for each side.  The
+    # row whose ``dt`` is null counts samples without an interval.
+    counted = intervals(samples).groupBy("episode_id", "dt").agg(F.count("*").alias("times")).withColumn("there", F.when(dt.isNotNull(), times))
+    whole = Window.partitionBy("episode_id")
+    upto = lambda c: F.sum("there").over(whole.orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
+    at = lambda value, run, rank: F.min(F.when(F.col(run) >= rank, value))
     n = F.col("n")
-    middle = at_rank(counted, "dt", {"low": F.floor((n + 1) / 2), "high": F.floor(n / 2) + 1})
-    period = F.shiftright(F.col("low") + F.col("high"), 1)
-    spread = counted.join(middle.select("episode_id", period.alias("period_ns")), "episode_id").withColumn("off", F.abs(F.col("dt") - F.col("period_ns")))
-    off = spread.groupBy("episode_id", "off").agg(F.sum("times").alias("times"))
-    p99 = at_rank(off, "off", {"p99_jitter_ns": percentile_rank(n)})
-    gap = (F.col("period_ns") > 0) & (F.col("dt") > F.col("period_ns") * F.lit(budget.gap_factor))
-    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    rest = spread.groupBy("episode_id").agg(
-        F.first("period_ns").alias("period_ns"), F.max("off").alias("max_jitter_ns"), zero(F.when(F.col("dt") <= 0, F.col("times"))).alias("backwards"), zero(F.when(gap, F.col("times"))).alias("dropouts"), F.sum("times").alias("n_intervals")
+    ranked = counted.withColumn("upto", upto("dt")).withColumn("n", F.sum("there").over(whole))
+    middle = ranked.withColumn("low", at(dt, "upto", F.floor((n + 1) / 2)).over(whole)).withColumn("high", at(dt, "upto", F.floor(n / 2) + 1).over(whole))
+    spread = middle.withColumn("period_ns", F.shiftright(F.col("low") + F.col("high"), 1)).withColumn("off", F.abs(dt - period)).withColumn("upto_off", upto("off"))
+    gap = (period > 0) & (dt > period * F.lit(budget.gap_factor))
+    out = spread.groupBy("episode_id").agg(
+        F.sum("times").alias("n_samples"), F.max("period_ns").alias("period_ns"), F.max("off").alias("max_jitter_ns"), at(off, "upto_off", percentile_rank(n)).alias("p99_jitter_ns"),
+        F.sum(F.when(dt <= 0, times)).alias("backwards"), F.sum(F.when(gap, times)).alias("dropouts"), F.sum("there").alias("n_intervals"),
     )
-    size = samples.groupBy("episode_id").agg(F.count("*").alias("n_samples"))
-    out = size.join(rest, "episode_id", "left").join(p99, "episode_id", "left")
     names = ["period_ns", "max_jitter_ns", "p99_jitter_ns", "backwards", "dropouts", "n_intervals"]
     return out.select("episode_id", "n_samples", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names])
 
