@@ -119,3 +119,39 @@ def test_texts_lose_the_spans_and_keep_other_columns(spark):
             assert out[i]["text"] == (texts[i] or "")
         if removed == n:
             assert out[i]["text"] == ""
+
+
+@pytest.mark.parametrize("crowded", [suffix.CROWDED, 2])
+def test_repeated_passages_shorter_than_the_removed_strings(spark, crowded):
+    """The removed strings are sought inside the passages; neither changes what the other would be alone."""
+    texts = corpus(11) + corpus(7, 12)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = {r["doc_id"]: r for r in suffix.removal_digest(docs, crowded=crowded, passage=200).collect()}
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in out.items()} == dict(enumerate(brute(texts, 400)))
+    assert {i: (r["n_passage_bytes"], r["n_passages"]) for i, r in out.items()} == {i: (b, s) for i, (_, b, s, _) in enumerate(brute(texts, 200))}
+
+
+def test_query_finds_passages_of_51_words(spark, tmp_path):
+    """Two documents share 51 words that are shorter than the strings of the contract, which leaves them where they are."""
+    from tickloom.llm import registry
+
+    r = random.Random(5)
+    prose = lambda k: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(k))
+    passage = prose(51)
+    texts = [f"{prose(80)} {passage} {prose(70)}", f"{prose(40)} {passage} {prose(90)}", prose(150), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: r for r in registry.op8_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert [(out[i]["n_removed"], out[i]["n_spans"]) for i in range(4)] == [(0, 0)] * 4
+    assert [out[i]["n_passages"] for i in range(4)] == [1, 1, 0, 0]
+    assert all(len(passage) <= out[i]["n_passage_bytes"] <= len(passage) + 6 for i in (0, 1))
+
+
+def test_passages_of_repeated_ids_nulls_and_empty_table(spark):
+    t = "word " * 20 + "".join(random.Random(2).choice("abcdefgh") for _ in range(500))
+    docs = spark.createDataFrame([(1, t), (1, t), (None, t[::-1]), (None, t[:330] + "z" * 90), (1, "short")], "doc_id long, text string")
+    got = sorted((r["n_bytes"], r["n_removed"], r["n_passage_bytes"], r["n_passages"]) for r in suffix.removal_digest(docs, passage=200).collect())
+    texts = [t, t, t[::-1], t[:330] + "z" * 90, "short"]
+    assert got == sorted((n, m, b, s) for (n, m, _, _), (_, b, s, _) in zip(brute(texts, 400), brute(texts, 200), strict=True))
+    assert suffix.removal_digest(docs.limit(0), passage=200).count() == 0
+    with pytest.raises(ValueError):
+        suffix.removal_digest(docs, passage=401)

@@ -39,7 +39,7 @@ def op7_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.removal_digest(table(spark, sf_dir, "documents"))
+    return suffix.removal_digest(table(spark, sf_dir, "documents"), passage=suffix.PASSAGE)
 
 
 def op9_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,9 @@ is removed.  Three steps keep the sorting to where it matters:
     grams twice as long, as often as needed, so no sort holds more than a bounded number of fragments.
 
 The repeated starts go back to every occurrence of their fragment and become the spans that are cut out.
+
+Strings of two lengths cost little more than those of the shorter one: whatever repeats over ``length`` bytes repeats in
+all its shorter strings, so the longer ones are sought in the stretches that the shorter ones leave (`longer_spans`).
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from tickloom.llm.rolling import gram_hashes, sliding_min
 LENGTH, GRAM = 400, 64
 #: Distinct fragments of one gram that are suffix-sorted together at most, and bytes after which a batch is sorted.
 CROWDED, BATCH = 2_000, 1_000_000
+#: Bytes of the strings that make a repeated passage, and of their grams: 51 words are seldom as short.
+PASSAGE, PASSAGE_GRAM = 200, 48
 
 
 def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -265,6 +270,35 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     return _owned(*_settled(found, fetch, length, gram, crowded))
 
 
+def longer_spans(docs: DataFrame, shorter: DataFrame, short: int, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+    """``repeated_spans(docs, length, gram, crowded)`` by way of its result ``shorter`` for strings of ``short`` bytes.
+
+    All strings of ``short`` bytes within a repeated string repeat, so wherever it occurs it lies in one stretch of such
+    starts.  Only the texts of stretches that are long enough are searched, each as a document of its own.
+    """
+    if length < short:
+        raise ValueError("the longer strings must be as long as the shorter ones at least")
+    least = length - short + 1
+
+    def stretches(batches):
+        for b in small(batches, 128):
+            out = [[], [], [], []]
+            for k1, k2, data, runs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for x, y in spans(runs, 1, len(data)):
+                    if y - x >= least:
+                        for o, v in zip(out, (k1, k2, x, data[x : y + short - 1]), strict=True):
+                            o.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, [pa.int64()] * 3 + [pa.binary()], strict=True)], names=["k1", "k2", "at", "bytes"])
+
+    many = shorter.where(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["n"]) >= least)
+    inside = docs.join(many.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", "bytes", "runs").mapInArrow(stretches, "k1 long, k2 long, at long, bytes binary")
+    inside = written(inside.withColumn("own", F.xxhash64("bytes")))
+    found = repeated_spans(inside.select("k1", F.col("own").alias("k2"), "bytes"), length, gram, crowded).select("k1", F.col("k2").alias("own"), "runs")
+    places = inside.select("k1", "k2", "own", "at").distinct().join(found, ["k1", "own"])
+    moved = places.select("k1", "k2", F.transform("runs", lambda r: F.struct((r["at"] + F.col("at")).alias("at"), r["n"].alias("n"))).alias("runs"))
+    return moved.groupBy("k1", "k2").agg(F.flatten(F.collect_set("runs")).alias("runs"))
+
+
 def spans(runs: list[dict] | None, length: int, n_bytes: int) -> list[tuple[int, int]]:
     """Maximal covered spans from runs of starts."""
     if not runs:
@@ -278,37 +312,46 @@ def spans(runs: list[dict] | None, length: int, n_bytes: int) -> list[tuple[int,
     return [(a, min(b, n_bytes)) for a, b in out]
 
 
-def _with_runs(docs: DataFrame, length: int, gram: int, crowded: int) -> DataFrame:
-    """``bytes, runs, row`` of every row; row: all columns."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``k1, k2, bytes, row`` of every row; row: all columns but the text."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    whole = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"), text.cast("binary").alias("bytes"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
-    found = repeated_spans(whole.select("k1", "k2", "bytes"), length, gram, crowded)
-    return whole.join(found.hint("shuffle_hash"), ["k1", "k2"], "left").select("bytes", "runs", "row")
+    return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"), text.cast("binary").alias("bytes"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
 
 
-def removal_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+def removal_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED, passage: int | None = None, passage_gram: int = PASSAGE_GRAM) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` of every document.
 
-    ``text``: what is left, without the parts of characters that a cut went through.  Null texts count as empty;
-    repeated rows are copies of each other, so their long strings go from each; an empty table gives no rows; other
-    columns are not read.
+    ``text``: what is left, without the parts of characters that a cut went through.  With ``passage``, which is at most
+    ``length``, ``n_passage_bytes`` and ``n_passages`` follow: the bytes that repeated strings of ``passage`` bytes cover,
+    and their spans; these stay in ``text``.  Null texts count as empty; repeated rows are copies of each other, so their
+    long strings go from each; an empty table gives no rows; other columns are not read.
     """
+    names = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "text": pa.string()}
+    if passage is not None:
+        names |= {"n_passage_bytes": pa.int64(), "n_passages": pa.int64()}
 
     def digest(batches):
         for b in small(batches):
-            n, removed, count, sha, text = [], [], [], [], []
-            for data, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            rows = []
+            for data, r, *shorter in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
                 cut = spans(r, length, len(data))
                 kept = without(data, cut)
-                n.append(len(data))
-                removed.append(sum(y - x for x, y in cut))
-                count.append(len(cut))
-                sha.append(hashlib.sha256(kept).hexdigest())
-                text.append(kept.decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
-
-    joined = _with_runs(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), length, gram, crowded)
-    return joined.select("row.doc_id", "bytes", "runs").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+                row = [len(data), sum(y - x for x, y in cut), len(cut), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")]
+                for q in shorter:
+                    held = spans(q, passage, len(data))
+                    row += [sum(y - x for x, y in held), len(held)]
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(list(names.values())[1:]))], names=list(names))
+
+    whole = _keyed(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"))
+    texts = whole.select("k1", "k2", "bytes")
+    if passage is None:
+        found = repeated_spans(texts, length, gram, crowded)
+    else:
+        shorter = written(repeated_spans(texts, passage, passage_gram, crowded))
+        found = shorter.withColumnRenamed("runs", "shorter").join(longer_spans(texts, shorter, passage, length, gram, crowded), ["k1", "k2"], "left")
+    joined = whole.join(found.hint("shuffle_hash"), ["k1", "k2"], "left").select("row.doc_id", "bytes", "runs", *(["shorter"] if passage is not None else []))
+    return joined.mapInArrow(digest, ", ".join(f"{n} {'string' if t == pa.string() else 'long'}" for n, t in names.items()))
 
 
 def without(data: bytes, cut: list[tuple[int, int]]) -> bytes:
@@ -333,7 +376,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *b.columns[2:]], names=["text", *[f"c{i}" for i in range(b.num_columns - 2)]])
 
     rest = [c for c in docs.columns if c != "text"]
-    joined = _with_runs(docs, length, gram, crowded).select("bytes", "runs", *[F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(rest)])
+    whole = _keyed(docs)
+    found = repeated_spans(whole.select("k1", "k2", "bytes"), length, gram, crowded)
+    joined = whole.join(found.hint("shuffle_hash"), ["k1", "k2"], "left").select("bytes", "runs", *[F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(rest)])
     schema = ", ".join(["text string", *[f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)]])
     names = {c: f"c{i}" for i, c in enumerate(rest)} | {"text": "text"}
     return joined.mapInArrow(cut, schema).select(*[F.col(names[c]).alias(c) for c in docs.columns])
